@@ -24,6 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import textvec as tv
 from .wordcache import WordCache, encode_spans
@@ -216,8 +217,7 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, column: str) -> Iterat
 def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     """docs with piece_ids array<int>, in place of any such column. A null or empty text has no ids; repeated rows have equal ids; empty in, empty out."""
     d = docs.drop("piece_ids")
-    schema = type(d.schema)([*d.schema.fields])
-    return d.mapInArrow(partial(_encode, path=path, column=column), schema.add("piece_ids", "array<int>"))
+    return d.mapInArrow(partial(_encode, path=path, column=column), StructType([*d.schema.fields, StructField("piece_ids", ArrayType(IntegerType()))]))
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
@@ -230,7 +230,7 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """encoded (piece_ids, ...) with decoded, the text again (U+2581, which the format uses for spaces, comes back as a space)."""
     d = encoded.drop("decoded")
-    return d.mapInArrow(partial(_decode, path=path), type(d.schema)([*d.schema.fields]).add("decoded", "string"))
+    return d.mapInArrow(partial(_decode, path=path), StructType([*d.schema.fields, StructField("decoded", StringType())]))
 
 
 def _digest(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
