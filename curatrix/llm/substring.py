@@ -52,18 +52,30 @@ def _anchors(w: tv.Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return w.doc[at[keep]], pos[keep], h[keep]
 
 
+def _delta(x: np.ndarray) -> bytes:
+    return np.diff(x, prepend=x.dtype.type(0)).tobytes()  # small numbers, which the shuffle's compression makes small
+
+
+def _undelta(raw: bytes, kind) -> np.ndarray:
+    return np.cumsum(np.frombuffer(raw, kind), dtype=kind)
+
+
 def _blobs(ids: np.ndarray, doc: np.ndarray, pos: np.ndarray, hashes: list[np.ndarray], buckets: int, said: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket: hashes, documents (64 bits), positions (32 bits) and what the slice knows already (a flag)."""
-    bucket = (hashes[0] % _U(buckets)).astype(np.int32)
+    """One row for each bucket: what is left of the hashes, documents, positions and what the slice knows already (a flag).
+
+    The low 24 bits of a hash choose the bucket, and the 40 others are sent; of a second hash 32 bits.
+    """
+    bucket = ((hashes[0] & _U(0xFFFFFF)) % _U(buckets)).astype(np.int32)
     order = np.argsort(bucket, kind="stable")
     cut = np.flatnonzero(np.diff(bucket[order])) + 1
     rows: dict[str, list] = {k: [] for k in ("bucket", "hash", "doc", "pos", "said")}
     for i in np.split(order, cut) if len(order) else []:
         rows["bucket"].append(int(bucket[i[0]]))
-        rows["hash"].append(np.concatenate([h[i] for h in hashes]).tobytes())
-        rows["doc"].append(ids[doc[i]].astype(np.int64).tobytes())
-        rows["pos"].append(pos[i].astype(np.int32).tobytes())
-        rows["said"].append(said[i].tobytes())
+        lanes = [(hashes[0][i] >> _U(24)).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()]
+        rows["hash"].append(b"".join(lanes + [h[i].view(np.uint8).reshape(-1, 8)[:, :4].tobytes() for h in hashes[1:]]))
+        rows["doc"].append(_delta(ids[doc[i]].astype(np.int64)))
+        rows["pos"].append(_delta(pos[i].astype(np.int32)))
+        rows["said"].append(np.packbits(said[i]).tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), *(pa.array(rows[k], pa.binary()) for k in ("hash", "doc", "pos", "said"))], list(rows))
 
 
@@ -74,18 +86,19 @@ class _Slice:
     """What the texts of a slice sent so far: (document number, position, hashes)."""
 
     def __init__(self):
-        self.ids, self.doc, self.pos, self.hashes, self.bytes = [], [], [], [], 0
+        self.ids, self.doc, self.pos, self.hashes, self.bytes, self.n = [], [], [], [], 0, 0
 
     def add(self, ids: np.ndarray, doc: np.ndarray, pos: np.ndarray, hashes: list[np.ndarray], size: int) -> bool:
-        self.doc.append(doc + sum(map(len, self.ids)))
+        self.doc.append((doc + self.n).astype(np.int32))
+        self.n += len(ids)
         self.ids.append(ids)
-        self.pos.append(pos)
+        self.pos.append(pos.astype(np.int32))
         self.hashes.append(hashes)
         self.bytes += size
         return self.bytes >= SLICE_BYTES
 
     def joined(self):
-        return np.concatenate(self.ids), np.concatenate(self.doc), np.concatenate(self.pos).astype(np.int64), [np.concatenate(h) for h in zip(*self.hashes, strict=True)]
+        return np.concatenate(self.ids), np.concatenate(self.doc), np.concatenate(self.pos), [np.concatenate(h) for h in zip(*self.hashes, strict=True)]
 
 
 def _ids(b: pa.RecordBatch) -> np.ndarray:
@@ -112,35 +125,106 @@ def _send_anchors(batches: Iterator[pa.RecordBatch], window: int, buckets: int)
         yield from flush(s)
 
 
-def _marks(ids: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """A row for each document: its positions, as 32-bit numbers."""
-    order = np.lexsort((pos, ids))
-    ids, pos = ids[order], pos[order].astype(np.int32)
-    cut = np.flatnonzero(np.diff(ids)) + 1
-    first = np.concatenate([[0], cut]).astype(np.int64)[: len(ids)]
-    return pa.RecordBatch.from_arrays([pa.array(ids[first]), pa.array([x.tobytes() for x in np.split(pos, cut)] if len(ids) else [], pa.binary())], ["doc", "at"])
+def group_of(ids: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each doc_id: pmod(xxhash64(doc_id), groups) as the engine computes it (public xxHash constants)."""
+    p1, p2, p3, p4, p5 = map(_U, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    rotl = lambda x, r: (x << _U(r)) | (x >> _U(64 - r))
+    h = rotl(ids.astype(np.int64).view(_U) * p2, 31) * p1
+    h ^= np.asarray([42], _U) + p5 + _U(8)
+    h = rotl(h, 27) * p1 + p4
+    h ^= h >> _U(33)
+    h *= p2
+    h ^= h >> _U(29)
+    h *= p3
+    h ^= h >> _U(32)
+    return np.mod(h.view(np.int64), groups)
 
 
-def _of(g: pa.Table, lanes: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
-    read = lambda name, kind: [np.frombuffer(x, kind) for x in g.column(name).to_pylist()]
-    h = [x.reshape(lanes, -1) for x in read("hash", np.uint64)]
-    return [np.concatenate([x[k] for x in h]) for k in range(lanes)], np.concatenate(read("doc", np.int64)), np.concatenate(read("pos", np.int32)), np.concatenate(read("said", bool))
+_SAID = "grp int, kind int, doc_id long, text string, doc binary, pos binary"
+
+
+def _marks(ids: np.ndarray, pos: np.ndarray, kind: int, groups: int) -> pa.RecordBatch:
+    """An answer to each group of documents: its documents and their positions."""
+    group = group_of(ids, groups)
+    order = np.lexsort((pos, ids, group))
+    ids, pos, group = ids[order], pos[order].astype(np.int32), group[order]
+    cut = np.flatnonzero(np.diff(group)) + 1
+    parts = [x for x in zip(np.split(ids, cut), np.split(pos, cut), strict=True) if len(x[0])]
+    n = len(parts)
+    first = np.concatenate([[0], cut])[:n].astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(group[first], pa.int32()), pa.array([kind] * n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.array([_delta(x) for x, _ in parts], pa.binary()), pa.array([_delta(y) for _, y in parts], pa.binary())], ["grp", "kind", "doc_id", "text", "doc", "pos"])
 
 
-def _answer_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _of(g: pa.Table, lanes: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    doc = [_undelta(x, np.int64) for x in g.column("doc").to_pylist()]
+    pos = [_undelta(x, np.int32) for x in g.column("pos").to_pylist()]
+    said = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(d)).astype(bool) for x, d in zip(g.column("said").to_pylist(), doc, strict=True)]
+    raw = [np.frombuffer(x, np.uint8) for x in g.column("hash").to_pylist()]
+    out, at = [], 0
+    for width in (5, 4)[:lanes]:
+        wide = np.zeros((sum(map(len, doc)), 8), np.uint8)
+        wide[:, :width] = np.concatenate([x[at * len(d) : (at + width) * len(d)] for x, d in zip(raw, doc, strict=True)]).reshape(-1, width)
+        out.append(wide.view(np.uint64)[:, 0])
+        at += width
+    return out, np.concatenate(doc), np.concatenate(pos), np.concatenate(said)
+
+
+def _answer_anchors(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     for g in _groups(batches, ["bucket"]):
         (h,), doc, pos, said = _of(g, 1)
-        _, back, count = np.unique(h, return_inverse=True, return_counts=True)
-        twice = said | (count[back] > 1)
-        yield _marks(doc[twice], pos[twice])
+        order = np.argsort(h)
+        same = h[order][1:] == h[order][:-1]
+        twice = said
+        twice[order[1:][same]] = twice[order[:-1][same]] = True
+        yield _marks(doc[twice], pos[twice], 0, groups)
+
 
+class _Said:
+    """The answers to a group of documents: positions by document."""
 
-def _candidates(w: tv.Words, marks: list[bytes | None], window: int) -> tuple[np.ndarray, np.ndarray]:
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.doc = self.pos = None
+
+    def add(self, doc: bytes, pos: bytes) -> None:
+        self.parts.append((_undelta(doc, np.int64), _undelta(pos, np.int32)))
+
+    def of(self, ids: list) -> list[np.ndarray | None]:
+        if self.doc is None:
+            doc, pos = (np.concatenate(x) for x in zip(*self.parts, strict=True)) if self.parts else (np.zeros(0, np.int64), np.zeros(0, np.int32))
+            order = np.lexsort((pos, doc))
+            self.doc, self.pos, self.parts = doc[order], pos[order], []
+        known = np.asarray([x if x is not None else 0 for x in ids], np.int64)
+        lo, hi = np.searchsorted(self.doc, known), np.searchsorted(self.doc, known, side="right")
+        return [self.pos[a:b] if x is not None and a < b else None for x, a, b in zip(ids, lo, hi, strict=True)]
+
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+    """(texts, anchors, owners) from rows sorted by (group, kind), in which a group's answers come before its texts."""
+    group, said = None, (_Said(), _Said())
+    for b in batches:
+        if not b.num_rows:
+            continue
+        g, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
+        cut = np.flatnonzero((np.diff(g) != 0) | (np.diff(kind) != 0)) + 1
+        for lo, hi in zip([0, *cut], [*cut, len(g)], strict=True):
+            if g[lo] != group:
+                group, said = g[lo], (_Said(), _Said())
+            part = b.slice(lo, hi - lo)
+            if kind[lo] < 2:
+                for d, p in zip(part.column(4).to_pylist(), part.column(5).to_pylist(), strict=True):
+                    said[kind[lo]].add(d, p)
+            else:
+                for t in tv.sub_batches(iter([part])):
+                    ids = t.column(2).to_pylist()
+                    yield t, said[0].of(ids), said[1].of(ids)
+
+
+def _candidates(w: tv.Words, marks: list[np.ndarray | None], window: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, start) of each window that holds a repeated anchor: window starts up to PERIOD - 1 words before one."""
     room = np.zeros(len(w.hash) + 1, np.int64)
-    for d, raw in enumerate(marks):
-        if raw is not None and w.count[d] >= window:
-            a = np.frombuffer(raw, np.int32)
+    for d, a in enumerate(marks):
+        if a is not None and w.count[d] >= window:
             lo, hi = np.maximum(0, a - (PERIOD - 1)), np.minimum(a, w.count[d] - window) + 1
             ok = lo < hi
             np.add.at(room, w.off[d] + lo[ok], 1)
@@ -152,45 +236,49 @@ def _candidates(w: tv.Words, marks: list[bytes | None], window: int) -> tuple[np
 def _send_windows(batches: Iterator[pa.RecordBatch], window: int, buckets: int) -> Iterator[pa.RecordBatch]:
     def flush(s: _Slice):
         ids, doc, pos, (h, g) = s.joined()
-        order = np.lexsort((pos, ids[doc], g, h))
-        new = np.ones(len(order), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
-        send = order[new]
+        own = _first_of_each(h, g, ids[doc], pos)
+        send = np.sort(own)  # in the order of documents again, which takes less room
         yield from _blobs(ids, doc[send], pos[send], [h[send], g[send]], buckets, np.zeros(len(send), bool))
 
     s = _Slice()
-    for b in tv.sub_batches(batches):
-        w = tv.Words(b.column(1))
-        doc, pos = _candidates(w, [b"".join(x) for x in b.column(2).to_pylist()], window)
+    for t, marks, _ in _answered(batches):
+        if all(m is None for m in marks):
+            continue
+        w = tv.Words(t.column(3))
+        doc, pos = _candidates(w, marks, window)
         at, h, g = w.grams(window, wide=True)
         i = np.searchsorted(at, w.off[doc] + pos)
-        if s.add(_ids(b), doc, pos, [h[i], g[i]], len(w.buf)):
+        if s.add(t.column(2).fill_null(0).to_numpy(), doc, pos, [h[i], g[i]], len(w.buf)):
             yield from flush(s)
             s = _Slice()
     if s.ids:
         yield from flush(s)
 
 
-def _answer_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_of_each(h: np.ndarray, g: np.ndarray, ids: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Of each (h, g) the entry with the smallest (id, position)."""
+    order = np.lexsort((pos, ids, g, h))
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    return order[new]
+
+
+def _answer_windows(batches: Iterator[pa.RecordBatch], groups: int) -> Iterator[pa.RecordBatch]:
     for rows in _groups(batches, ["bucket"]):
         (h, g), doc, pos, _ = _of(rows, 2)
-        order = np.lexsort((pos, doc, g, h))
-        new = np.ones(len(order), bool)
-        new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
-        own = order[new]
-        yield _marks(doc[own], pos[own])
+        own = _first_of_each(h, g, doc, pos)
+        yield _marks(doc[own], pos[own], 1, groups)
 
 
 def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    for b in tv.sub_batches(batches):
-        w = tv.Words(b.column(1))
-        marks, owners = ([None if x is None else b"".join(x) for x in b.column(i).to_pylist()] for i in (2, 3))
+    for b, marks, owners in _answered(batches):
+        w = tv.Words(b.column(3))
         doc, pos = _candidates(w, marks, window)
         gone = np.zeros(len(w.hash) + 1, bool)
         gone[w.off[doc] + pos] = True
-        for d, raw in enumerate(owners):
-            if raw:
-                gone[w.off[d] + np.frombuffer(raw, np.int32)] = False
+        for d, at in enumerate(owners):
+            if at is not None:
+                gone[w.off[d] + at] = False
         room = np.zeros(len(w.hash) + 1, np.int64)
         at = np.flatnonzero(gone[:-1])
         np.add.at(room, at, 1)
@@ -205,7 +293,7 @@ def _cut(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBa
             else:
                 stay = lo + np.flatnonzero(~out[lo:hi])
                 kept.append(b" ".join([raw[s:e] for s, e in zip(w.start[stay].tolist(), w.end[stay].tolist(), strict=True)]))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(w.count), pa.array(n_removed), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+        yield pa.RecordBatch.from_arrays([b.column(2), pa.array(w.count), pa.array(n_removed), pa.array([hashlib.sha256(x).hexdigest() for x in kept]), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -221,16 +309,17 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     real = base.where("doc_id is not null")
     n = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     buckets = max(n, -(-input_chars(base) // BUCKET_CHARS))
-    by_bucket = lambda rows: rows.repartition(n, "bucket").sortWithinPartitions("bucket")
-    gathered = lambda rows, name: rows.groupBy("doc").agg(F.collect_list("at").alias(name))  # noqa: E731  bounded by the document's length
-    sent = by_bucket(real.mapInArrow(partial(_send_anchors, window=window, buckets=buckets), _BLOBS))
-    marks = table(gathered(sent.mapInArrow(_answer_anchors, "doc long, at binary"), "marks"), "marks")
-    some = real.join(marks, real.doc_id == marks.doc).select("doc_id", "text", "marks")
-    sent = by_bucket(some.mapInArrow(partial(_send_windows, window=window, buckets=buckets), _BLOBS))
-    owners = gathered(sent.mapInArrow(_answer_windows, "doc long, at binary"), "owners")
-    said = marks.join(owners, "doc", "left")
-    rows = base.join(said, base.doc_id == said.doc, "left").select("doc_id", "text", "marks", "owners")
-    return rows.mapInArrow(partial(_cut, window=window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    groups = buckets
+    dealt = lambda rows, *by: rows.repartition(n, by[0]).sortWithinPartitions(*by)
+    group = F.when(F.col("doc_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(groups))).cast("int")
+    texts = base.select(group.alias("grp"), F.lit(2).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("doc"), F.lit(None).cast("binary").alias("pos"))
+    sent = dealt(real.mapInArrow(partial(_send_anchors, window=window, buckets=buckets), _BLOBS), "bucket")
+    marks = table(sent.mapInArrow(partial(_answer_anchors, groups=groups), _SAID), "marks")
+    both = dealt(marks.unionByName(texts), "grp", "kind")
+    sent = dealt(both.mapInArrow(partial(_send_windows, window=window, buckets=buckets), _BLOBS), "bucket")
+    owners = sent.mapInArrow(partial(_answer_windows, groups=groups), _SAID)
+    both = dealt(marks.unionByName(owners).unionByName(texts), "grp", "kind")
+    return both.mapInArrow(partial(_cut, window=window), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
 
 
 ORACLE_SQL = r"""
