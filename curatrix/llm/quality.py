@@ -111,9 +111,9 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         ids, values = [], []
         for d in range(b.num_rows):
             own = [np.unique(x[off[d] : off[d + 1]], return_counts=True) for x, off in parts]
-            ids.append(np.concatenate([i for i, _ in own]))
-            values.append(np.concatenate([c / max(1, c.sum()) for _, c in own]))
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.float64()))], ["doc_id", "label", "ids", "vals"])
+            ids.append(np.concatenate([i for i, _ in own]).astype(np.int32))
+            values.append(np.concatenate([c / max(1, c.sum()) for _, c in own]).astype(np.float32))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["doc_id", "label", "ids", "vals"])
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = 150) -> Model:
@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("double")).alias("label"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")
-    got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<long>, vals array<double>").toArrow().sort_by("doc_id")
+    got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<int>, vals array<float>").toArrow().sort_by("doc_id")
     y = (got.column("label").to_numpy() > 0).astype(float)
     size = (1 << WORD_BITS) + (1 << CHAR_BITS)
     if not 0 < y.sum() < len(y):
@@ -132,10 +132,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     lists = got.column("ids").combine_chunks()
     ids, off = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     vals = got.column("vals").combine_chunks().flatten().to_numpy()
+    del got, lists
     held = np.arange(len(y)) % 4 == 3
     if not 0 < y[held].sum() < held.sum() or not 0 < y[~held].sum() < (~held).sum():
         held[:] = False
-    row = np.repeat(np.arange(len(y)), np.diff(off))
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(off))
     fit = ~held[row]
     fi, fv, fr = ids[fit], vals[fit], row[fit]
     balance = np.where(y > 0, 0.5 / y[~held].mean(), 0.5 / (1 - y[~held]).mean()) * ~held / (~held).sum()
