@@ -163,8 +163,11 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     """A network from docs (doc_id, text, lang), None if no row can be learned from."""
     d = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.lit(1 << 20)) / float(1 << 20)
-    counts = d.groupBy("lang").agg(F.count("*").alias("_n"))
-    some = d.join(counts, "lang").where(share < per_lang / F.col("_n")).select("doc_id", "text", "lang", share.alias("_s")).orderBy("_s", "doc_id").limit(MOST).drop("_s")
+    ids = d.select("doc_id", "lang", share.alias("_s"))  # no text is shuffled for the choice
+    counts = ids.groupBy("lang").agg(F.count("*").alias("_n")).withColumnRenamed("lang", "_l")
+    chosen = ids.join(counts, F.col("lang") == F.col("_l")).where(F.col("_s") < per_lang / F.col("_n")).orderBy("_s", "doc_id", "lang").limit(MOST)
+    chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
+    some = d.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l"))).select("doc_id", "text", "lang")  # MOST rows at most
     got = some.mapInArrow(partial(_some_pieces, most=PIECES), "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
     if not got.num_rows:
         return None
