@@ -124,33 +124,45 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("double")).alias("label"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")
-    got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<int>, vals array<float>").toArrow().sort_by("doc_id")
-    y = (got.column("label").to_numpy() > 0).astype(float)
+    got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<int>, vals array<float>").toArrow()
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    y = (got.column("label").to_numpy()[order] > 0).astype(float)
     size = (1 << WORD_BITS) + (1 << CHAR_BITS)
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(size), 1.0, 1.0, 0.0)
-    lists = got.column("ids").combine_chunks()
-    ids, off = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
-    vals = got.column("vals").combine_chunks().flatten().to_numpy()
-    del got, lists
+    flat = lambda name: np.concatenate([c.flatten().to_numpy() for c in got.column(name).chunks])
+    many = np.concatenate([c.value_lengths().to_numpy() for c in got.column("ids").chunks]).astype(np.int64)
+    start, many = (np.cumsum(many) - many)[order], many[order]
+    ids, vals = flat("ids"), flat("vals")
+    del got
+    pa.default_memory_pool().release_unused()
     held = np.arange(len(y)) % 4 == 3
     if not 0 < y[held].sum() < held.sum() or not 0 < y[~held].sum() < (~held).sum():
         held[:] = False
-    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(off))
-    fit = ~held[row]
-    fi, fv, fr = ids[fit], vals[fit], row[fit]
+
+    def parts(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, the row of each value among them, feature ids, values), 64 rows at a time: the driver's memory is small."""
+        for k in range(0, len(rows), 64):
+            r = rows[k : k + 64]
+            n = many[r]
+            at = np.repeat(start[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            yield r, np.repeat(np.arange(len(r)), n), ids[at], vals[at]
+
     balance = np.where(y > 0, 0.5 / y[~held].mean(), 0.5 / (1 - y[~held]).mean()) * ~held / (~held).sum()
+    learned = np.flatnonzero(~held)
     w, bias = np.zeros(size), 0.0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     for t in range(1, rounds + 1):
-        z = np.bincount(fr, w[fi] * fv, len(y)) + bias
-        err = (1 / (1 + np.exp(-z)) - y) * balance
-        g, gb = np.bincount(fi, err[fr] * fv, size) + 1e-7 * w, err.sum()
+        g, gb = 1e-7 * w, 0.0
+        for r, row, i, x in parts(learned):
+            err = (1 / (1 + np.exp(-np.bincount(row, w[i] * x, len(r)) - bias)) - y[r]) * balance[r]
+            g += np.bincount(i, err[row] * x, size)
+            gb += err.sum()
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         step = 0.3 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         w -= step * m / (np.sqrt(v) + 1e-10)
         bias -= step * mb / (np.sqrt(vb) + 1e-10)
-    z = np.bincount(row, w[ids] * vals, len(y)) + bias
+    z = np.concatenate([np.bincount(row, w[i] * x, len(r)) for r, row, i, x in parts(np.arange(len(y)))]) + bias
     part = held if held.any() else ~held
     scale, shift = _platt(z[part], y[part])
     return Model(w.astype(np.float32), float(bias), scale, shift)
