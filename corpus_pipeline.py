@@ -39,7 +39,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The rows of the mix as ids of pieces."""
-    d = pieces.encode(docs, vocabulary("piece_bpe_32k.model"))
+    d = pieces.encode(docs, vocabulary("piece_bpe_32k.model"), keep_text=False)
     return d.select("doc_id", "lang", "source", "n_chars", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
 

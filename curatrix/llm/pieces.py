@@ -33,6 +33,7 @@ MARK = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 SCORES = "zipf"
+BATCH_BYTES = 512 << 10  # text that is encoded at once: its tables of 64-bit numbers take about 70 times as much
 _loaded: dict[tuple[str, str], Pieces] = {}
 
 
@@ -206,18 +207,24 @@ class Pieces:
         return out[1:] if out[:1] == " " else out
 
 
-def _encode(batches: Iterator[pa.RecordBatch], path: str, column: str) -> Iterator[pa.RecordBatch]:
+def _encode(batches: Iterator[pa.RecordBatch], path: str, column: str, keep_text: bool) -> Iterator[pa.RecordBatch]:
     pieces = Pieces.load(path)
-    for b in tv.sub_batches(batches, column):
-        ids, off = pieces.encode(b.column(b.schema.get_field_index(column)))
+    for b in tv.sub_batches(batches, column, BATCH_BYTES):
+        at = b.schema.get_field_index(column)
+        ids, off = pieces.encode(b.column(at))
         lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids.astype(np.int32)))
-        yield pa.RecordBatch.from_arrays([*b.columns, lists], [*b.schema.names, "piece_ids"])
+        back = [i for i in range(b.num_columns) if keep_text or i != at]
+        yield pa.RecordBatch.from_arrays([*map(b.column, back), lists], [*(b.schema.names[i] for i in back), "piece_ids"])
 
 
-def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
-    """docs with piece_ids array<int>, in place of any such column. A null or empty text has no ids; repeated rows have equal ids; empty in, empty out."""
+def encode(docs: DataFrame, path: str, column: str = "text", keep_text: bool = True) -> DataFrame:
+    """docs with piece_ids array<int>, in place of any such column, and without the texts unless keep_text.
+
+    A null or empty text has no ids; repeated rows have equal ids; empty in, empty out.
+    """
     d = docs.drop("piece_ids")
-    return d.mapInArrow(partial(_encode, path=path, column=column), StructType([*d.schema.fields, StructField("piece_ids", ArrayType(IntegerType()))]))
+    kept = [f for f in d.schema.fields if keep_text or f.name != column]
+    return d.mapInArrow(partial(_encode, path=path, column=column, keep_text=keep_text), StructType([*kept, StructField("piece_ids", ArrayType(IntegerType()))]))
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
