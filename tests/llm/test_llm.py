@@ -314,6 +314,9 @@ def test_pieces_round_trip(docs, texts, empty):
     path = vocabulary("piece_bpe_32k.model")
     got = pieces.decode(pieces.encode(docs, path), path).collect()
     assert {r.doc_id: r.decoded for r in got} == {i: (t or "").replace("▁", " ") for i, t in texts.items()}
+    bare = pieces.encode(docs, path, keep_text=False)
+    assert bare.columns == [c for c in docs.columns if c != "text"] + ["piece_ids"]
+    assert {r.doc_id: r.piece_ids for r in bare.collect()} == {r.doc_id: r.piece_ids for r in got}
     r = {x.doc_id: x for x in pieces.round_trip(docs, path).collect()}
     assert all(x.restored == ("▁" not in (texts[i] or "")) for i, x in r.items())
     assert r[0].n_pieces == r[1].n_pieces == 0 and pieces.round_trip(empty, path).count() == 0
