@@ -49,8 +49,8 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
         count = np.bincount(slot, minlength=1 << SLOT_BITS)
         held = np.zeros(1 << SLOT_BITS, np.uint32)
         held[slot] = pair
-        full = np.argsort(-count, kind="stable")[: min(room - len(rules), 2048)]
-        full = full[(count[full] >= LEAST) & (count[full] * 16 >= count[full[0]])]  # rare pairs wait: a frequent one may take their ids
+        full = np.flatnonzero((count >= LEAST) & (count * 16 >= count.max()))  # rare pairs wait: a frequent one may take their ids
+        full = full[np.argsort(-count[full], kind="stable")][: min(room - len(rules), 2048)]
         if not len(full):
             break
         rank = np.full(1 << SLOT_BITS, -1, np.int32)
