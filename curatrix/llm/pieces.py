@@ -27,13 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import textvec as tv
-from .wordcache import WordCache, encode_spans
+from .wordcache import WordCache, encode_spans, slices
 
 MARK = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 SCORES = "zipf"
 BATCH_BYTES = 512 << 10  # text that is encoded at once: its tables of 64-bit numbers take about 70 times as much
+LONG_WORD = 1 << 16  # characters of a word beyond which it is searched piece by piece: the tables take about 200 bytes a character
 _loaded: dict[tuple[str, str], Pieces] = {}
 
 
@@ -92,8 +93,8 @@ class Pieces:
             h = h * _BASE + codes[:, k : k + n] + _U(1)
         return tv.mix(h)
 
-    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For n words of equal length (n, L): ids in (n, L), filled from the right; an unknown character is -1. And how many."""
+    def _gains(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The score and id of the piece of each length that begins at each character of each word (n, L): (lengths, n, L)."""
         n, length = codes.shape
         most = min(self.longest, length)
         gain = np.full((most + 1, n, length), -np.inf, np.float64)  # by piece length and first character
@@ -113,6 +114,34 @@ class Pieces:
                 gain[k, row, col], ident[k, row, col] = score[i[hit]], ids[i[hit]]
         lone = ident[1] < 0
         gain[1][lone] = self.unknown
+        return gain, ident
+
+    def viterbi_long(self, word: np.ndarray, block: int = LONG_WORD) -> np.ndarray:
+        """The ids that viterbi() gives for one word, the tables being those of ``block`` characters at a time."""
+        n, most = len(word), self.longest
+        best, back, ident = np.full(n + most + 1, -np.inf), np.zeros(n + most + 1, np.int16), np.full(n + most + 1, -1, np.int32)
+        best[0], lengths = 0, np.arange(1, most + 1, dtype=np.int16)
+        for lo in range(0, n, block):
+            gain, ids = self._gains(word[None, lo : lo + block + most - 1])
+            gain, ids = np.ascontiguousarray(gain[1:, 0].T), np.ascontiguousarray(ids[1:, 0].T)
+            k = gain.shape[1]
+            for s in range(lo, min(n, lo + block)):
+                option = best[s] + gain[s - lo]
+                better = option > best[s + 1 : s + 1 + k]  # earlier starts have longer pieces, which stay if equal
+                best[s + 1 : s + 1 + k][better] = option[better]
+                back[s + 1 : s + 1 + k][better] = lengths[:k][better]
+                ident[s + 1 : s + 1 + k][better] = ids[s - lo][better]
+        out, at = [], n
+        while at:
+            out.append(int(ident[at]))
+            at -= int(back[at])
+        return np.asarray(out[::-1], np.int64)
+
+    def viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For n words of equal length (n, L): ids in (n, L), filled from the right; an unknown character is -1. And how many."""
+        n, length = codes.shape
+        most = min(self.longest, length)
+        gain, ident = self._gains(codes)
         best = np.empty((length + 1, n))
         best[0] = 0
         back = np.empty((length + 1, n), np.int16)
@@ -137,8 +166,12 @@ class Pieces:
         for lo, hi in self._runs(length[order]):
             rows = order[lo:hi]
             own = codes[start[rows][:, None] + np.arange(length[rows[0]])]
-            got, count = self.viterbi(own)
-            real = np.arange(own.shape[1]) >= own.shape[1] - count[:, None]
+            if own.shape[1] > LONG_WORD:  # a run of one word
+                got = self.viterbi_long(own[0])[None]
+                count = np.asarray([got.shape[1]])
+            else:
+                got, count = self.viterbi(own)
+            real = np.arange(got.shape[1]) >= got.shape[1] - count[:, None]
             unknown = ((got < 0) & real).any(1)
             if unknown.any():
                 lists = [g[r] for g, r in zip(got, real, strict=True)]
@@ -160,7 +193,7 @@ class Pieces:
         """Stretches of equal length, short enough for the tables of one search to stay small."""
         cut = [0, *(np.flatnonzero(np.diff(lengths)) + 1), len(lengths)]
         for lo, hi in zip(cut[:-1], cut[1:], strict=True):
-            step = max(1, 1_000_000 // int(max(1, lengths[lo]) * self.longest)) if hi > lo else 1
+            step = max(1, 1_000_000 // int(max(1, lengths[lo]) * self.longest)) if hi > lo and lengths[lo] <= LONG_WORD else 1
             for at in range(lo, hi, step):
                 yield at, min(hi, at + step)
 
@@ -193,11 +226,15 @@ class Pieces:
         begins = begins[:-1]
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(buf))
-        codes = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
-        codes[codes == 32] = ord(MARK)
-        char = np.concatenate([[0], np.cumsum((buf & 0xC0) != 0x80)])
-        words = lambda s, e: self.encode_words(codes, char[s], char[e] - char[s])
-        ids, size = encode_spans(self.cache, tv.Spans(buf).hash(start, end), start, end, words)
+        parts = []
+        for a, b in slices(start, end, BATCH_BYTES):
+            own, s, e = buf[start[a] : end[b - 1]], start[a:b] - start[a], end[a:b] - start[a]
+            codes = np.frombuffer(own.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
+            codes[codes == 32] = ord(MARK)
+            char = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
+            words = lambda s, e, codes=codes, char=char: self.encode_words(codes, char[s], char[e] - char[s])
+            parts.append(encode_spans(self.cache, tv.Spans(own).hash(s, e), s, e, words))
+        ids, size = map(np.concatenate, zip(*parts, strict=True))
         return ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, off)]
 
     def decode(self, ids: np.ndarray) -> str:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .storage import new_path
-from .wordcache import WordCache, encode_spans
+from .wordcache import WordCache, encode_spans, slices
 
 BLOCK, SAMPLE, ROUNDS, LEAST, SLOT_BITS = 1 << 19, 1024, 12, 8, 18
 END_ID = 0
@@ -200,12 +200,12 @@ def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint16), np.zeros(len(off), np.int64)
     start = chunk_starts(buf, off)
     end = np.append(start[1:], len(buf))
-    raw = buf.tobytes()
-
-    def encode(s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return _encode_chunks(t, width, buf, raw, s, e)
-
-    ids, size = encode_spans(cache, tv.Spans(buf).hash(start, end), start, end, encode)
+    parts = []
+    for a, b in slices(start, end, tv.SUB_BATCH_BYTES):
+        own, at = buf[start[a] : end[b - 1]], start[a]
+        encode = partial(_encode_chunks, t, width, own, own.tobytes())
+        parts.append(encode_spans(cache, tv.Spans(own).hash(start[a:b] - at, end[a:b] - at), start[a:b] - at, end[a:b] - at, encode))
+    ids, size = map(np.concatenate, zip(*parts, strict=True))
     return ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, off)]
 
 

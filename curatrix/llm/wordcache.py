@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
@@ -49,3 +49,12 @@ def encode_spans(cache: WordCache, hashes: np.ndarray, start: np.ndarray, end: n
     i, _ = cache.find(keys)
     at, size = cache.at[i][back], cache.size[i].astype(np.int64)[back]
     return cache.pool[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())], size
+
+
+def slices(start: np.ndarray, end: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches (a, b) of adjoining spans that have at most ``most`` bytes, or are one span: a very long text is not encoded at once."""
+    a = 0
+    while a < len(start):
+        b = max(a + 1, int(np.searchsorted(end, start[a] + most, side="right")))
+        yield a, b
+        a = b

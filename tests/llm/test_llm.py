@@ -310,6 +310,25 @@ def test_viterbi(texts, scores):
         assert got + v.unknown * len(unknown) == pytest.approx(best[-1])
 
 
+def test_long_words_and_texts(texts, monkeypatch):
+    v = pieces.Pieces(vocabulary("piece_bpe_32k.model"))
+    some = pa.array([*(t for t in texts.values() if t), "ab1日é" * 300, " x" * 50, ""])
+    ids, off = v.encode(some)
+    monkeypatch.setattr(pieces, "BATCH_BYTES", 40)
+    monkeypatch.setattr(pieces, "LONG_WORD", 3)
+    v.cache.clear()
+    again = v.encode(some)
+    assert (off == again[1]).all() and (ids == again[0]).all()
+    word = np.asarray([ord(c) for c in pieces.MARK + "unbelievably日" * 20], np.uint64)
+    got, n = v.viterbi(word[None])
+    assert all((got[0, -n[0] :] == v.viterbi_long(word, block)).all() for block in (1, 7, 100, 10_000))
+    whole = repair.encode_texts(some, vocabulary("byte_bpe_50k.json"))
+    monkeypatch.setattr(repair.tv, "SUB_BATCH_BYTES", 30)
+    repair.tokenizer(vocabulary("byte_bpe_50k.json"))[1].clear()
+    parts = repair.encode_texts(some, vocabulary("byte_bpe_50k.json"))
+    assert all((x == y).all() for x, y in zip(whole, parts, strict=True))
+
+
 def test_pieces_round_trip(docs, texts, empty):
     path = vocabulary("piece_bpe_32k.model")
     got = pieces.decode(pieces.encode(docs, path), path).collect()
