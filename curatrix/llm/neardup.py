@@ -32,6 +32,7 @@ from .storage import table
 COORDINATES = 64
 MATCHES = 36
 LIST_BLOCK = 4096  # members of a list that are compared in one task
+BATCH_BYTES = 512 << 10  # text whose shingles are hashed at once
 SET_BLOCK = 2_000_000  # shingles of a candidate component that are compared in one task
 _rng = np.random.Generator(np.random.PCG64(64))
 _MUL = _rng.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -65,7 +66,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for b in tv.sub_batches(batches):
+    for b in tv.sub_batches(batches, most=BATCH_BYTES):
         sets = shingle_sets(b.column(1), n)
         sizes = np.asarray([len(s) for s in sets], np.int64)
         full = np.flatnonzero(sizes)
@@ -149,20 +150,28 @@ def _list_links(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.
         if len(found) > 50_000:
             yield _edges(found)
             found = []
-            if len(seen) > 500_000:
+            if len(seen) > 100_000:
                 seen.clear()
     yield _edges(found)
 
 
+def _common(own: np.ndarray, ident: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many members of each set (a stretch of ident, not empty) are flagged in own."""
+    first = np.cumsum(size) - size
+    return np.add.reduceat(own[ident[np.repeat(start - first, size) + np.arange(size.sum())]], first)
+
+
 def _set_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     found: list[tuple[int, int]] = []
     for g in _groups(batches, ["cluster", "i", "j"]):
         ids = g.column("rep").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in g.column("shingles").to_pylist()]
-        size = np.asarray([len(s) for s in sets])
-        start = np.concatenate([[0], np.cumsum(size)])
-        _, ident = np.unique(np.concatenate(sets), return_inverse=True)
-        own = np.zeros(ident.max() + 1, np.int32)
+        raw, start = tv.utf8(g.column("shingles").combine_chunks())
+        hashes, start = raw.view(np.uint64), start // 8
+        size = np.diff(start)
+        known = np.unique(hashes)
+        ident = np.concatenate([np.searchsorted(known, hashes[i : i + 500_000]).astype(np.int32) for i in range(0, len(hashes), 500_000)])
+        own = np.zeros(len(known), np.int32)
+        del raw, hashes, known, g
 
         def alike(at: int, rest: np.ndarray, size=size, start=start, ident=ident, own=own) -> np.ndarray:
             near = (100 * np.minimum(size[rest], size[at]) >= percent * np.maximum(size[rest], size[at]))
@@ -171,11 +180,10 @@ def _set_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
                 return near
             mine = ident[start[at] : start[at + 1]]
             own[mine] = 1
-            take = size[some]
-            flat = np.repeat(start[some] - np.concatenate([[0], np.cumsum(take)[:-1]]), take) + np.arange(take.sum())
-            both = np.add.reduceat(own[ident[flat]], np.concatenate([[0], np.cumsum(take)[:-1]]))
+            step = max(1, 500_000 // int(size[some].max()))  # sets whose members are looked up at once
+            both = np.concatenate([_common(own, ident, start[some[i : i + step]], size[some[i : i + step]]) for i in range(0, len(some), step)])
             own[mine] = 0
-            near[near] = 100 * both >= percent * (take + size[at] - both)
+            near[near] = 100 * both >= percent * (size[some] + size[at] - both)
             return near
 
         found += [(int(ids[x]), int(ids[y])) for x, y in _forest(len(ids), alike)]
@@ -226,7 +234,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, matche
 
 
 def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for b in tv.sub_batches(batches):
+    for b in tv.sub_batches(batches, most=BATCH_BYTES):
         sets = shingle_sets(b.column(1), n)
         keep = pa.array([i for i, s in enumerate(sets) if len(s)], pa.int64())
         blobs = pa.array([s.tobytes() for s in sets if len(s)], pa.binary())

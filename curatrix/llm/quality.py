@@ -22,6 +22,7 @@ from . import textvec as tv
 SAMPLE = 4000  # labelled rows that the classifier is learned from, at most
 WORD_BITS, CHAR_BITS = 15, 14
 THRESHOLD = 0.5
+BATCH_BYTES = 512 << 10  # text that is scored at once: its features take about 150 times as much
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _U = np.uint64
@@ -106,7 +107,7 @@ def score(w: tv.Words, m: Model) -> np.ndarray:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in tv.sub_batches(batches):
+    for b in tv.sub_batches(batches, most=BATCH_BYTES):
         parts = _features(tv.Words(b.column(1)))
         ids, values = [], []
         for d in range(b.num_rows):
@@ -184,7 +185,7 @@ def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def _judge(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
     m = model.value
-    for b in tv.sub_batches(batches):
+    for b in tv.sub_batches(batches, most=BATCH_BYTES):
         w = tv.Words(b.column(1))
         c = base_counts(w)
         p = score(w, m)
@@ -207,7 +208,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, model: Model | None = None
 
 def _only_kept(batches: Iterator[pa.RecordBatch], model, column: str) -> Iterator[pa.RecordBatch]:
     m = model.value
-    for b in tv.sub_batches(batches, column):
+    for b in tv.sub_batches(batches, column, BATCH_BYTES):
         w = tv.Words(b.column(b.schema.get_field_index(column)))
         c = base_counts(w)
         failed = (c["n_words"] < 10) | (100 * c["n_repeat_words"] > 20 * c["n_words"])
