@@ -5,9 +5,9 @@ in an order by size, r is summed up along it, one random offset u is added, and
 number that its stretch of the sum crosses: floor(i r + u) - floor((i - 1) r + u) for the i-th. As neighbours in the order
 are alike in size, the words taken follow the target to within a few documents.
 
-The order is by (band of similar sizes, bucket by hash, size, doc_id). Ranks are made in two steps, within a (source,
-band, bucket) and over the counts of those, so that no task gets a whole source: the number of buckets is a parameter that
-grows with the corpus, and a source with a third of all rows is dealt over bands x buckets groups.
+The order is by (band of similar sizes, bucket by hash, size, doc_id). Ranks are made in steps: within a (source, band,
+bucket), over the counts of the buckets of a band, and over the bands of a source. The number of buckets follows the number of
+rows, so that no task gets a whole source however large it is. Words are counted once, into a narrow table.
 """
 
 from __future__ import annotations
@@ -15,8 +15,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .storage import table
+
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
+BUCKET_ROWS = 1 << 22  # rows of the table for each 64 buckets
+RESULT = ("size", "source_size", "target", "copies", "taken")
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
@@ -38,31 +42,51 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return s.select("source", "source_size", F.when(level.isNull(), F.col("_cap")).otherwise(F.least("_cap", level * F.col("_w"))).alias("target"))
 
 
-def mix(docs: DataFrame, seed: int = 1, buckets: int = 64) -> DataFrame:
-    """All rows and columns of docs (doc_id, text, source) with size, source_size, target, copies and taken (words with repeats).
+def buckets_for(rows: int) -> int:
+    """Buckets of each (source, band): 64 for each BUCKET_ROWS rows of the whole table."""
+    return 64 * max(1, -(-rows // BUCKET_ROWS))
+
+
+def _facts(docs: DataFrame, seed: int, kept: list[str], digest: bool) -> DataFrame:
+    """What decides of each row: key (of the source, never null), source, size, band, spot (a hash of doc_id), doc_id, digest; and the kept columns in one struct."""
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    spot = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 6), 16, 10).cast("int")
+    row = F.struct(*(F.col(f"`{c}`") for c in kept)) if kept else F.lit(0)
+    ties = F.md5(F.coalesce("text", F.lit(""))) if digest else F.lit("")
+    d = docs.select(F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")).alias("key"), "source", size.alias("size"), spot.alias("spot"), "doc_id", ties.alias("digest"), row.alias("row"))
+    digits = F.col("size").cast("string")
+    return d.withColumn("band", (100 * F.length(digits) + F.substring(digits, 1, 2).cast("int")).cast("int"))  # number of digits, first two
+
+
+def mix(docs: DataFrame, seed: int = 1, keep: tuple[str, ...] | None = None, wide: bool | None = None) -> DataFrame:
+    """All rows of docs (doc_id, text, source) with size, source_size, target, copies and taken (words with repeats).
 
-    size counts the words of the text; null or wordless texts have 0, are ranked like others and take 0 words. A null
-    source is a source of its own, after all others. Repeated rows are ranked one after another; ties are rows that are
-    equal in what decides. Result columns of these names in docs are replaced; others stay. Empty in, empty out.
+    keep: the columns of docs that are wanted, all if None. wide: whether these are too large to be written down a second time
+    with the sizes, as is assumed if text is among them. size counts the words of the text; null or wordless texts have 0, are ranked like others and take 0 words. A null source is a source of its own,
+    after all others. Repeated rows are ranked one after another; ties are rows that are equal in what decides. Columns of
+    docs that have the name of a result column are replaced; all others stay, whatever their names. Empty in, empty out.
     """
-    own = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies", "taken", "_bucket", "_band")]
-    d = docs.select(*own, F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    d = d.withColumn("_bucket", F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), key)), 1, 6), 16, 10).cast("int") % buckets)
-    d = d.withColumn("_band", (100 * F.length(F.col("size").cast("string")) + F.substring(F.col("size").cast("string"), 1, 2).cast("int")).cast("int"))  # number of digits, first two
-    groups = d.groupBy("source", "_band", "_bucket").agg(F.count("*").alias("_n"), F.sum("size").alias("_words"))
-    goals = targets(groups.groupBy("source").agg(F.sum("_words").alias("source_size")))
-    run = Window.partitionBy("source").orderBy("_band", "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = groups.select("source", "_band", "_bucket", F.coalesce(F.sum("_n").over(run), F.lit(0)).alias("_before"))
-    firsts = firsts.join(goals, firsts.source.eqNullSafe(goals.source)).select(firsts.source, "_band", "_bucket", "_before", "source_size", "target", offset_of(firsts.source, seed).alias("_u"))
-    place = Window.partitionBy("source", "_band", "_bucket").orderBy("size", "doc_id", F.md5(F.coalesce("text", F.lit(""))))
-    d = d.withColumn("_place", F.row_number().over(place))
-    on = d.source.eqNullSafe(firsts.source) & (d._band == firsts._band) & (d._bucket == firsts._bucket)
-    i = F.col("_before") + F.col("_place")
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in RESULT]
+    wide = any(c.lower() == "text" for c in kept) if wide is None else wide
+    facts = table(_facts(docs, seed, [] if wide else kept, not wide), "sizes")
+    n = buckets_for(facts.count())
+    bucket = lambda d: d.withColumn("bucket", F.col("spot") % n)
+    d = bucket(_facts(docs, seed, kept, True) if wide else facts)
+    groups = bucket(facts).groupBy("key", "band", "bucket").agg(F.count("*").alias("n"))
+    bands = facts.groupBy("key", "band").agg(F.count("*").alias("n"))
+    goals = targets(facts.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null")))
+    up_to = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda w: F.coalesce(F.sum("n").over(w), F.lit(0))
+    bands = bands.select("key", "band", earlier(up_to("key").orderBy("band")).alias("bands_before"))
+    groups = groups.select("key", "band", "bucket", earlier(up_to("key", "band").orderBy("bucket")).alias("before"))
+    firsts = groups.join(bands, ["key", "band"]).join(goals.select("key", "source_size", "target", offset_of(F.col("source"), seed).alias("u")), "key")
+    place = Window.partitionBy("key", "band", "bucket").orderBy("size", "doc_id", "digest")
+    ranked = d.withColumn("place", F.row_number().over(place)).join(firsts, ["key", "band", "bucket"])
+    i = F.col("bands_before") + F.col("before") + F.col("place")
     r = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    upto = lambda k: F.floor(k.cast("double") * r + F.col("_u"))
+    upto = lambda k: F.floor(k.cast("double") * r + F.col("u"))
     copies = F.least(F.lit(2), upto(i) - upto(i - 1)).cast("long")
-    out = d.join(firsts, on).select(*(d[c] for c in own), d["size"], "source_size", "target", copies.alias("copies"))
+    out = ranked.select(*(F.col("row")[c].alias(c) for c in kept), "size", "source_size", "target", copies.alias("copies"))
     return out.withColumn("taken", F.col("size") * F.col("copies"))
 
 
@@ -72,15 +96,17 @@ def offset_of(source: F.Column, seed: int) -> F.Column:
     return (F.conv(F.substring(F.md5(name), 1, 3), 16, 10).cast("double") + 0.5) / 4096
 
 
-def mixed(docs: DataFrame, seed: int = 1, buckets: int = 64) -> DataFrame:
+def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
     """The mix itself: docs' columns, each row as many times as it is taken."""
-    m = mix(docs, seed, buckets)
-    return m.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    m = mix(docs.select("doc_id", "text", "source", row), seed, ("row",), True).where("copies > 0")
+    times = m.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return times.select(*(F.col("row")[c].alias(c) for c in docs.columns))
 
 
 ORACLE_SQL = r"""
 WITH d AS (SELECT doc_id, text, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
-b AS (SELECT *, CAST(('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 6)) AS INT) % 64 AS bucket, CAST(100 * length(CAST(size AS VARCHAR)) + CAST(substr(CAST(size AS VARCHAR), 1, 2) AS INT) AS INT) AS band FROM d),
+b AS (SELECT *, CAST(('0x' || substr(md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 6)) AS INT) % (64 * greatest(1, CAST(ceil((SELECT count(*) FROM documents) / 4194304.0) AS INT))) AS bucket, CAST(100 * length(CAST(size AS VARCHAR)) + CAST(substr(CAST(size AS VARCHAR), 1, 2) AS INT) AS INT) AS band FROM d),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CAST([3, 1, 2][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INT)] AS DOUBLE) AS w, CAST(2 * source_size AS DOUBLE) AS cap FROM s),
 l AS (SELECT *, (1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
