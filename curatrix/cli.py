@@ -5,11 +5,13 @@ from __future__ import annotations
 import argparse
 import importlib
 import sys
+from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
 from .functions.text import axiom_lines, check_program, has_placeholder
 from .operators.curate import preview
+from .operators.requests import EFFORT, EFFORTS
 from .plans import external, runs
 from .session import build_session
 from .sources import readers, writers
@@ -30,16 +32,21 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--system-prompt")
     a.add_argument("--dataset-dir", default="dataset")
     a.add_argument("--max-problems", type=int)
-    a.add_argument("--reasoning-effort", default="medium")
+    a.add_argument("--reasoning-effort", choices=EFFORTS, default=EFFORT)
     a.add_argument("--no-skip-geometry", action="store_true")
     a.add_argument("--batch", action="store_true")
     a.add_argument("--service", required=True, help="module:name of a generator, or of a transport with --batch")
     a.add_argument("--validator", default="lake env lean {file}", help="a command, or module:name")
+    a.add_argument("--run-id", help="the run's name in the dataset's folders; the time in UTC if not given")
+    a.add_argument("--export", action="store_true", help="also a .json and a .lean file for each problem; for small runs")
+    a.add_argument("--manifest-in-summary", action="store_true", help="the summary holds the manifest in one row; for small runs")
     a = sub.add_parser("convert", help="rows of a table whose score is one, as JSON")
     a.add_argument("input")
     a.add_argument("-o", "--output")
     a.add_argument("--pretty", action="store_true")
     a.add_argument("--records", action="store_true", help="records are what is written in any case")
+    a.add_argument("--lines", action="store_true", help="JSON lines instead of one array")
+    a.add_argument("--single-file", action="store_true", help="output is one file, not a folder whose files make the document")
     a.add_argument("--max-rows", type=int)
     a.add_argument("--info", action="store_true")
     a.add_argument("--hf", action="store_true", help="input is a downloaded dataset: input/config/split")
@@ -50,19 +57,32 @@ def parser() -> argparse.ArgumentParser:
     g.add_argument("--file")
     g.add_argument("--code")
     a.add_argument("--axioms", nargs="*", default=[])
-    a.add_argument("--command", dest="build", default="lean {file}")
+    a.add_argument("--run", action="store_true", help="run what was built")
+    a.add_argument("--workdir", help="folder of the project, made if missing; a temporary one if not given")
+    a.add_argument("--with-mathlib", action="store_true")
+    a.add_argument("--command", dest="build", help="a command on {file} instead of a project of its own")
     a = sub.add_parser("status", help="what a bulk job is doing")
     a.add_argument("batch_id")
+    a.add_argument("--api-key")
     a.add_argument("--service", required=True)
     a = sub.add_parser("retrieve", help="results of a bulk job")
     a.add_argument("batch_id")
     a.add_argument("--output-dir", required=True)
+    a.add_argument("--api-key")
     a.add_argument("--service", required=True)
     a.add_argument("--process", action="store_true")
     a.add_argument("--validator", default="lake env lean {file}")
     return p
 
 
+def _service(a):
+    """What --service names. A class is made with the key (given, or of the environment; none raises), the model and the effort."""
+    s = _load(a.service)
+    if not isinstance(s, type):
+        return s
+    return s(api_key=readers.api_key(a.api_key), model=getattr(a, "model", None), reasoning_effort=getattr(a, "reasoning_effort", None))
+
+
 def _validator(spec: str):
     return external.CommandValidator(tuple(spec.split())) if "{file}" in spec else _load(spec)
 
@@ -73,7 +93,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         print("--info is for files, not for downloaded datasets", file=sys.stderr)
         return 1
     if a.command == "status":
-        s = _load(a.service).status(a.batch_id)
+        try:
+            s = _service(a).status(a.batch_id)
+        except Exception as e:
+            print(f"error: {e}", file=sys.stderr)
+            return 1
         print(s.get("status"), runs.progress(s.get("request_counts")))
         return 0
     spark = spark or build_session()
@@ -85,14 +109,18 @@ def main(argv: list[str] | None = None, spark=None) -> int:
 
 
 def _process(a, spark) -> int:
-    problems, prompt, service = readers.problems_json(spark, a.input_file), readers.system_prompt(spark, a.system_prompt), _load(a.service)
-    check, skip = _validator(a.validator), not a.no_skip_geometry
+    began = datetime.now(UTC)
+    problems, prompt, service = readers.problems_json(spark, a.input_file), readers.system_prompt(spark, a.system_prompt), _service(a)
+    check, skip, run_id = _validator(a.validator), not a.no_skip_geometry, a.run_id or began.strftime("%Y%m%d_%H%M%S")
     if a.batch:
-        log = runs.run_batch(problems, prompt, service, check, a.dataset_dir, a.model, a.max_problems, skip)
+        log = runs.run_batch(problems, prompt, service, check, a.dataset_dir, a.model, a.max_problems, skip, effort=a.reasoning_effort, run_id=run_id)
     else:
-        log = runs.run_sync(problems, prompt, external.Retry(service), check, f"{a.dataset_dir}/log", a.max_problems, skip)
-    writers.write_one(runs.summarise(log, model=a.model, reasoning_effort=a.reasoning_effort, skip_complex_geometry=skip, input_file=a.input_file, max_problems=a.max_problems, batch_mode=a.batch), f"{a.dataset_dir}/run_summary")
-    writers.code_files(log, f"{a.dataset_dir}/code")
+        log = runs.run_sync(problems, prompt, external.Retry(service), check, a.dataset_dir, a.max_problems, skip, model=a.model, run_id=run_id)
+    fields = {"timestamp": run_id, "start_time": began.isoformat(), "end_time": datetime.now(UTC).isoformat(), "model": a.model, "reasoning_effort": a.reasoning_effort, "skip_complex_geometry": skip, "system_prompt_file": a.system_prompt, "input_file": a.input_file, "max_problems": a.max_problems, "batch_mode": a.batch}
+    runs.write_summary(log, f"{a.dataset_dir}/runs/{run_id}", a.manifest_in_summary, **fields)
+    writers.code_files(log, f"{a.dataset_dir}/code/run_id={run_id}")
+    if a.export:
+        writers.export_files(log, f"{a.dataset_dir}/files/{run_id}")
     return 0
 
 
@@ -104,24 +132,36 @@ def _convert(a, spark) -> int:
         return 0
     df = readers.hosted_dataset(spark, a.input, a.hf_split, a.hf_config) if a.hf else readers.parquet(spark, a.input)
     d = runs.export_scored(df.withColumn("pos", F.monotonically_increasing_id()) if "pos" not in df.columns else df, a.max_rows)
-    if a.output:
-        writers.write_json_document(d, a.output, "pos", a.pretty)
+    if not a.output:
+        for r in writers.json_document(d, "pos", a.pretty).orderBy("_at").select("line").toLocalIterator():
+            print(r.line)
+        return 0
+    folder = f"{a.output}.parts" if a.single_file else a.output
+    if a.lines:
+        writers.json_lines(d.drop("pos"), folder, "overwrite")
     else:
-        print(writers.json_records(d, "pos", a.pretty).first().json)
+        writers.write_json_document(d, folder, "pos", a.pretty)
+    if a.single_file:
+        writers.merge_files(spark, folder, a.output)
+        writers.remove(spark, folder)
     return 0
 
 
 def _check(a, spark) -> int:
-    code = readers.code(spark, a.file, a.code).select(check_program("code", a.axioms).alias("c")).first().c
-    ok, said = external.CommandValidator(tuple(a.build.split()))(code)
+    """0: built, and run if asked; 3: built with an unfinished proof; else what the step that failed gave."""
+    program = readers.code(spark, a.file, a.code).select(check_program("code", a.axioms).alias("c")).first().c
+    if a.build:
+        ok, said = external.CommandValidator(tuple(a.build.split()))(program)
+        status, output = int(not ok), ""
+    else:
+        status, said, output = external.ProjectCheck(a.workdir, a.with_mathlib, a.run)(program)
     r = spark.createDataFrame([(said,)], "o string").select(has_placeholder("o").alias("sorry"), axiom_lines("o").alias("axioms")).first()
-    print(said, *r.axioms, sep="\n")
-    return 3 if r.sorry else 0 if ok else 1
+    print(*(x for x in (said, output, *r.axioms) if x), sep="\n")
+    return status or (3 if r.sorry else 0)
 
 
 def _retrieve(a, spark) -> int:
-    d = runs.retrieve(spark, _load(a.service).results(a.batch_id), _validator(a.validator) if a.process else None)
-    writers.responses_table(d, a.output_dir)
+    runs.retrieve_to(spark, _service(a).results(a.batch_id), a.output_dir, _validator(a.validator) if a.process else None)
     return 0
 
 

@@ -8,11 +8,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Formats of code fences and step markers, and the sentence that ends a prompt.
+# Formats of code fences and step markers, what a build says of unfinished proofs, and the sentence that ends a prompt.
 LANGUAGE = "lean"
 PLAIN_FENCE = "(?s)```\\n(.*?)```"
 STEP_START = r"(?U)--\s*\[STEP_\d+:"
 STEP_END = r"(?U)--\s*\[END_STEP_\d+\]"
+UNFINISHED = ("declaration uses 'sorry'", "declaration uses sorry")
 ASK = "Please translate this into compilable Lean 4 code with parsable proof steps."
 # White space at both ends; \x1c-\x1f belong to it here but not to \s.
 _EDGE = r"(?U)\A[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
@@ -80,7 +81,7 @@ def has_main(code: Column | str) -> Column:
 
 def has_placeholder(output: Column | str) -> Column:
     """Whether a build's output speaks of an unfinished proof."""
-    return F.contains(_col(output), F.lit("sorry"))
+    return F.contains(_col(output), F.lit(UNFINISHED[0])) | F.contains(_col(output), F.lit(UNFINISHED[1]))
 
 
 def axiom_lines(output: Column | str) -> Column:

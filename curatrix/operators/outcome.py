@@ -55,9 +55,14 @@ def manifest(classified: DataFrame, order: str = "pos") -> DataFrame:
     return classified.select(order, "problem_id", "status", F.concat("problem_id", F.lit(".json")).alias("file"))
 
 
-def manifest_array(classified: DataFrame, order: str = "pos") -> DataFrame:
-    """One row with the whole manifest in order, as a run summary holds it; for runs of a size that one row can hold."""
+ONE_ROW = 100_000  # rows of a run whose manifest one row may hold
+
+
+def manifest_array(classified: DataFrame, order: str = "pos", most: int = ONE_ROW) -> DataFrame:
+    """One row with the whole manifest in order, as a run summary can hold it; raises ValueError for more than ``most`` rows."""
     m = manifest(classified, order)
+    if (n := m.count()) > most:
+        raise ValueError(f"{n} rows are too many for one row of a manifest; write manifest() as a table")
     got = F.array_sort(F.collect_list(F.struct(order, "problem_id", "status", "file")))
     return m.agg(F.transform(got, lambda x: F.struct(x["problem_id"].alias("problem_id"), x["status"].alias("status"), x["file"].alias("file"))).alias("problem_files"))
 

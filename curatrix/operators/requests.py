@@ -10,6 +10,7 @@ from .keys import assert_unique, response_map, unique_request_id
 
 # The request format of the bulk service.
 METHOD, URL = "POST", "/v1/chat/completions"
+EFFORTS, EFFORT = ("low", "medium", "high"), "high"
 
 
 def messages(system: Column, user: Column) -> Column:
@@ -23,8 +24,10 @@ def requests(problems: DataFrame, system_prompt: str, check: bool = True) -> Dat
     return d.withColumn("system_prompt", F.lit(system_prompt)).withColumn("user_prompt", render_prompt("problem", "solution"))
 
 
-def envelope(reqs: DataFrame, model: str, effort: str = "medium") -> DataFrame:
+def envelope(reqs: DataFrame, model: str, effort: str = EFFORT) -> DataFrame:
     """(pos, custom_id, method, url, body): one request line each; other columns stay behind."""
+    if effort not in EFFORTS:
+        raise ValueError(f"effort is one of {', '.join(EFFORTS)}: {effort}")
     body = F.struct(F.lit(model).alias("model"), messages(F.col("system_prompt"), F.col("user_prompt")).alias("messages"), F.lit(effort).alias("reasoning_effort"))
     return reqs.select("pos", "custom_id", F.lit(METHOD).alias("method"), F.lit(URL).alias("url"), body.alias("body"))
 

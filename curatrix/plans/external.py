@@ -6,17 +6,18 @@ again: generators and validators must bear that.
 
 from __future__ import annotations
 
+import contextlib
 import subprocess
 import tempfile
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from functools import partial
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 Generator = Callable[[str, str], "str | None"]
@@ -64,31 +65,91 @@ class CommandValidator:
             return False, str(e)
 
 
+# The project that a standalone check builds, and the line that takes in the library of mathematics.
+LAKEFILE = """import Lake
+open Lake DSL
+
+package «LeanCheck» where
+  -- add configuration options here
+
+lean_lib «LeanCheck» where
+  -- library options
+
+@[default_target]
+lean_exe «Main» where
+  root := `Main
+"""
+MATHLIB = 'require mathlib from git "https://github.com/leanprover-community/mathlib4" @ "master"'
+
+
+@dataclass(frozen=True)
+class ProjectCheck:
+    """Builds a program as a project of its own: a scaffold in ``workdir`` (a temporary folder if None), updated first if it takes in the
+    library, then built, then run if asked. ``build``, ``update`` and ``binary`` can be replaced."""
+
+    workdir: str | None = None
+    mathlib: bool = False
+    run: bool = False
+    build: tuple[str, ...] = ("lake", "build")
+    update: tuple[str, ...] = ("lake", "update")
+    binary: str = ".lake/build/bin/Main"
+
+    def scaffold(self, root: Path, program: str) -> None:
+        (root / "LeanCheck").mkdir(parents=True, exist_ok=True)
+        (root / "lakefile.lean").write_text(f"{MATHLIB}\n{LAKEFILE}" if self.mathlib else LAKEFILE)
+        (root / "Main.lean").write_text(program)
+
+    def __call__(self, program: str) -> tuple[int, str, str]:
+        """(exit code, what the build said, what the program said): the first step that fails ends it."""
+        with contextlib.ExitStack() as held:
+            root = Path(self.workdir or held.enter_context(tempfile.TemporaryDirectory())).resolve()
+            self.scaffold(root, program)
+            do = lambda *command: subprocess.run(command, cwd=root, stdout=subprocess.PIPE, stderr=subprocess.STDOUT, text=True)
+            if self.mathlib and (first := do(*self.update)).returncode:
+                return first.returncode, first.stdout, ""
+            built = do(*self.build)
+            if built.returncode or not self.run:
+                return built.returncode, built.stdout, ""
+            if not (root / self.binary).exists():
+                return 0, built.stdout, "no program was built; it needs a `def main`"
+            ran = do(str(root / self.binary))
+            return ran.returncode, built.stdout, ran.stdout
+
+
 def _column(b: pa.RecordBatch, name: str) -> list:
     return b.column(b.schema.get_field_index(name)).to_pylist()
 
 
+_ANSWER = StructType().add("response", "string").add("call_seconds", "double").add("start_time", "timestamp")
+
+
 def _generate(batches: Iterator[pa.RecordBatch], call: Generator) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out, took = [], []
+        out, took, began = [], [], []
         for s, u in zip(_column(b, "system_prompt"), _column(b, "user_prompt"), strict=True):
+            began.append(datetime.now(UTC))
             t = time.monotonic()
             out.append(call(s, u))
             took.append(round(time.monotonic() - t, 2))
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string()), pa.array(took, pa.float64())], [*b.schema.names, "response", "call_seconds"])
+        made = [pa.array(out, pa.string()), pa.array(took, pa.float64()), pa.array(began, pa.timestamp("us", "UTC"))]
+        yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, *_ANSWER.names])
 
 
 def generate(requests: DataFrame, call: Generator) -> DataFrame:
-    """requests (system_prompt, user_prompt, ...) with response and call_seconds."""
-    d = requests.drop("response", "call_seconds")
-    return d.mapInArrow(partial(_generate, call=call), StructType([*d.schema.fields]).add("response", "string").add("call_seconds", "double"))
+    """requests (system_prompt, user_prompt, ...) with response, call_seconds and start_time. Each row is one call, or more if the plan
+    that holds it is run more than once: write it down before it is used twice."""
+    d = requests.drop(*_ANSWER.names)
+    return d.mapInArrow(partial(_generate, call=call), StructType([*d.schema.fields, *_ANSWER.fields]))
 
 
 def _validate(batches: Iterator[pa.RecordBatch], check: Validator) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("success", pa.bool_()), ("duration_seconds", pa.float64()), ("output", pa.string())])
     for b in batches:
         out = []
-        for code in _column(b, "generated_code"):
+        for response, code in zip(_column(b, "response"), _column(b, "generated_code"), strict=True):
+            if not response:
+                out.append(None)
+                continue
             t = time.monotonic()
             ok, said = check(code)
             out.append({"success": bool(ok), "duration_seconds": round(time.monotonic() - t, 2), "output": said})
@@ -97,10 +158,6 @@ def _validate(batches: Iterator[pa.RecordBatch], check: Validator) -> Iterator[p
 
 def validate(df: DataFrame, check: Validator) -> DataFrame:
     """df (response, generated_code, ...) with compilation; rows without a response are not checked and have null."""
-    from ..operators.outcome import no_response
-
     d = df.drop("compilation")
     kind = StructType([*d.schema.fields]).add("compilation", StructType().add("success", "boolean").add("duration_seconds", "double").add("output", "string"))
-    todo = d.where(~no_response("response")).mapInArrow(partial(_validate, check=check), kind)
-    rest = d.where(no_response("response")).withColumn("compilation", F.lit(None).cast(kind["compilation"].dataType))
-    return todo.unionByName(rest)
+    return d.mapInArrow(partial(_validate, check=check), kind)

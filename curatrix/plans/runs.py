@@ -6,14 +6,14 @@ import time
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_code, step_check
 from ..operators.curate import GEOMETRY, SkipRules, limit_after_filter, limit_before_filter, score_filter, skip_classify
 from ..operators.keys import default_id
-from ..operators.outcome import classify, manifest_array, run_stats
-from ..operators.requests import envelope, join_responses, requests
+from ..operators.outcome import classify, manifest, manifest_array, run_stats, validation_record
+from ..operators.requests import EFFORT, envelope, join_responses, requests
 from ..sources import readers, writers
 from .external import Generator, Validator, generate, validate
 
@@ -37,20 +37,41 @@ def prepare(problems: DataFrame, max_problems: int | None = None, skip: bool = T
     return skip_classify(default_id(limit_before_filter(problems, max_problems)), "problem", rules, skip)
 
 
-def finish(answered: DataFrame, skipped: DataFrame, check: Validator, batch: bool) -> DataFrame:
-    """Code, validation and outcome of answered rows, with the skipped ones; one wide log."""
+def finish(answered: DataFrame, skipped: DataFrame, check: Validator, batch: bool, model: str | None = None) -> DataFrame:
+    """Code, validation and outcome of answered rows, with the skipped ones; one wide log.
+
+    A run of calls has, for each row, start_time, end_time, total_duration_seconds (of its call and its check) and
+    api_call{duration_seconds, model}; a bulk run has the timestamp at which the row was dealt with.
+    """
     d = answered.withColumn("generated_code", F.when(F.length("response") > 0, extract_code("response")))
     d = validate(d, check).withColumn("parsability", step_check("generated_code"))
-    both = d.unionByName(skipped, allowMissingColumns=True)
-    return classify(both, batch).withColumn("batch_mode", F.lit(batch))
+    both = classify(d.unionByName(skipped, allowMissingColumns=True), batch).withColumn("batch_mode", F.lit(batch))
+    now = F.current_timestamp()
+    if batch:
+        return both.withColumn("timestamp", now)
+    took = F.coalesce("call_seconds", F.lit(0.0)) + F.coalesce("compilation.duration_seconds", F.lit(0.0))
+    start = F.coalesce("start_time", now)
+    both = both.withColumn("start_time", start).withColumn("total_duration_seconds", F.round(took, 2)).withColumn("end_time", F.timestamp_micros((F.unix_micros(start) + took * 1e6).cast("long")))
+    called = F.when(~F.col("skipped"), F.struct(F.col("call_seconds").alias("duration_seconds"), F.lit(model).alias("model")))
+    return both.withColumn("api_call", called).drop("call_seconds")
+
+
+def run_sync(problems: DataFrame, system_prompt: str, call: Generator, check: Validator, out: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY, model: str | None = None, run_id: str = "run") -> DataFrame:
+    """The log of a run that calls the generator once for each row that is not skipped, unless a lost task is run again.
+
+    Answers are written to ``out``/answers and read back before they are checked, and the log to ``out``/log/run_id=… before
+    anything counts it: no plan that holds a call is run twice.
+    """
+    spark = problems.sparkSession
+    d = prepare(problems, max_problems, skip, rules)
+    asked = f"{out}/answers/run_id={run_id}"
+    generate(requests(d.where("not skipped"), system_prompt), call).write.mode("overwrite").parquet(asked)
+    writers.problem_logs(finish(spark.read.parquet(asked), d.where("skipped"), check, False, model), f"{out}/log", run_id)
+    return read_log(spark, out, run_id)
 
 
-def run_sync(problems: DataFrame, system_prompt: str, call: Generator, check: Validator, out: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY) -> DataFrame:
-    """The log of a run that calls the generator for each row that is not skipped. It is written to ``out`` and read back before anything counts it."""
-    d = prepare(problems, max_problems, skip, rules)
-    answered = generate(requests(d.where("not skipped"), system_prompt), call)
-    finish(answered, d.where("skipped"), check, False).write.mode("overwrite").parquet(out)
-    return problems.sparkSession.read.parquet(out)
+def read_log(spark: SparkSession, out: str, run_id: str) -> DataFrame:
+    return spark.read.parquet(f"{out}/log/run_id={run_id}")
 
 
 class Transport(Protocol):
@@ -78,34 +99,41 @@ def poll(transport: Transport, job: str, interval: float = INTERVAL, most: float
     return "timeout", last
 
 
+def is_terminal(status: Column | str) -> Column:
+    """Whether a job's status is final."""
+    return F.coalesce((F.col(status) if isinstance(status, str) else status).isin(*TERMINAL), F.lit(False))
+
+
 def progress(counts: dict | None) -> str:
     """Completed of total, and the percentage with one digit."""
     total, done = (counts or {}).get("total", 0), (counts or {}).get("completed", 0)
     return f"{done}/{total} ({done / total * 100 if total else 0:.1f}%)"
 
 
-def run_batch(problems: DataFrame, system_prompt: str, transport: Transport, check: Validator, out: str, model: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY, **waiting) -> DataFrame:
-    """The log of a bulk run under ``out``: request lines, then, once the job is completed, outcomes. Without a row to ask for no job is submitted."""
+def run_batch(problems: DataFrame, system_prompt: str, transport: Transport, check: Validator, out: str, model: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY, effort: str = EFFORT, run_id: str = "run", **waiting) -> DataFrame:
+    """The log of a bulk run under ``out``: request lines, then, once the job is completed, a copy of its raw output, then outcomes, each
+    in a folder by run. Without a row to ask for no job is submitted."""
     spark = problems.sparkSession
     d = prepare(problems, max_problems, skip, rules)
-    requests(d.where("not skipped"), system_prompt).write.mode("overwrite").parquet(f"{out}/requests")
-    reqs = spark.read.parquet(f"{out}/requests")
+    of = lambda name: f"{out}/{name}/run_id={run_id}"
+    requests(d.where("not skipped"), system_prompt).write.mode("overwrite").parquet(of("requests"))
+    reqs = spark.read.parquet(of("requests"))
     if reqs.isEmpty():
         lines = spark.createDataFrame([], "line_no int, custom_id string, response struct<status_code: int, body: struct<choices: array<struct<message: struct<content: string>>>>>")
     else:
-        writers.request_lines(envelope(reqs, model), f"{out}/batch_input")
-        job = transport.submit(f"{out}/batch_input")
-        writers.write_one(writers.batch_info(spark, job, f"{out}/batch_input", time.strftime("%Y-%m-%dT%H:%M:%S"), reqs.count()), f"{out}/batch_info")
+        writers.request_lines(envelope(reqs, model, effort), of("batch_input"))
+        job = transport.submit(of("batch_input"))
+        writers.write_one(writers.batch_info(spark, job, of("batch_input"), time.strftime("%Y-%m-%dT%H:%M:%S"), reqs.count()), of("batch_info"))
         status, last = poll(transport, job, **waiting)
         if status != "completed":
             raise RuntimeError(f"job {job}: {status} {last.get('errors') or ''}")
-        lines = readers.responses(spark, transport.results(job))
-    finish(join_responses(reqs, lines), d.where("skipped"), check, True).write.mode("overwrite").parquet(f"{out}/log")
-    return spark.read.parquet(f"{out}/log")
+        lines = readers.responses(spark, writers.keep_raw(spark, transport.results(job), of("batch_output")))
+    writers.problem_logs(finish(join_responses(reqs, lines), d.where("skipped"), check, True), f"{out}/log", run_id)
+    return read_log(spark, out, run_id)
 
 
 def retrieve(spark: SparkSession, path: str, check: Validator | None = None) -> DataFrame:
-    """(custom_id, response, generated_code[, compilation, parsability]) of bulk output, without the problems."""
+    """(custom_id, response, generated_code[, compilation, parsability]) of bulk output, without the problems. See retrieve_to()."""
     from ..operators.keys import response_map
 
     d = response_map(readers.responses(spark, path)).where(F.length("content") > 0)
@@ -113,5 +141,24 @@ def retrieve(spark: SparkSession, path: str, check: Validator | None = None) ->
     return d if check is None else validate(d, check).withColumn("parsability", step_check("generated_code"))
 
 
-def summarise(log: DataFrame, **fields) -> DataFrame:
-    return writers.run_summary(run_stats(log), manifest_array(log), **fields)
+def retrieve_to(spark: SparkSession, path: str, out: str, check: Validator | None = None) -> None:
+    """Bulk output under ``out``: its raw bytes, and tables by custom_id of responses, of code where there is some, and of verdicts if
+    there is a validator. Each is on disk before the next is made."""
+    kept = writers.keep_raw(spark, path, f"{out}/raw")
+    retrieve(spark, kept).select("custom_id", "response").write.mode("overwrite").parquet(f"{out}/responses")
+    got = spark.read.parquet(f"{out}/responses").withColumn("generated_code", extract_code("response"))
+    got.where(F.length("generated_code") > 0).select("custom_id", F.col("generated_code").alias("code")).write.mode("overwrite").parquet(f"{out}/code")
+    if check is not None:
+        checked = validate(got, check).withColumn("parsability", step_check("generated_code"))
+        validation_record(checked).write.mode("overwrite").parquet(f"{out}/validation")
+
+
+def summarise(log: DataFrame, one_row: bool = False, **fields) -> DataFrame:
+    """The run summary; with one_row it holds the manifest too, which raises for runs too large for that."""
+    return writers.run_summary(run_stats(log), manifest_array(log) if one_row else None, **fields)
+
+
+def write_summary(log: DataFrame, out: str, one_row: bool = False, **fields) -> None:
+    """The summary as one line of JSON in ``out``/run_summary, the manifest as lines in ``out``/problem_files."""
+    writers.write_one(summarise(log, one_row, **fields), f"{out}/run_summary")
+    writers.json_lines(manifest(log).select("pos", "problem_id", "status", "file"), f"{out}/problem_files", "overwrite")

@@ -32,9 +32,8 @@ def problems_json(spark: SparkSession, path: str) -> DataFrame:
     """
     doc = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
     doc = doc.select(F.when(F.startswith(F.schema_of_variant("v"), F.lit("ARRAY")), F.col("v")).otherwise(F.parse_json(F.concat(F.lit("["), F.to_json("v"), F.lit("]")))).alias("v"))
-    doc.createOrReplaceTempView("_problems_json")
-    rows = spark.sql("SELECT CAST(e.pos + 1 AS BIGINT) AS pos, e.value AS v FROM _problems_json, LATERAL variant_explode(v) AS e")
-    spark.catalog.dropTempView("_problems_json")
+    rows = doc.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("_pos"), F.col("value").alias("_v")))
+    rows = rows.select((F.col("_pos") + 1).cast("long").alias("pos"), F.col("_v").alias("v"))
 
     def text(key: str, default) -> F.Column:
         got = F.variant_get("v", f"$.{key}", "variant")
@@ -50,6 +49,14 @@ def problems_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PROBLEM).json(path)
 
 
+def problems_table(df: DataFrame, pos: str) -> DataFrame:
+    """(pos, problem_id, problem, solution, metadata) of a table that may lack columns, by the rule of problems_json(): a missing column has
+    its default, an explicit null stays null but for the id. pos counts rows in the order of the column that is named."""
+    has = lambda c, default: F.col(c) if c in df.columns else default
+    made = F.concat(F.lit("problem_"), F.col(pos).cast("string"))
+    return df.select(F.col(pos).cast("long").alias("pos"), F.coalesce(has("problem_id", made).cast("string"), made).alias("problem_id"), has("problem", F.lit("")).alias("problem"), has("solution", F.lit("")).alias("solution"), has("metadata", F.parse_json(F.lit("{}"))).alias("metadata"))
+
+
 def responses(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """(line_no, custom_id, response) of bulk output. Lines that can't be read are set aside (see bad_responses()); strict raises instead.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import last_writer_wins
@@ -17,29 +17,103 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")})
 
 
-def json_records(df: DataFrame, order: str | None = None, pretty: bool = False) -> DataFrame:
-    """(json): one row with the array of all records, by ``order``, which stays out of the records. For what one row can hold; see json_lines()."""
+def json_document(df: DataFrame, order: str, pretty: bool = False) -> DataFrame:
+    """(_at, line): the lines of one JSON array of all records by ``order``, which must not be null and stays out of the records.
+
+    No row holds more than a record: a record begins with its comma, but for the first, and the brackets are rows of their own.
+    """
     d = _plain(df)
-    cols = [c for c in d.columns if c != order]
-    rec = F.struct(*cols)
-    got = F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), F.to_json(rec, {"ignoreNullFields": "false"}).alias("_r")))), lambda x: x["_r"]) if order else F.collect_list(F.to_json(rec, {"ignoreNullFields": "false"}))
-    out = d.agg(F.concat(F.lit("["), F.array_join(got, ","), F.lit("]")).alias("json"))
-    if pretty:
-        out = out.select(F.to_json(F.from_json("json", F.lit(f"array<{rec_type(df, cols)}>")), {"ignoreNullFields": "false", "pretty": "true"}).alias("json"))
+    how = {"ignoreNullFields": "false"} | ({"pretty": "true"} if pretty else {})
+    return array_lines(d, order, F.to_json(F.struct(*(c for c in d.columns if c != order)), how))
+
+
+def array_lines(df: DataFrame, order: str, record: Column) -> DataFrame:
+    """(_at, line): the lines of one JSON array of records that are texts already. Values of ``order`` must differ."""
+    first = df.agg(F.min(order).alias("_first"))  # one row
+    comma = F.when(F.col(order) > F.col("_first"), F.lit(",")).otherwise(F.lit(""))
+    lines = df.join(F.broadcast(first)).select(F.struct(F.lit(1).alias("part"), F.col(order).alias("at")).alias("_at"), F.concat(comma, record).alias("line"))
+    ends = df.sparkSession.createDataFrame([(0, "["), (2, "]")], "part int, line string")
+    return lines.unionByName(ends.select(F.struct("part", F.lit(None).cast(df.schema[order].dataType).alias("at")).alias("_at"), "line"))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """(_at, line) as text files of a folder, in order: files follow ranges of _at."""
+    lines.repartitionByRange("_at").sortWithinPartitions("_at").select("line").write.mode("overwrite").text(path)
+
+
+def write_json_document(df: DataFrame, path: str, order: str, pretty: bool = False) -> None:
+    """The array's lines as text files of a folder, which make the document when read in the order of their names; see merge_files()."""
+    write_lines(json_document(df, order, pretty), path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def merge_files(spark: SparkSession, folder: str, file: str) -> None:
+    """The files of a folder, in the order of their names, as one file; bytes are streamed, never held."""
+    (src, fs), (dst, to) = _hadoop(spark, folder), _hadoop(spark, file)
+    out = to.create(dst, True)
+    try:
+        for part in sorted(str(x.getPath()) for x in fs.listStatus(src) if not x.getPath().getName().startswith(("_", "."))):
+            own = fs.open(_hadoop(spark, part)[0])
+            try:
+                spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(own, out, 1 << 16, False)
+            finally:
+                own.close()
+    finally:
+        out.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def keep_raw(spark: SparkSession, path: str, out: str) -> str:
+    """A copy of bulk output, byte for byte, which stays whatever becomes of the parse. Gives the copy's path; one that is there is replaced."""
+    (src, fs), (dst, to) = _hadoop(spark, path), _hadoop(spark, out)
+    to.delete(dst, True)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, True, spark._jsc.hadoopConfiguration())
     return out
 
 
-def rec_type(df: DataFrame, cols: list[str]) -> str:
-    return df.select(*cols).schema.simpleString()
+def problem_logs(df: DataFrame, path: str, run: str) -> None:
+    """Logs as a table by run id, all rows; a reader takes last_writer_wins() where one row of a problem is wanted. A run that is there
+    is replaced, other runs stay."""
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run}")
+
 
+EXPORT = 100_000  # problems that may be exported as files
 
-def write_json_document(df: DataFrame, path: str, order: str | None = None, pretty: bool = False) -> None:
-    json_records(df, order, pretty).coalesce(1).write.mode("overwrite").text(path)
 
+def export_files(log: DataFrame, folder: str, key: str = "problem_id", order: str = "pos", most: int = EXPORT) -> int:
+    """For each problem ``{id}.json`` with its log and, where there is code, ``{id}.lean`` in a folder; gives the number of files.
 
-def problem_logs(df: DataFrame, path: str, run: str, mode: str = "append") -> None:
-    """Logs as a table by run id, all rows; a reader takes last_writer_wins() where one row of a problem is wanted."""
-    df.withColumn("run_id", F.lit(run)).write.mode(mode).partitionBy("run_id").parquet(path)
+    On request only: the driver writes one file after another, reading one partition at a time, so more than ``most`` problems
+    raise ValueError; the tables scale. The last row of an id wins. Slashes and a leading dot in an id become underscores;
+    ids whose files would be the same raise.
+    """
+    last = last_writer_wins(log, key, order)
+    name = F.regexp_replace(F.regexp_replace(F.col(key), r"[/\\]", "_"), r"^\.", "_")
+    record = F.to_json(F.struct(*(c for c in last.columns if c != order)), {"pretty": "true"})
+    files = last.select(name.alias("name"), record.alias("log"), F.nullif("generated_code", F.lit("")).alias("code"))
+    n, names = files.agg(F.count("*"), F.count_distinct("name")).first()
+    if n > most or names < n:
+        raise ValueError(f"{n} problems are too many for files" if n > most else "two problems have the same file name")
+    spark, written = log.sparkSession, 0
+    for r in files.toLocalIterator():
+        for suffix, text in (("json", r.log), ("lean", r.code)):
+            if text is not None:
+                path, fs = _hadoop(spark, f"{folder}/{r.name}.{suffix}")
+                out = fs.create(path, True)
+                try:
+                    out.write(bytearray(text.encode()))
+                finally:
+                    out.close()
+                written += 1
+    return written
 
 
 def code_files(df: DataFrame, path: str, key: str = "problem_id", order: str = "pos") -> None:
@@ -47,11 +121,6 @@ def code_files(df: DataFrame, path: str, key: str = "problem_id", order: str = "
     last_writer_wins(df, key, order).where(F.length("generated_code") > 0).select(key, F.col("generated_code").alias("code")).write.mode("overwrite").parquet(path)
 
 
-def responses_table(df: DataFrame, path: str) -> None:
-    """(custom_id, response, code, validation) of responses that have a text, keyed by request."""
-    df.where(F.length("response") > 0).write.mode("overwrite").parquet(path)
-
-
 def request_lines(envelopes: DataFrame, path: str) -> None:
     """One request a line, in order of pos: partitions are ranges of it, files follow partitions."""
     e = envelopes.repartitionByRange("pos").sortWithinPartitions("pos")
@@ -64,8 +133,9 @@ def batch_info(spark, batch_id: str, input_file: str, created_at: str, n: int) -
     return spark.createDataFrame([(batch_id, input_file, created_at, n)], BATCH_INFO)
 
 
-def run_summary(stats: DataFrame, files: DataFrame | None, **fields: str | int | bool | None) -> DataFrame:
-    """One row: the run's fields, stats as a struct, and the manifest if it is given as one row."""
+def run_summary(stats: DataFrame, files: DataFrame | None = None, **fields: str | int | bool | None) -> DataFrame:
+    """One row: the run's fields, stats as a struct, and the manifest if it is given as one row (manifest_array()). Without it, the
+    manifest is a table of its own beside the summary."""
     kinds = {bool: "boolean", int: "long"}
     row = stats.select(*(F.lit(v).cast(kinds.get(type(v), "string")).alias(k) for k, v in fields.items()), F.struct(*stats.columns).alias("stats"))
     return row.crossJoin(files) if files is not None else row  # one row each
