@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import curate, keys, outcome, requests
-from ..sources import readers
-from . import external
+from ..sources import readers, writers
+from ..sources.scratch import new_path
+from . import external, io_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 RULES = curate.SkipRules((("license", "license text"), ("password", "secret")), (("tion", 8),), "too many endings")
@@ -149,10 +150,10 @@ def job_progress(spark, sf_dir):
 
 
 def json_records(spark, sf_dir):
-    """Records as lines and read back: the export's form that scales."""
-    d = _t(spark, sf_dir, "labels")
-    rec = F.to_json(F.struct("doc_id", "quality", "toxic"), {"ignoreNullFields": "false"})
-    return d.select("doc_id", rec.alias("record"))
+    """Records as lines, written and read back: the export's form that scales."""
+    path = new_path(spark, "records")
+    writers.json_lines(_t(spark, sf_dir, "labels"), path)
+    return spark.read.text(path).select(F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"), F.col("value").alias("record"))
 
 
 def table_info(spark, sf_dir):
@@ -170,7 +171,7 @@ def text_functions(spark, sf_dir):
 
 
 def axiom_summary(spark, sf_dir):
-    d = _t(spark, sf_dir, "documents").withColumn("o", F.concat(F.lit("  axioms: a\nnone\naxioms: b\n"), F.col("text")))
+    d = _t(spark, sf_dir, "documents").withColumn("o", F.concat(F.lit("  axioms: a\nnone\naxioms: b\n"), F.col("text"), F.when(F.col("doc_id") % 3 == 0, F.lit("\nwarning: declaration uses 'sorry'")).otherwise(F.lit(""))))
     return d.select("doc_id", F.array_join(T.axiom_lines("o"), "|").alias("axioms"), T.has_placeholder("o").alias("placeholder"))
 
 
@@ -203,7 +204,7 @@ _OWN = (score_filter_scalar, score_filter_array, filter_then_limit, limit_then_f
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in _OWN}
+    return {f.__name__: f for f in _OWN} | io_queries.queries()
 
 
 def _lit(s: str) -> str:
@@ -233,7 +234,7 @@ _PROMPT = "'Problem:' || chr(10) || text || chr(10) || chr(10) || "
 
 def oracle_sql() -> dict[str, str]:
     ask = _lit(T.ASK)
-    return {
+    return io_queries.oracle_sql() | {
         "score_filter_scalar": "SELECT * FROM labels WHERE quality = 1",
         "score_filter_array": "SELECT * FROM labels WHERE doc_id % 5 = 0 OR (doc_id % 5 <> 1 AND quality = 1 AND toxic = 0)",
         "filter_then_limit": "SELECT * FROM labels WHERE quality = 1 ORDER BY doc_id LIMIT 100",
@@ -244,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
         "step_check": f"SELECT doc_id, x > 0 AND x = y AS is_parsable, CASE WHEN x > 0 AND y > 0 THEN x ELSE 0 END::BIGINT AS step_count FROM (SELECT doc_id, {_STARTS} AS x, {_ENDS} AS y FROM (SELECT doc_id, {_CODE} AS c FROM (SELECT doc_id, {_RESPONSE} AS r FROM documents)))",
         "unique_request_id": f"SELECT doc_id AS pos, source AS problem_id, {_UNIQUE} AS custom_id FROM documents",
         "last_writer_wins": "SELECT doc_id AS pos, source AS problem_id, text AS problem FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) = 1",
-        "request_envelope": f"SELECT {_UNIQUE} AS custom_id, 'POST' AS method, '/v1/chat/completions' AS url, 'default' AS model, 'Be brief.' AS system, {_PROMPT} {ask} AS \"user\", 'medium' AS effort FROM documents",
+        "request_envelope": f"SELECT {_UNIQUE} AS custom_id, 'POST' AS method, '/v1/chat/completions' AS url, 'default' AS model, 'Be brief.' AS system, {_PROMPT} {ask} AS \"user\", 'high' AS effort FROM documents",
         "response_dedup": f"WITH {_LINES} SELECT * FROM m",
         "response_join": f"WITH {_LINES} SELECT doc_id::VARCHAR AS custom_id, source AS problem_id, content AS response, coalesce(length(content), 0) = 0 AS no_response FROM documents LEFT JOIN m ON m.custom_id = doc_id::VARCHAR",
         "classify_sync": f"{_SYNC} SELECT doc_id AS pos, status, error, bucket, CASE WHEN NOT (skipped OR silent OR bad) THEN steps END::BIGINT AS step_count FROM o",
@@ -256,7 +257,7 @@ def oracle_sql() -> dict[str, str]:
         "table_info": "SELECT i::INT AS ordinal, c AS column_name, (SELECT count(*) FROM labels)::BIGINT AS n_rows, 3::BIGINT AS n_columns FROM (VALUES (0, 'doc_id'), (1, 'quality'), (2, 'toxic')) t(i, c)",
         "row_counts": "SELECT count(*)::BIGINT AS rows_before, count(*) FILTER (WHERE quality = 1)::BIGINT AS rows_after FROM labels",
         "text_functions": "SELECT doc_id, ((length(text) - length(replace(text, 'tion', ''))) // 4)::BIGINT AS n_tion, len(string_split(text, chr(10)))::BIGINT AS n_lines, CASE WHEN length(source) > 11 THEN substr(source, 1, 7) || '...' || right(source, 4) ELSE '***' END AS masked, contains(text, 'def main') AS has_main, (length('set_option warningAsError true') + 1 + length(regexp_replace(text, '\\s+\\z', '')) + length('#print axioms x') + 2)::BIGINT AS n_program FROM documents",
-        "axiom_summary": "SELECT doc_id, array_to_string(list_filter(list_transform(string_split('  axioms: a' || chr(10) || 'none' || chr(10) || 'axioms: b' || chr(10) || text, chr(10)), lambda x: regexp_replace(x, '\\A\\s+|\\s+\\z', '', 'g')), lambda x: starts_with(x, 'axioms:')), '|') AS axioms, contains(text, 'sorry') AS placeholder FROM documents",
+        "axiom_summary": "SELECT doc_id, array_to_string(list_filter(list_transform(string_split('  axioms: a' || chr(10) || 'none' || chr(10) || 'axioms: b' || chr(10) || text, chr(10)), lambda x: regexp_replace(x, '\\A\\s+|\\s+\\z', '', 'g')), lambda x: starts_with(x, 'axioms:')), '|') AS axioms, contains(text, 'declaration uses ''sorry''') OR contains(text, 'declaration uses sorry') OR doc_id % 3 = 0 AS placeholder FROM documents",
         "external_validate": f"SELECT doc_id, length(c) % 2 = 0 AS success FROM (SELECT doc_id, {_CODE} AS c FROM (SELECT doc_id, CASE WHEN doc_id % 7 <> 0 THEN {_RESPONSE} END AS r FROM documents))",
         "external_generate": f"SELECT doc_id AS pos, CASE WHEN length({_PROMPT} {ask}) % 5 <> 0 THEN '```lean' || chr(10) || 'Be brief.' || chr(10) || '```' END AS response FROM documents",
         "flagship": f"{_BATCH} SELECT {_STATS} FROM o JOIN labels USING (doc_id) WHERE quality = 1",

@@ -192,17 +192,54 @@ def _problems(spark):
 
 def test_runs(spark, tmp_path):
     good, echo = _stubs()
-    log = runs.run_sync(_problems(spark), "S", external.Retry(echo), good, str(tmp_path / "sync"))
+    log = runs.run_sync(_problems(spark), "S", external.Retry(echo), good, str(tmp_path / "sync"), model="m")
     assert outcome.run_stats(log).first().asDict() == {"total": 5, "successful": 2, "skipped": 1, "failed_compilation": 1, "failed_parsable": 0, "failed_api": 1}
     log = runs.run_batch(_problems(spark), "S", Service(tmp_path), good, str(tmp_path / "batch"), "m", interval=0.0, most=1e-9 + 5, sleep=lambda s: None)
     got = outcome.run_stats(log).first()
     assert got.total == 5 and got.skipped == 1 and got.successful + got.failed_compilation == 4
-    writers.write_one(runs.summarise(log, model="m", batch_mode=True, max_problems=None), str(tmp_path / "summary"))
-    s = spark.read.json(str(tmp_path / "summary")).first()
+    raw = tmp_path / "batch/batch_output/run_id=run"
+    assert raw.read_bytes() == (tmp_path / "out.jsonl").read_bytes()
+    runs.write_summary(log, str(tmp_path / "summary"), one_row=True, model="m", batch_mode=True, max_problems=None)
+    s = spark.read.json(str(tmp_path / "summary/run_summary")).first()
     assert s.stats.total == 5 and len(s.problem_files) == 5 and s.batch_mode is True
+    assert spark.read.json(str(tmp_path / "summary/problem_files")).count() == 5
+    with pytest.raises(ValueError, match="too many"):
+        outcome.manifest_array(log, most=4)
     assert runs.run_sync(_problems(spark).limit(2), "S", external.Retry(echo), good, str(tmp_path / "l"), max_problems=1).count() == 1
 
 
+def test_one_call_a_row(spark, tmp_path):
+    """A generator that fails at random, and differently each time it is asked."""
+    calls, checks = spark.sparkContext.accumulator(0), spark.sparkContext.accumulator(0)
+
+    def flaky(system, user):
+        import random
+
+        calls.add(1)
+        return f"```lean\n{random.random()}\n```" if random.random() < 0.5 else None
+
+    def check(code):
+        checks.add(1)
+        return True, code
+
+    d = spark.createDataFrame([(i, f"p{i}", f"text {i}", "") for i in range(1, 11)], "pos long, problem_id string, problem string, solution string")
+    for k in range(3):
+        log = runs.run_sync(d, "S", flaky, check, str(tmp_path / "flaky"), run_id=f"r{k}").collect()
+        assert sorted(r.pos for r in log) == list(range(1, 11)) and calls.value == 10 * (k + 1)
+        assert all((r.response is None) == (r.compilation is None) for r in log)
+        assert all(r.response is None or r.compilation.output in r.response for r in log)  # the answer that was logged is the one that was checked
+    answered = sum(spark.read.parquet(str(tmp_path / f"flaky/log/run_id=r{k}")).where("response is not null").count() for k in range(3))
+    assert checks.value == answered and spark.read.parquet(str(tmp_path / "flaky/log")).count() == 30
+
+
+def test_log_fields(spark, tmp_path):
+    good, echo = _stubs()
+    log = runs.run_sync(_problems(spark), "S", external.Retry(echo), good, str(tmp_path / "sync"), model="m").orderBy("pos").collect()
+    assert all(r.start_time <= r.end_time and r.total_duration_seconds >= 0 for r in log)
+    assert [r.api_call and r.api_call.model for r in log] == ["m", None, "m", "m", "m"]
+    assert log[0].user_prompt.startswith("Problem:\none") and log[1].user_prompt is None
+
+
 def test_poll_and_retry():
     class Never:
         def status(self, job):
@@ -223,8 +260,11 @@ def test_json_export(spark, tmp_path):
     d = spark.createDataFrame([(1, 1, float("nan"), None), (2, 1, 2.5, "a/é"), (3, 0, 1.0, "n")], "pos int, score int, x double, s string")
     kept = runs.export_scored(d)
     for pretty in (False, True):
-        got = json.loads(writers.json_records(kept, "pos", pretty).first().json)
+        writers.write_json_document(kept, str(tmp_path / f"d{pretty}"), "pos", pretty)
+        writers.merge_files(spark, str(tmp_path / f"d{pretty}"), str(tmp_path / f"d{pretty}.json"))
+        got = json.loads((tmp_path / f"d{pretty}.json").read_text())
         assert got == [{"score": 1, "x": None, "s": None}, {"score": 1, "x": 2.5, "s": "a/é"}]
+        assert json.loads("".join(r.line for r in writers.json_document(kept.where("pos > 9"), "pos", pretty).orderBy("_at").collect())) == []
     writers.json_lines(kept, str(tmp_path / "l"))
     assert "null" in "".join(r.value for r in spark.read.text(str(tmp_path / "l")).collect())
 
@@ -236,9 +276,62 @@ def test_table_info_and_cli(spark, tmp_path, capsys):
     assert [(r.column_name, r.n_rows, r.n_columns) for r in info] == [("a", 2, 2), ("score", 2, 2)] and info[0].n_bytes > 0
     assert cli.main(["convert", str(tmp_path / "t")], spark) == 0
     assert json.loads(capsys.readouterr().out) == [{"a": 1, "score": 1}]
+    assert cli.main(["convert", str(tmp_path / "t"), "-o", str(tmp_path / "one.json"), "--single-file", "--pretty"], spark) == 0
+    assert json.loads((tmp_path / "one.json").read_text()) == [{"a": 1, "score": 1}] and not (tmp_path / "one.json.parts").exists()
+    assert cli.main(["convert", str(tmp_path / "t"), "-o", str(tmp_path / "lines"), "--lines"], spark) == 0
+    assert [r.asDict() for r in spark.read.json(str(tmp_path / "lines")).collect()] == [{"a": 1, "score": 1}]
     assert cli.main(["convert", "x", "--info", "--hf"]) == 1
     assert cli.main(["check", "--code", "x", "--command", "cat {file}"], spark) == 0
-    assert cli.main(["check", "--code", "sorry", "--command", "cat {file}"], spark) == 3
+    assert cli.main(["check", "--code", "declaration uses 'sorry'", "--command", "cat {file}"], spark) == 3
+    assert cli.main(["check", "--code", "declaration uses 'sorry'", "--command", "false {file}"], spark) == 1
+    assert cli.main(["check", "--code", "x", "--workdir", str(tmp_path / "project")], spark) == 1  # no build tool here
+    assert (tmp_path / "project/Main.lean").read_text() == "set_option warningAsError true\nx\n" and "lean_exe" in (tmp_path / "project/lakefile.lean").read_text()
+
+
+class Asked:
+    """A service that is made with what the command line says."""
+
+    made: list = []
+
+    def __init__(self, api_key, model, reasoning_effort):
+        Asked.made.append((api_key, model, reasoning_effort))
+
+    def status(self, job):
+        return {"status": "in_progress", "request_counts": {"total": 4, "completed": 1}}
+
+    def submit(self, path):
+        import shutil
+
+        Asked.path = path
+        self.out = f"{path}-out"
+        shutil.rmtree(self.out, ignore_errors=True)
+        return "job"
+
+    def results(self, job):
+        return Asked.results_path
+
+
+def test_command_line_of_a_service(spark, tmp_path, capsys, monkeypatch):
+    spec = f"{__name__}:Asked"
+    monkeypatch.delenv("OPENAI_API_KEY", raising=False)
+    assert cli.main(["status", "job", "--service", spec]) == 1 and "no key" in capsys.readouterr().err
+    assert cli.main(["status", "job", "--service", spec, "--api-key", "k"]) == 0 and "in_progress 1/4 (25.0%)" in capsys.readouterr().out
+    monkeypatch.setenv("OPENAI_API_KEY", "env")
+    (tmp_path / "in.json").write_text(json.dumps([{"problem_id": "a/b", "problem": "one"}, {"problem_id": "c", "problem": "construct"}]))
+    (tmp_path / "out.jsonl").write_text(_line("a/b", "```lean\nx\n```"))
+    Asked.results_path, Asked.status = str(tmp_path / "out.jsonl"), lambda self, job: {"status": "completed"}
+    code = cli.main(["process", str(tmp_path / "in.json"), "--service", spec, "--batch", "--model", "m", "--reasoning-effort", "low", "--dataset-dir", str(tmp_path / "d"), "--run-id", "r", "--export", "--manifest-in-summary", "--validator", "cat {file}"], spark)
+    assert code == 0 and Asked.made[-1] == ("env", "m", "low")
+    lines = [json.loads(x.value) for x in spark.read.text(Asked.path).collect()]
+    assert [x["body"]["reasoning_effort"] for x in lines] == ["low"]
+    assert sorted(x.name for x in (tmp_path / "d/files/r").iterdir() if not x.name.startswith(".")) == ["a_b.json", "a_b.lean", "c.json"]
+    assert json.loads((tmp_path / "d/files/r/c.json").read_text())["status"] == "skipped"
+    summary = spark.read.json(str(tmp_path / "d/runs/r/run_summary")).first()
+    assert (summary.reasoning_effort, summary.stats.skipped, len(summary.problem_files)) == ("low", 1, 2) and summary.start_time <= summary.end_time
+    assert cli.main(["retrieve", "job", "--service", spec, "--output-dir", str(tmp_path / "got"), "--process", "--validator", "cat {file}"], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "got/validation")).first().compilation.success and (tmp_path / "got/raw").read_bytes() == (tmp_path / "out.jsonl").read_bytes()
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["process", "x", "--service", "s", "--reasoning-effort", "huge"])
 
 
 def test_landing_stream(spark, tmp_path):
@@ -253,9 +346,31 @@ def test_landing_stream(spark, tmp_path):
 def test_envelope(spark):
     d = requests.envelope(requests.requests(_problems(spark).where("problem_id is not null"), "S"), "m").orderBy("pos").first()
     assert (d.custom_id, d.method, d.body.model, [m.role for m in d.body.messages], d.body.messages[0].content) == ("a", "POST", "m", ["system", "user"], "S")
+    assert d.body.reasoning_effort == "high"
+    with pytest.raises(ValueError, match="effort"):
+        requests.envelope(requests.requests(_problems(spark), "S"), "m", "huge")
 
 
 def test_entry():
     import __spark_entry__ as e
 
     assert {"flagship", "score_filter_scalar"} <= set(e.queries()) and set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_queries_agree_with_sql(spark):
+    """The queries that write, read, call or wait, against the other engine on the smallest tables."""
+    import duckdb
+
+    from curatrix.plans import io_queries
+
+    con = duckdb.connect()
+    for t in ("documents", "labels", "events"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    sql = io_queries.oracle_sql()
+    for name, query in io_queries.queries().items():
+        df = query(spark, "/root/testdata/sf0.001")
+        cols = sorted(df.columns)
+        got = con.execute(sql[name])
+        at = [[x[0] for x in got.description].index(c) for c in cols]
+        want = sorted(repr(tuple(r[i] for i in at)) for r in got.fetchall())
+        assert sorted(repr(tuple(r[c] for c in cols)) for r in df.collect()) == want, name
