@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import table
+from .storage import discard, table
 
 
 def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -27,7 +27,8 @@ def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
         large = _oriented(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        e = table(_oriented(small.unionByName(least.select("a", F.col("m").alias("b")))), "edges")
+        old, e = e, table(_oriented(small.unionByName(least.select("a", F.col("m").alias("b")))), "edges")
+        discard(old)
     else:
         raise RuntimeError("components did not settle")
     stars = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"))

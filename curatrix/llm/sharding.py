@@ -45,7 +45,8 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long"), (F.octet_length(F.coalesce("text", F.lit(""))) + F.lit(1)).cast("long").alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))
     d = d.repartitionByRange(n, "doc_id", "size", "text_crc32").sortWithinPartitions("doc_id", "size", "text_crc32").checkpoint()  # keeps its partitions and their order
     totals = d.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).orderBy("p").collect()
     before, size0, row0 = {}, 0, 0

@@ -1,34 +1,15 @@
-"""Intermediate tables in the folder that the whole cluster shares (``spark.checkpoint.dir``)."""
+"""Intermediate tables in the folder that the whole cluster shares."""
 
 from __future__ import annotations
 
-import atexit
-import contextlib
-import tempfile
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-_own: str | None = None
-_made: list[tuple[SparkSession, str]] = []
+from ..sources.scratch import drop, made, new_path, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``. Only where it is unset (one-machine tests) a temporary folder takes its place."""
-    global _own
-    if said := spark.conf.get("spark.checkpoint.dir", None):
-        return said.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if _own is None:
-        _own = f"file://{tempfile.mkdtemp(prefix='curatrix-')}"
-    return _own
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/curatrix-{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
+__all__ = ["discard", "input_chars", "new_path", "shared_dir", "stage_table", "table"]
 
 
 def table(df: DataFrame, name: str) -> DataFrame:
@@ -36,25 +17,26 @@ def table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.curatrix_path = path
+    return out
 
 
-def _drop_all() -> None:
-    for spark, path in _made:
-        with contextlib.suppress(Exception):  # the session may be gone by then
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def stage_table(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """table() of what make() gives; the tables that make() wrote on the way are deleted, as nothing needs them any more."""
+    before = set(made())
+    df = make()
+    used = [x for x in made() if x not in before]
+    out = table(df, name)
+    drop(used)
+    return out
 
 
-atexit.register(_drop_all)
-
-
-def broadcast_value(spark: SparkSession, value):
-    return spark.sparkContext.broadcast(value)
+def discard(df: DataFrame) -> None:
+    """Delete what table() wrote for df."""
+    drop([df.curatrix_path])
 
 
 def input_chars(docs: DataFrame, column: str = "text") -> int:
     """Characters in a text column; sizes the number of buckets, never what is kept."""
-    from pyspark.sql import functions as F
-
     return int(docs.agg(F.sum(F.length(column).cast("long"))).first()[0] or 0)
