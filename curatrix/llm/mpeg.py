@@ -125,13 +125,22 @@ class Stream:
     table: str = ""
     table_frames: int | None = None
     table_bytes: int | None = None
+    table_at: int = 0
     toc: bytes = b""
+    end: int = 0
     tags: tuple[str, ...] = ()
 
     @property
     def seconds(self) -> Fraction:
         return Fraction(self.samples, self.hz) if self.hz else Fraction(0)
 
+    @property
+    def table_right(self) -> bool | None:
+        """Whether the table's counts, where it has any, are those of what was found: frames after it, and bytes from it to the last frame's end."""
+        if not self.table:
+            return None
+        return self.table_frames in (None, len(self.offsets)) and self.table_bytes in (None, self.end - self.table_at)
+
     def seek(self, sample: int) -> int:
         """The offset of the frame that holds a sample, from frames of equal length."""
         return int(self.offsets[min(len(self.offsets) - 1, max(0, sample * len(self.offsets) // max(1, self.samples)))])
@@ -176,8 +185,9 @@ def parse(b: bytes) -> Stream:
         synced = True
         if not len(offsets) and not s.table and (t := _table(b, at, h)):
             s.table, s.table_frames, s.table_bytes, s.toc = t
-            s.hz = h.hz
+            s.hz, s.table_at = h.hz, at
             at += h.size
+            s.end = at
             continue
         # frames with the same four bytes that follow without a gap are taken together
         n = 1
@@ -193,6 +203,7 @@ def parse(b: bytes) -> Stream:
         offsets.append(at + h.size * np.arange(n))
         s.hz, s.samples = h.hz, s.samples + n * h.samples
         at += n * h.size
+        s.end = at
     s.offsets = np.concatenate(offsets) if offsets else s.offsets
     s.tags = tuple(tags)
     return s
@@ -205,38 +216,49 @@ def unpack(b: bytes, s: Stream | None = None) -> bytes:
     return a[s.offsets[:, None] + np.arange(_DATA, _DATA + UNIT)].tobytes() if len(s.offsets) else b""
 
 
+_STORED = "doc_id long, n_bytes long, media binary, samples long, hz int, frame_offsets array<long>"
+_LONGS = pa.list_(pa.int64())
+
+
 def _stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in tv.sub_batches(batches):
         texts = [x or b"" for x in b.column(1).cast(pa.large_binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array([pack(pad_payload(x)) for x in texts], pa.binary())], ["doc_id", "n_bytes", "media"])
+        media = [pack(pad_payload(x)) for x in texts]
+        found = [parse(x) for x in media]
+        columns = [b.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(media, pa.binary()), pa.array([s.samples for s in found], pa.int64()), pa.array([s.hz for s in found], pa.int32()), pa.array([s.offsets for s in found], _LONGS)]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_bytes", "media", "samples", "hz", "frame_offsets"])
 
 
 def store(docs: DataFrame, path: str) -> None:
-    """Write (doc_id, n_bytes, media): each whole text, null as empty, as an MPEG audio stream."""
-    d = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stored, "doc_id long, n_bytes long, media binary")
+    """Write (doc_id, n_bytes, media, samples, hz, frame_offsets): each whole text, null as empty, as an MPEG audio stream, with
+    its exact duration (samples / hz) and the byte offset of each frame."""
+    d = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_stored, _STORED)
     d.write.option("compression", "zstd").parquet(path)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "samples", "hz", "frame_offsets"]
+    names = ["payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "index_right"]
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
     for b in tv.sub_batches(batches, "media", 8 << 20):
-        out: list[list] = [[] for _ in names[2:]]
-        for raw in b.column(2).to_pylist():
+        out: list[list] = [[] for _ in names]
+        stored = b.column(5)
+        flat, size = stored.flatten().to_numpy(), stored.value_lengths().to_numpy()
+        for raw, samples, hz, offsets in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist(), np.split(flat, np.cumsum(size)[:-1]), strict=True):
             s = parse(raw)
             p = unpack(raw, s)
-            offsets = s.offsets.astype("<u4").tobytes()
-            feature = f"{s.table} frames={len(s.offsets)} of {s.table_frames} samples={s.samples} hz={s.hz} crc={s.checked - s.bad}/{s.checked} skipped={s.skipped} tags={'+'.join(s.tags)} seek={zlib.crc32(offsets):08x}"
-            row = (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(raw), hashlib.sha256(raw).hexdigest(), feature, s.samples, s.hz, s.offsets)
-            for x, y in zip(out, row, strict=True):
+            right = (samples, hz) == (s.samples, s.hz) and np.array_equal(offsets, s.offsets) and s.table_right is not False
+            seek = zlib.crc32(s.offsets.astype("<u4").tobytes())
+            feature = f"{s.table} frames={len(s.offsets)} of {s.table_frames} bytes={s.table_bytes} counts={'right' if s.table_right else 'wrong'} samples={s.samples} hz={s.hz} crc={s.checked - s.bad}/{s.checked} skipped={s.skipped} tags={'+'.join(s.tags)} seek={seek:08x}"
+            for x, y in zip(out, (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(raw), hashlib.sha256(raw).hexdigest(), feature, right), strict=True):
                 x.append(y)
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))], names)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True)), *(b.column(i) for i in (3, 4, 5))], ["doc_id", "n_bytes", *names, "samples", "hz", "frame_offsets"])
 
 
 def read(spark, path: str) -> DataFrame:
-    """What is stored, read back and parsed: digests of payload and stream, a feature text, exact duration and frame offsets."""
-    kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, samples long, hz int, frame_offsets array<long>"
-    return spark.read.schema("doc_id long, n_bytes long, media binary").parquet(path).mapInArrow(_features, kinds)
+    """What is stored, read back and parsed: digests of payload and stream, a feature text, the stored duration and frame offsets, and
+    whether these and the counts in the stream's table are what the parser finds."""
+    kinds = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, index_right boolean, samples long, hz int, frame_offsets array<long>"
+    return spark.read.schema(_STORED).parquet(path).mapInArrow(_features, kinds)
 
 
 def media_column(docs: DataFrame, path: str | None = None) -> DataFrame:

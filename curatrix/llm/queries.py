@@ -31,7 +31,7 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents"), keep=("doc_id",)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,8 +56,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-    return mpeg.media_column(_table(spark, sf_dir, "documents")).select(*wanted)
+    return mpeg.media_column(_table(spark, sf_dir, "documents"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
