@@ -6,7 +6,7 @@ position whose residue is in D. So only 4 of 13 positions are hashed and sent:
 
 1. Anchors: each slice of texts sends its distinct anchor hashes, in one binary row for each bucket; the bucket answers
    which are found elsewhere too. Anchors that a slice itself holds twice need no answer.
-2. Windows: documents with a repeated anchor extend it: each 20-word window around one is hashed (128 bits), a slice sends
+2. Windows: documents with a repeated anchor extend it: each 20-word window around one is hashed (two hashes, 72 bits of which are sent besides the bucket), a slice sends
    each distinct window once with its first start, and the bucket answers which start is the first of all, its owner.
 3. A candidate window that is not its owner starts earlier somewhere else, and its words go.
 
@@ -311,7 +311,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     buckets = max(n, -(-input_chars(base) // BUCKET_CHARS))
     groups = buckets
     dealt = lambda rows, *by: rows.repartition(n, by[0]).sortWithinPartitions(*by)
-    group = F.when(F.col("doc_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.lit(groups))).cast("int")
+    group = F.pmod(F.xxhash64(F.when(F.col("doc_id").isNull(), F.hash("text").cast("long")).otherwise(F.col("doc_id"))), F.lit(groups)).cast("int")  # rows without an id, which get no answer, anywhere
     texts = base.select(group.alias("grp"), F.lit(2).alias("kind"), "doc_id", "text", F.lit(None).cast("binary").alias("doc"), F.lit(None).cast("binary").alias("pos"))
     sent = dealt(real.mapInArrow(partial(_send_anchors, window=window, buckets=buckets), _BLOBS), "bucket")
     marks = table(sent.mapInArrow(partial(_answer_anchors, groups=groups), _SAID), "marks")
