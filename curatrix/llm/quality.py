@@ -14,6 +14,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +23,8 @@ from . import textvec as tv
 SAMPLE = 4000  # labelled rows that the classifier is learned from, at most
 WORD_BITS, CHAR_BITS = 15, 14
 THRESHOLD = 0.5
+RATE = 0.1
+UNIT = 1 << 20  # weights are whole multiples of 1 / UNIT
 BATCH_BYTES = 512 << 10  # text that is scored at once: its features take about 150 times as much
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -31,7 +34,7 @@ _PAIR, _CH = _U(0x9E3779B97F4A7C15), [_U(0x9FB21C651E98DF25), _U(0xC2B2AE3D27D4E
 
 @dataclass
 class Model:
-    """p = sigmoid(scale * (bias + mean word weight + mean character weight) + shift)."""
+    """p = sigmoid(scale * (bias + mean word weight + mean character weight) + shift); weight holds weights times UNIT."""
 
     weight: np.ndarray
     bias: float
@@ -78,31 +81,37 @@ def _firsts(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _features(w: tv.Words) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
     """Hashed feature ids in text order and their offsets by document: of words and word pairs, and of code-point n-grams."""
-    n = len(w.hash)
     one = (w.hash >> _U(64 - WORD_BITS)).astype(np.int64)
-    two = np.zeros(n, np.int64)
-    if n > 1:
-        two[1:] = ((w.hash[1:] * _PAIR + w.hash[:-1]) * _CH[0] >> _U(64 - WORD_BITS)).astype(np.int64)
+    before = np.zeros(len(w.hash), np.uint64)
+    before[1:] = w.hash[:-1]
+    before[w.off[:-1][w.count > 0]] = 0  # a text's first word has none before it
+    two = ((w.hash * _PAIR + before) * _CH[0] >> _U(64 - WORD_BITS)).astype(np.int64)
     words = np.stack([one, two], 1).reshape(-1)
     lead = (w.buf & 0xC0) != 0x80
     code = np.frombuffer(w.buf.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.uint64)
     off = np.concatenate([[0], np.cumsum(lead)])[w.doc_off]
     chars = np.zeros((len(code), 3), np.int64)
     h = np.zeros(len(code), np.uint64)
-    for k in range(3):  # grams that reach back into the text before are as good as noise: at most two for each text
-        h[k:] += (code[: len(code) - k] + _U(1)) * _CH[k]
+    first = off[:-1][np.diff(off) > 0]
+    for k in range(3):  # a gram ends at its text's beginning
+        back = np.zeros(len(code), np.uint64)
+        back[k:] = (code[: len(code) - k] + _U(1)) * _CH[k]
+        for j in range(k):
+            back[first[first + j < len(code)] + j] = 0
+        h += back
         chars[:, k] = ((h * _PAIR) >> _U(64 - CHAR_BITS)).astype(np.int64)
     return (words, 2 * w.off), (chars.reshape(-1) + (1 << WORD_BITS), 3 * off)
 
 
 def _mean(values: np.ndarray, off: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
     return (total[off[1:]] - total[off[:-1]]) / np.maximum(1, np.diff(off))
 
 
 def score(w: tv.Words, m: Model) -> np.ndarray:
-    """The calibrated probability that each text is good."""
-    logit = sum(_mean(m.weight[ids], off) for ids, off in _features(w)) + m.bias
+    """The calibrated probability that each text is good. Weights are summed as whole numbers, so that a text's score does not
+    depend on the texts around it."""
+    logit = sum(_mean(m.weight[ids], off) for ids, off in _features(w)) / UNIT + m.bias
     return 1 / (1 + np.exp(-np.clip(m.scale * logit + m.shift, -50, 50)))
 
 
@@ -117,7 +126,7 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(ids, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32()))], ["doc_id", "label", "ids", "vals"])
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = 150) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 25, seed: int = 11) -> Model:
     """A model from labels (doc_id, quality: null is no label). Without both kinds of label it lets everything pass.
 
     The driver gets at most ``sample`` rows of at most 2**WORD_BITS + 2**CHAR_BITS numbers each.
@@ -126,11 +135,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")
     got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<int>, vals array<float>").toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    kinds = np.asarray([xxhash.xxh3_64_intdigest(x.values.to_numpy().tobytes()) for x in got.column("ids")], np.uint64)
+    order = np.lexsort((kinds, got.column("doc_id").to_numpy()))
     y = (got.column("label").to_numpy()[order] > 0).astype(float)
     size = (1 << WORD_BITS) + (1 << CHAR_BITS)
     if not 0 < y.sum() < len(y):
-        return Model(np.zeros(size), 1.0, 1.0, 0.0)
+        return Model(np.zeros(size, np.int64), 1.0, 1.0, 0.0)
     flat = lambda name: np.concatenate([c.flatten().to_numpy() for c in got.column(name).chunks])
     many = np.concatenate([c.value_lengths().to_numpy() for c in got.column("ids").chunks]).astype(np.int64)
     start, many = (np.cumsum(many) - many)[order], many[order]
@@ -142,31 +152,31 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int
         held[:] = False
 
     def parts(rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """(rows, the row of each value among them, feature ids, values), 64 rows at a time: the driver's memory is small."""
-        for k in range(0, len(rows), 64):
-            r = rows[k : k + 64]
+        """(rows, the row of each value among them, feature ids, values), 128 rows at a time: the driver's memory is small."""
+        for k in range(0, len(rows), 128):
+            r = rows[k : k + 128]
             n = many[r]
             at = np.repeat(start[r] - (np.cumsum(n) - n), n) + np.arange(n.sum())
             yield r, np.repeat(np.arange(len(r)), n), ids[at], vals[at]
 
-    balance = np.where(y > 0, 0.5 / y[~held].mean(), 0.5 / (1 - y[~held]).mean()) * ~held / (~held).sum()
-    learned = np.flatnonzero(~held)
-    w, bias = np.zeros(size), 0.0
+    balance = np.where(y > 0, 0.5 / y[~held].mean(), 0.5 / (1 - y[~held]).mean()) * ~held
+    learned, rng = np.flatnonzero(~held), np.random.Generator(np.random.PCG64(seed))
+    w, bias, t = np.zeros(size), 0.0, 0
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
-    for t in range(1, rounds + 1):
-        g, gb = 1e-7 * w, 0.0
-        for r, row, i, x in parts(learned):
-            err = (1 / (1 + np.exp(-np.bincount(row, w[i] * x, len(r)) - bias)) - y[r]) * balance[r]
-            g += np.bincount(i, err[row] * x, size)
-            gb += err.sum()
-        m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
-        step = 0.3 * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
-        w -= step * m / (np.sqrt(v) + 1e-10)
-        bias -= step * mb / (np.sqrt(vb) + 1e-10)
+    for epoch in range(epochs):
+        for r, row, i, x in parts(rng.permutation(learned)):
+            err = (1 / (1 + np.exp(-np.bincount(row, w[i] * x, len(r)) - bias)) - y[r]) * balance[r] / len(r)
+            g, gb, t = np.bincount(i, err[row] * x, size) + 1e-7 * w, err.sum(), t + 1
+            m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
+            step = RATE * (1 - 0.9 * epoch / epochs) * np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
+            w -= step * m / (np.sqrt(v) + 1e-10)
+            bias -= step * mb / (np.sqrt(vb) + 1e-10)
+    weight = np.round(w * UNIT).astype(np.int64)
+    w = weight / UNIT
     z = np.concatenate([np.bincount(row, w[i] * x, len(r)) for r, row, i, x in parts(np.arange(len(y)))]) + bias
     part = held if held.any() else ~held
     scale, shift = _platt(z[part], y[part])
-    return Model(w.astype(np.float32), float(bias), scale, shift)
+    return Model(weight, float(bias), scale, shift)
 
 
 def _platt(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -198,8 +208,8 @@ def _judge(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]
 def quality_rules(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
     """A row for each row of docs (doc_id, text): the base counts, base_failed, p_good and kept.
 
-    A null or empty text has no word: its counts are 0 and it fails the base rules. A null doc_id stays null. Repeated
-    rows are judged alike; other columns are not read; an empty table gives an empty result.
+    A null or empty text has no word: its counts are 0 and it fails the base rules. A null doc_id stays null. Equal
+    texts are judged alike, whatever stands around them; other columns are not read; an empty table gives an empty result.
     """
     m = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels))  # a few hundred kB, fixed by WORD_BITS and CHAR_BITS
     kind = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, p_good double, kept boolean"
