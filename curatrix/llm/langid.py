@@ -1,12 +1,14 @@
 """Language identification by a bidirectional gated recurrent network over bytes, learned in numpy.
 
-Texts are cut into pieces of ``STEP`` bytes (the last one filled up with spaces, whose positions do not count). Within a
-piece one recurrent network runs forwards and one backwards; the two states at a byte give that byte's probabilities of
-the languages, so that every byte of the whole text is labelled. A document's probabilities are the mean over its bytes.
-
-The network learns by backpropagation through time from pieces of a bounded sample of documents: about ``PER_LANG``
-documents of each language, ``MOST`` at most, those with the smallest hash of doc_id, and of each ``PIECES`` pieces spread evenly over its
-text. Only documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
+One recurrent network runs forwards over a text's bytes and one backwards; the two states at a byte give that byte's
+probabilities of the languages, so that every byte of the whole text is labelled. A document's probabilities are the mean over
+its bytes. The texts of a batch advance together, byte by byte. States are carried through the whole of a text up to ``SEGMENT``
+bytes; a longer one is cut into segments of that length, each of which both networks enter ``WARM`` bytes early, so
+that no byte has less than that before and after it but at the text's ends.
+
+The network learns by backpropagation through time from windows of ``WINDOW`` bytes that together are the whole texts of a
+bounded sample of documents: about ``PER_LANG`` of each language, ``MOST`` at most, those with the smallest hash of doc_id. Only
+documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
 """
 
 from __future__ import annotations
@@ -22,9 +24,8 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 
-STEP, HIDDEN = 64, 8
-PER_LANG, MOST, PIECES = 500, 20_000, 3
-BATCH = 2048  # pieces that advance together
+HIDDEN, SEGMENT, WARM, BLOCK = 8, 4096, 64, 64
+PER_LANG, MOST, WINDOW = 120, 5_000, 96
 _f = np.float32
 
 
@@ -49,39 +50,42 @@ def _gate(a: np.ndarray) -> np.ndarray:
     return np.clip(a, 0, 1, out=a)
 
 
-def forward(net: Network, piece: np.ndarray, keep: bool = False):
-    """Probabilities (STEP, n, C) of each byte of n pieces (n, STEP); with keep, also what the way back needs."""
+def _step(net: Network, state: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """The state after one byte, and what the way back needs; a (2, n, 3 H) are the bytes' input weights."""
+    h = HIDDEN
+    b = state @ net.u
+    gates = _gate(a[..., : 2 * h] + b[..., : 2 * h])
+    z, r = gates[..., :h], gates[..., h:]
+    cand = b[..., 2 * h :] * r
+    cand += a[..., 2 * h :]
+    cand /= np.abs(cand) + _f(1)
+    return cand + z * (state - cand), (state, z, r, b[..., 2 * h :], cand)
+
+
+def _softmax(logit: np.ndarray) -> np.ndarray:
+    logit -= logit.max(-1, keepdims=True)
+    np.exp(logit, out=logit)
+    logit /= logit.sum(-1, keepdims=True)
+    return logit
+
+
+def forward(net: Network, piece: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """For n windows (n, steps) of bytes: probabilities (steps, n, C) of each byte, the states, and what the way back needs."""
     n, steps = piece.shape
     h = HIDDEN
-    state = np.zeros((2, n, h), _f)
-    states = np.empty((steps, 2, n, h), _f)
+    state = np.zeros((2, n, h), net.u.dtype)
+    states = np.empty((steps, 2, n, h), net.u.dtype)
     kept = []
-    columns = np.ascontiguousarray(piece.T)
-    a = np.empty((2, n, 3 * h), _f)
     for t in range(steps):
-        np.take(net.x[0], columns[t], axis=0, out=a[0])
-        np.take(net.x[1], columns[steps - 1 - t], axis=0, out=a[1])
-        b = state @ net.u
-        gates = _gate(a[..., : 2 * h] + b[..., : 2 * h])
-        z, r = gates[..., :h], gates[..., h:]
-        cand = b[..., 2 * h :] * r
-        cand += a[..., 2 * h :]
-        cand /= np.abs(cand) + _f(1)
-        if keep:
-            kept.append((state, z, r, b[..., 2 * h :], cand))
-        state = cand + z * (state - cand)
+        state, used = _step(net, state, np.stack([net.x[0][piece[:, t]], net.x[1][piece[:, steps - 1 - t]]]))
+        kept.append(used)
         states[t] = state
     logit = states[:, 0].reshape(-1, h) @ net.out[0] + states[::-1, 1].reshape(-1, h) @ net.out[1]
-    logit += net.bias
-    logit -= logit.max(1, keepdims=True)
-    np.exp(logit, out=logit)
-    logit /= logit.sum(1, keepdims=True)
-    p = logit.reshape(steps, n, -1)
-    return (p, states, kept) if keep else p
+    return _softmax(logit + net.bias).reshape(steps, n, -1), states, kept
 
 
 def backward(net: Network, piece: np.ndarray, d_logit: np.ndarray, states: np.ndarray, kept: list) -> list[np.ndarray]:
-    """Gradients of params() from those of the logits (STEP, n, C), back through time."""
+    """Gradients of params() from those of the logits (steps, n, C), back through time."""
     steps, n, c = d_logit.shape
     h = HIDDEN
     flat = d_logit.reshape(-1, c)
@@ -104,8 +108,8 @@ def backward(net: Network, piece: np.ndarray, d_logit: np.ndarray, states: np.nd
     return [g_x, g_u, g_out, flat.sum(0)]
 
 
-def fit(pieces: np.ndarray, label: np.ndarray, langs: list[str], epochs: int = 6, batch: int = 192, seed: int = 5) -> Network:
-    """Learn from pieces (n, STEP) of bytes and their languages by Adam; the same in every run."""
+def fit(pieces: np.ndarray, label: np.ndarray, langs: list[str], epochs: int = 2, batch: int = 128, seed: int = 5) -> Network:
+    """Learn from windows (n, WINDOW) of bytes and their languages by Adam; the same in every run."""
     rng = np.random.Generator(np.random.PCG64(seed))
     c, h = len(langs), HIDDEN
     net = Network(langs, (rng.normal(size=(2, 256, 3 * h)) * 0.3).astype(_f), (rng.normal(size=(2, h, 3 * h)) / h**0.5).astype(_f), (rng.normal(size=(2, h, c)) / h**0.5).astype(_f), np.zeros(c, _f))
@@ -116,10 +120,10 @@ def fit(pieces: np.ndarray, label: np.ndarray, langs: list[str], epochs: int = 6
         order = rng.permutation(len(label))
         for at in range(0, len(order), batch):
             i = order[at : at + batch]
-            p, states, kept = forward(net, pieces[i], keep=True)
+            p, states, kept = forward(net, pieces[i])
             d = p.copy()
             d[:, np.arange(len(i)), label[i]] -= 1
-            d *= (weight[i] / (STEP * len(i)))[None, :, None]
+            d *= (weight[i] / (pieces.shape[1] * len(i)))[None, :, None]
             step += 1
             rate = 0.02 * (1 - 0.8 * epoch / epochs) * (1 - 0.99**step) ** 0.5 / (1 - 0.9**step)
             for q, g, m, v in zip(net.params(), backward(net, pieces[i], d, states, kept), first, second, strict=True):
@@ -129,30 +133,21 @@ def fit(pieces: np.ndarray, label: np.ndarray, langs: list[str], epochs: int = 6
     return net
 
 
-def _filled(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pieces (n, STEP) of all texts, the text of each piece, and how many of its bytes are text."""
-    size = np.diff(off)
-    count = -(-size // STEP)
-    doc = np.repeat(np.arange(len(size)), count)
-    nth = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-    room = np.full(len(doc) * STEP, 32, np.uint8)
-    start = (np.cumsum(count) - count) * STEP
-    room[np.arange(len(buf)) + np.repeat(start - off[:-1], size)] = buf
-    return room.reshape(-1, STEP), doc, np.minimum(STEP, size[doc] - nth * STEP)
+def _windows(buf: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts as windows (n, size), the last of a text filled up with spaces, and the text of each."""
+    long = np.diff(off)
+    count = -(-long // size)
+    room = np.full(count.sum() * size, 32, np.uint8)
+    room[np.arange(len(buf)) + np.repeat((np.cumsum(count) - count) * size - off[:-1], long)] = buf
+    return room.reshape(-1, size), np.repeat(np.arange(len(long)), count)
 
 
-def _some_pieces(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in tv.sub_batches(batches, most=256 << 10):
-        pieces, doc, _ = _filled(*tv.utf8(b.column(1)))
-        take, lang = [], []
-        for d in range(b.num_rows):
-            own = np.flatnonzero(doc == d)
-            if len(own):
-                own = own[np.unique(np.linspace(0, len(own) - 1, most).astype(int))]
-                take += list(own)
-                lang += [d] * len(own)
-        rows = pa.array(lang, pa.int64())
-        yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(2).take(rows), pa.array([pieces[i].tobytes() for i in take], pa.binary())], ["doc_id", "lang", "piece"])
+        windows, doc = _windows(*tv.utf8(b.column(1)), WINDOW)
+        rows = pa.array(doc)
+        flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WINDOW), len(windows), [None, pa.py_buffer(windows.tobytes())])
+        yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(2).take(rows), flat.cast(pa.binary())], ["doc_id", "lang", "piece"])
 
 
 def held_out(doc_id: str = "doc_id") -> F.Column:
@@ -168,11 +163,11 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     chosen = ids.join(counts, F.col("lang") == F.col("_l")).where(F.col("_s") < per_lang / F.col("_n")).orderBy("_s", "doc_id", "lang").limit(MOST)
     chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
     some = d.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l"))).select("doc_id", "text", "lang")  # MOST rows at most
-    got = some.mapInArrow(partial(_some_pieces, most=PIECES), "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
+    got = some.mapInArrow(_sample_windows, "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
     if not got.num_rows:
         return None
     langs, label = np.unique(np.asarray(got.column("lang").to_pylist(), object).astype(str), return_inverse=True)
-    pieces = np.frombuffer(b"".join(got.column("piece").to_pylist()), np.uint8).reshape(-1, STEP)
+    pieces = np.frombuffer(b"".join(got.column("piece").to_pylist()), np.uint8).reshape(-1, WINDOW)
     return fit(pieces, label, [str(x) for x in langs])
 
 
@@ -186,16 +181,43 @@ def has_letter(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 def document_probabilities(net: Network, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     """(documents, languages): the mean over all bytes of each text."""
-    pieces, doc, real = _filled(buf, off)
-    total = np.zeros((len(off) - 1, len(net.langs)))
-    for at in range(0, len(pieces), BATCH):
-        to = min(at + BATCH, len(pieces))
-        p = forward(net, pieces[at:to])
-        short = np.flatnonzero(real[at:to] < STEP)
-        for i in short:
-            p[real[at + i] :, i] = 0
-        np.add.at(total, doc[at:to], p.sum(0, dtype=np.float64))
-    return total / np.maximum(1, np.diff(off))[:, None]
+    p, out = _softmax(byte_logits(net, buf, off)), np.zeros((len(off) - 1, len(net.langs)))
+    full = np.flatnonzero(np.diff(off))
+    if len(full):
+        out[full] = np.add.reduceat(p, off[full], axis=0, dtype=np.float64) / np.diff(off)[full, None]
+    return out
+
+
+def byte_logits(net: Network, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """(bytes, languages): the logits of each byte of all texts."""
+    long = np.diff(off)
+    count = -(-long // SEGMENT)
+    doc = np.repeat(np.arange(len(long)), count)
+    start = off[doc] + (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)) * SEGMENT
+    end = np.minimum(start + SEGMENT, off[doc + 1])
+    lo, hi = np.maximum(start - WARM, off[doc]), np.minimum(end + WARM, off[doc + 1])
+    steps = np.maximum(end - lo, hi - start)
+    order = np.argsort(-steps, kind="stable")
+    start, end, lo, hi, steps = start[order], end[order], lo[order], hi[order], steps[order]
+    logit = np.empty((len(buf), len(net.langs)), _f)
+    logit[:] = net.bias
+    state = np.zeros((2, len(order), HIDDEN), _f)
+    for t0 in range(0, int(steps[0]) if len(steps) else 0, BLOCK):
+        n = int(np.searchsorted(-steps, -t0, side="left"))  # the segments that are not at their end
+        state = state[:, :n]
+        t = np.arange(t0, t0 + BLOCK)[:, None]
+        at = np.stack([np.minimum(lo[:n] + t, hi[:n] - 1), np.maximum(hi[:n] - 1 - t, lo[:n])], 1)  # (BLOCK, 2, n)
+        states = np.empty((BLOCK, 2, n, HIDDEN), _f)
+        a = np.empty((2, n, 3 * HIDDEN), _f)
+        for k, own in enumerate(buf[at]):
+            np.take(net.x[0], own[0], axis=0, out=a[0])
+            np.take(net.x[1], own[1], axis=0, out=a[1])
+            state, _ = _step(net, state, a)
+            states[k] = state
+        said = states @ net.out
+        for way, real in enumerate(((lo[:n] + t < end[:n]) & (lo[:n] + t >= start[:n]), (hi[:n] - 1 - t >= start[:n]) & (hi[:n] - 1 - t < end[:n]))):
+            logit[at[:, way][real]] += said[:, way][real]
+    return logit
 
 
 def _label(batches: Iterator[pa.RecordBatch], net) -> Iterator[pa.RecordBatch]:
@@ -208,7 +230,7 @@ def _label(batches: Iterator[pa.RecordBatch], net) -> Iterator[pa.RecordBatch]:
             p = document_probabilities(n, buf, off)
             best, known = p.argmax(1), has_letter(buf, off)
             lang = [n.langs[i] if k else "und" for i, k in zip(best, known, strict=True)]
-            score = np.where(known, np.clip(p.max(1), 0, 1), 0.0)
+            score = np.where(known, np.round(np.clip(p.max(1), 0, 1), 5), 0.0)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
 
 
@@ -216,7 +238,8 @@ def identify(docs: DataFrame, net: Network | None = None) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) for each row of docs (doc_id, text, and lang to learn from unless a network is given).
 
     lang_pred is ``und`` with score 0 for a null text, a text without a letter, or if there was nothing to learn from. A
-    null doc_id counts as held out. Predictions read the text alone; repeated rows get equal results; an empty table
+    null doc_id counts as held out. Predictions read the text alone; equal texts get equal results (scores are rounded, as
+    sums of single precision differ in the last digits from batch to batch); an empty table
     gives an empty result.
     """
     sent = docs.sparkSession.sparkContext.broadcast(net or train(docs))  # about 60 kB, fixed by HIDDEN and the number of languages
