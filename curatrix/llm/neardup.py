@@ -4,9 +4,10 @@
    representative, so that exact copies of any number cost one row from here on.
 2. Classes are posted under (coordinate, value) for the first K - T + 1 coordinates: two signatures that agree in at
    least T of K coordinates agree in one of those (prefix filter). Lists of one member go.
-3. Within a list the collisions of the whole signatures are counted, a pivot against all members not yet reached; a pair
-   whose remaining coordinates cannot reach T any more is skipped. A list gives a spanning forest of its pairs with T or
-   more collisions, never the pairs themselves. Lists beyond a size are dealt into blocks and done block by block.
+3. Within a list, collisions over all coordinates are counted by merging the members' own inverted lists: for a member, the
+   T - 1 longest of its lists are left out of the merge, since a pair must meet in one of the others, and only whom these
+   name is looked up in the long ones; members with too few shared lists are skipped. Pairs of T or more collisions are
+   kept as a spanning forest, never as all pairs. Lists beyond a size are dealt into blocks and done block by block.
 4. The forests' components hold every possible link. Within each of them links are confirmed on the full sets, again
    with a pivot against all members not yet reached, again in blocks beyond a size; the confirmed forests' components
    are the result.
@@ -22,6 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,7 +75,7 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         sig = signatures([sets[i] for i in full])
         keys, blobs = [None] * len(sets), [None] * len(sets)
         for i, row in zip(full, sig, strict=True):
-            keys[i] = np.asarray([tv.sequence_hash(sets[i]), np.bitwise_xor.reduce(tv.mix(sets[i] * np.uint64(0x9FB21C651E98DF25)))], np.uint64).tobytes()
+            keys[i] = xxhash.xxh3_128_digest(sets[i].tobytes())
             blobs[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig"])
 
@@ -127,23 +129,77 @@ def _edges(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(e[:, 0]), pa.array(e[:, 1])], ["a", "b"])
 
 
+class _Lists:
+    """The inverted lists of a group's signatures: for each coordinate, the members by value."""
+
+    def __init__(self, sig: np.ndarray, matches: int):
+        n, k = sig.shape
+        self.sig, self.matches = sig, matches
+        order = np.argsort(sig.T, axis=1, kind="stable")
+        ranked = np.take_along_axis(sig.T, order, 1)
+        new = np.ones((k, n), bool)
+        new[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+        self.members, self.start = order.reshape(-1), np.flatnonzero(new)
+        self.size = np.diff(np.append(self.start, n * k))
+        self.list_of = np.empty((k, n), np.int32)
+        np.put_along_axis(self.list_of, order, (np.cumsum(new) - 1).astype(np.int32).reshape(k, n), 1)
+
+    def alike(self, at: int, rest: np.ndarray) -> np.ndarray:
+        """Which of rest collide with a member in ``matches`` coordinates or more.
+
+        Lists of one member are skipped, and a member with too few others has no pair. The matches - 1 longest lists are not
+        merged: a pair must meet in one of the others (prefix), whose members are counted; only those are looked up in the long ones.
+        """
+        lists = self.list_of[:, at]
+        shared = np.flatnonzero(self.size[lists] > 1)
+        if len(shared) < self.matches:
+            return np.zeros(len(rest), bool)
+        shared = shared[np.argsort(self.size[lists[shared]], kind="stable")]
+        short, long = shared[: len(shared) - self.matches + 1], shared[len(shared) - self.matches + 1 :]
+        start, size = self.start[lists[short]], self.size[lists[short]]
+        merged = self.members[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        count = np.bincount(merged, minlength=self.sig.shape[0])[rest]
+        hit = count > 0
+        some = rest[hit]
+        hit[hit] = count[hit] + (self.sig[some][:, long] == self.sig[at, long]).sum(1) >= self.matches
+        return hit
+
+
+def _complete(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows of whole keys, with the offsets of the keys, from batches sorted by keys: the last key of a batch waits for the next one."""
+    held = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        k = np.stack([t.column(i).to_numpy() for i in keys])
+        cut = np.flatnonzero((k[:, 1:] != k[:, :-1]).any(0)) + 1
+        held = t
+        if len(cut):
+            held = t.slice(int(cut[-1]))
+            yield t.slice(0, int(cut[-1])), np.concatenate([[0], cut])
+    if held is not None:
+        yield held, np.asarray([0, held.num_rows])
+
+
 def _list_links(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.RecordBatch]:
     found: list[tuple[int, int]] = []
     seen: set[tuple[int, int]] = set()  # the lists of a group of copies give the same links again and again
-    half = COORDINATES // 2
-    for g in _groups(batches, ["key", "i", "j"]):
-        ids = g.column("rep").to_numpy()
-        sig = np.frombuffer(b"".join(g.column("sig").to_pylist()), np.uint32).reshape(len(ids), COORDINATES)
-
-        def alike(at: int, rest: np.ndarray, sig=sig) -> np.ndarray:
-            first = (sig[rest, :half] == sig[at, :half]).sum(1)
-            hit = first >= matches - (COORDINATES - half)  # the others cannot get there
-            some = rest[hit]
-            hit[hit] = first[hit] + (sig[some, half:] == sig[at, half:]).sum(1) >= matches
-            return hit
-
-        for x, y in _forest(len(ids), alike):
-            pair = (int(ids[x]), int(ids[y]))
+    for t, off in _complete(batches, ["key", "i", "j"]):
+        rep = t.column("rep").to_numpy()
+        sig = tv.utf8(t.column("sig").combine_chunks())[0].view(np.uint32).reshape(-1, COORDINATES)
+        size = np.diff(off)
+        two = off[:-1][size == 2]  # most lists: their one pair is counted at once
+        two = two[(sig[two] == sig[two + 1]).sum(1) >= matches]
+        pairs = list(zip(rep[two].tolist(), rep[two + 1].tolist(), strict=True))
+        for lo, hi in zip(off[:-1][size > 2].tolist(), off[1:][size > 2].tolist(), strict=True):
+            ids, own = rep[lo:hi].tolist(), sig[lo:hi]
+            if hi - lo <= 32:
+                alike = lambda at, rest, own=own: (own[rest] == own[at]).sum(1) >= matches
+            else:
+                alike = _Lists(own, matches).alike
+            pairs += [(ids[x], ids[y]) for x, y in _forest(hi - lo, alike)]
+        for pair in pairs:
             if pair not in seen:
                 seen.add(pair)
                 found.append(pair)

@@ -2,8 +2,8 @@
 
 The pieces of a model file are read as a unigram model: the segmentation with the largest sum of scores wins, of equal
 ones that whose last piece is longer. With scores "model" a piece has the score in the file, which is right for unigram
-models; with "zipf" the score is its log-probability under Zipf's law at its rank, which is right for the merge ranks that
-stand for scores in a BPE model file. A character that no piece covers counts as unknown at ten below the lowest
+models; with "zipf", for BPE model files whose scores are ranks of merges, it is minus the logarithm of the rank and a cost
+for each piece, which is closest to what merging in the order of ranks gives (see the README for how close). A character that no piece covers counts as unknown at ten below the lowest
 score and is written as its UTF-8 bytes. No piece of a model holds a space mark after another character, so a text falls
 apart into words that start at spaces; a model for which that is not so is refused. Characters of no piece stand alone.
 
@@ -33,6 +33,7 @@ MARK = "▁"
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
 SCORES = "zipf"
+PIECE_COST = 6.0  # with "zipf", what each piece costs besides: fewer, longer pieces, as merges make them
 BATCH_BYTES = 512 << 10  # text that is encoded at once: its tables of 64-bit numbers take about 70 times as much
 LONG_WORD = 1 << 16  # characters of a word beyond which it is searched piece by piece: the tables take about 200 bytes a character
 _loaded: dict[tuple[str, str], Pieces] = {}
@@ -61,7 +62,7 @@ class Pieces:
         score = np.asarray([sp.get_score(i) for i in range(n)])
         if scores == "zipf":
             rank = np.argsort(np.argsort(-score[normal], kind="stable"))
-            score[normal] = -np.log(rank + 1.0) - np.log(np.sum(1 / (rank + 1.0)))
+            score[normal] = -np.log(rank + 1.0) - PIECE_COST
         self.unknown = float(score[normal].min()) - 10
         self.longest = max(len(self.text[i]) for i in normal)
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -233,7 +234,7 @@ class Pieces:
             codes[codes == 32] = ord(MARK)
             char = np.concatenate([[0], np.cumsum((own & 0xC0) != 0x80)])
             words = lambda s, e, codes=codes, char=char: self.encode_words(codes, char[s], char[e] - char[s])
-            parts.append(encode_spans(self.cache, tv.Spans(own).hash(s, e), s, e, words))
+            parts.append(encode_spans(self.cache, tv.Spans(own), s, e, words))
         ids, size = map(np.concatenate, zip(*parts, strict=True))
         return ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, off)]
 

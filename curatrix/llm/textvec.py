@@ -10,21 +10,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SUB_BATCH_BYTES = 2 << 20  # text handled at once; a longer single text is a sub-batch of its own
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
 _rng = np.random.Generator(np.random.PCG64(20240917))
-_BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _GRAM = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _GRAM2 = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
-_powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+_MASK = np.asarray([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LONG_SPAN = 512  # bytes from which on a span is hashed on its own
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -37,21 +36,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of the base and of its inverse modulo 2**64; short tables are kept for the next call."""
-    global _powers
-    if len(_powers[0]) >= n:
-        return _powers
-    made = []
-    for base in (_BASE, _BASE_INV):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        made.append(np.cumprod(p, dtype=np.uint64))
-    if n <= 2 * SUB_BATCH_BYTES:
-        _powers = (made[0], made[1])
-    return made[0], made[1]
-
-
 def sub_batches(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SUB_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Slice batches so that each holds at most ``most`` bytes of text, or one row."""
     for batch in batches:
@@ -79,17 +63,45 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Spans:
-    """Hashable spans of a byte buffer; the hash of a span depends on its bytes alone."""
+    """Hashable spans of a byte buffer. The hash depends on a span's bytes alone: eight bytes at a time are mixed in by a step
+    that is not linear, so that no arrangement of equal parts cancels out; ``same`` compares the bytes themselves."""
 
     def __init__(self, buf: np.ndarray):
-        n = len(buf)
-        self.buf, (p, self._inv) = buf, powers(n + 1)
-        self._sum = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[buf] * p[:n], out=self._sum[1:])
+        self.buf = buf
+        padded = np.zeros(len(buf) + 8, np.uint8)
+        padded[: len(buf)] = buf
+        self._eight = np.ndarray((len(buf) + 1,), np.dtype("<u8"), padded, strides=(1,)).astype(np.uint64)
 
     def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        h = (self._sum[end] - self._sum[start]) * self._inv[start]
-        return mix(h + (end - start).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+        size = end - start
+        h = mix(size.astype(np.uint64) * _U(0xD6E8FEB86659FD93) + _U(0xA0761D6478BD642F))
+        long = size > LONG_SPAN
+        h = mix(h ^ (self._eight[start] & _MASK[np.minimum(size, 8)]))
+        rows, at = np.flatnonzero((size > 8) & ~long), 8
+        while len(rows):
+            left = size[rows] - at
+            h[rows] = mix(h[rows] ^ (self._eight[start[rows] + at] & _MASK[np.minimum(left, 8)]))
+            rows, at = rows[left > 8], at + 8
+        for i in np.flatnonzero(long):
+            h[i] = xxhash.xxh3_64_intdigest(self.buf[start[i] : end[i]].tobytes())
+        return h
+
+    def same(self, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_end: np.ndarray) -> np.ndarray:
+        """Whether each span has the bytes of another one."""
+        size = end - start
+        out = size == other_end - other
+        rows, at = np.flatnonzero(out & (size > 0)), 0
+        long = rows[size[rows] > LONG_SPAN]
+        rows = rows[size[rows] <= LONG_SPAN]
+        while len(rows):
+            left = size[rows] - at
+            mask = _MASK[np.minimum(left, 8)]
+            ok = (self._eight[start[rows] + at] & mask) == (self._eight[other[rows] + at] & mask)
+            out[rows[~ok]] = False
+            rows, at = rows[ok & (left > 8)], at + 8
+        for i in long:
+            out[i] = np.array_equal(self.buf[start[i] : end[i]], self.buf[other[i] : other_end[i]])
+        return out
 
 
 class Words:
@@ -136,10 +148,7 @@ class Words:
 
 def sequence_hash(h: np.ndarray) -> int:
     """A hash of a whole sequence of word hashes of any length."""
-    n = len(h)
-    p, _ = powers(n + 1)
-    s = int(np.sum(mix(h) * p[:n], dtype=np.uint64)) + n * 0xA0761D6478BD642F + 0x1234567
-    return int(mix(np.asarray([s % (1 << 64)], np.uint64))[0])
+    return xxhash.xxh3_64_intdigest(np.ascontiguousarray(h).tobytes())
 
 
 def signed(x: np.ndarray) -> np.ndarray:
