@@ -1,9 +1,10 @@
 """Token ids in files compressed by Re-Pair grammars (Larsson and Moffat, 1999), with random access.
 
 Documents are range-partitioned by doc_id, so that file order is doc_id order; a partition is a shard. A shard's ids are
-written in blocks of about ``BLOCK`` ids, one binary value each. In a block the most frequent adjacent pairs are replaced
-by new symbols round after round, until no pair is frequent. Symbols stay below 2**16, so the sequence takes two bytes
-for each. A block holds, little-endian:
+written in blocks of about ``BLOCK`` ids, one binary value each, with a grammar of its own: so memory is bounded and a
+block can be read alone. In a block the most frequent adjacent pairs are replaced by new symbols round after round, until
+no pair has ``LEAST`` places. Symbols stay below 2**16, so the sequence takes two bytes for each; larger vocabularies are
+refused. A block holds, little-endian:
 
     magic "RPG1", u32 base (first rule symbol), u32 rules, u32 symbols, u32 documents, u64 ids before the block in its shard
     u16 left and right of each rule | u32 expansion length of each rule | u16 symbols
@@ -18,6 +19,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -27,56 +29,87 @@ from pyspark.sql import functions as F
 
 from . import textvec as tv
 from .storage import new_path
-from .wordcache import WordCache, encode_spans, slices
+from .wordcache import WordCache, encode_spans, slices, stretches
 
-BLOCK, SAMPLE, ROUNDS, LEAST, SLOT_BITS = 1 << 19, 1024, 12, 8, 18
+BLOCK, SAMPLE, LEAST, ROUND_RULES, SLOT_BITS = 1 << 19, 1024, 8, 4096, 16
 END_ID = 0
 _tokenizers: dict[str, tuple] = {}
 
 
+def _slots(pair: np.ndarray) -> np.ndarray:
+    return (pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+
+
+def _without_overlap(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the places (ascending) of ranked pairs are taken: of overlapping ones the pair of the lowest rank has all of its own."""
+    near = np.diff(at) == 1
+    run = np.ones(len(at), bool)
+    run[1:] = ~near | (rank[1:] != rank[:-1])  # in a run of one pair, as in aaaa, every second place comes first
+    prior = 2 * rank + ((at - at[run][np.cumsum(run) - 1]) & 1)
+    taken, most = np.zeros(len(at), bool), np.int32(1 << 30)
+    for _ in range(3):
+        left, right = np.full(len(at), most), np.full(len(at), most)
+        left[1:][near], right[:-1][near] = prior[:-1][near], prior[1:][near]
+        new = (prior < left) & (prior < right)
+        taken |= new
+        prior[new] = most
+        prior[1:][near & new[:-1]] = prior[:-1][near & new[1:]] = most
+    return taken
+
+
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
     """(symbols, rules (n, 2)): rule k stands for symbol base + k and holds ids and earlier rules only.
 
-    A round counts pairs by a hash, takes the pairs of the fullest slots, finds where exactly these stand, and replaces those
-    that occur LEAST times or more. Pairs that lose their slot to another one wait for a later round.
+    A round counts the pairs and replaces the most frequent one and those not much rarer, up to ROUND_RULES; rare pairs wait, as a
+    frequent one may take their ids. It ends when no pair has LEAST places that don't overlap, or symbols run out. A pair that
+    is too rare never becomes frequent again, since its own symbols only get fewer: its places are not looked at any more.
     """
     s, rules, room = ids.astype(np.uint32), np.zeros((0, 2), np.uint32), (1 << 16) - base
-    for _ in range(ROUNDS):
-        if len(s) < 2 or len(rules) >= room:
-            break
-        pair = s[:-1] << np.uint32(16) | s[1:]
-        slot = (pair * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
-        count = np.bincount(slot, minlength=1 << SLOT_BITS)
-        held = np.zeros(1 << SLOT_BITS, np.uint32)
-        held[slot] = pair
-        full = np.flatnonzero((count >= LEAST) & (count * 16 >= count.max()))  # rare pairs wait: a frequent one may take their ids
-        full = full[np.argsort(-count[full], kind="stable")][: min(room - len(rules), 2048)]
+    live = np.ones(len(s), bool)  # places whose pair may be frequent
+    while len(s) > 1 and len(rules) < room:
+        live[-1] = False
+        where = np.flatnonzero(live)
+        pair = s[where] << np.uint32(16) | s[where + 1]
+        ordered = np.sort(pair)
+        start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(pair) else where
+        count, key = np.diff(np.append(start, len(pair))), ordered[start]
+        full = np.flatnonzero(count >= np.where(key >> np.uint32(16) == key & np.uint32(0xFFFF), 2 * LEAST, LEAST))  # half the places of aa may overlap
         if not len(full):
             break
-        rank = np.full(1 << SLOT_BITS, -1, np.int32)
-        rank[full] = np.arange(len(full))
-        at = np.flatnonzero(rank[slot] >= 0)
-        at = at[held[slot[at]] == pair[at]]
-        run = np.concatenate([[True], np.diff(at) > 1])  # in a run of overlapping places every second one is taken
-        first = at[run][np.cumsum(run) - 1]
-        at = at[(at - first) % 2 == 0]
-        rule = rank[slot[at]]
-        uses = np.bincount(rule, minlength=len(full))
-        good = uses >= LEAST
-        if not good.any():
-            break
+        full = full[np.argsort(-count[full], kind="stable")]
+        own = key[full]
+        most = min(room - len(rules), ROUND_RULES, int(np.searchsorted(-count[full], -count[full[0]] / 16, side="right")))
+        table = np.full(1 << SLOT_BITS, -1, np.int32)  # pairs share it; one that loses its slot to a more frequent one waits
+        table[_slots(own)[::-1]] = np.arange(len(own), dtype=np.int32)[::-1]
+        rank = table[_slots(pair)]
+        live[where[rank < 0]] = False
+        chosen = np.flatnonzero((rank >= 0) & (rank < most))
+        at, rule = where[chosen], rank[chosen]
+        same = own[rule] == pair[chosen]
+        at, rule = at[same], rule[same]
+        taken = _without_overlap(at, rule)
+        at, rule = at[taken], rule[taken]
+        good = np.bincount(rule, minlength=most) >= LEAST  # so it is for the first
         number = np.cumsum(good) - 1
         at, rule = at[good[rule]], number[rule[good[rule]]]
-        s = s.copy()
         s[at] = base + len(rules) + rule
         stay = np.ones(len(s), bool)
         stay[at + 1] = False
-        s = s[stay]
-        new = held[full[good]]
-        rules = np.concatenate([rules, np.stack([new >> np.uint32(16), new & np.uint32(0xFFFF)], 1)])
+        live[at] = True
+        live[np.maximum(at - 1, 0)] = True
+        s, live = s[stay], live[stay]
+        rules = np.concatenate([rules, np.stack([own[:most][good] >> np.uint32(16), own[:most][good] & np.uint32(0xFFFF)], 1)])
     return s, rules
 
 
+def rule_sizes(rules: np.ndarray, base: int) -> np.ndarray:
+    """How many ids each rule stands for."""
+    size: list[int] = []
+    for left, right in rules.tolist():
+        size.append((size[left - base] if left >= base else 1) + (size[right - base] if right >= base else 1))
+    return np.asarray(size, np.int64)
+
+
 def expansions(rules: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(length of each symbol's expansion, its place in the pool, the pool of ids)."""
     parts: list[np.ndarray] = []
@@ -94,7 +127,7 @@ def _expand(symbols: np.ndarray, table: tuple[np.ndarray, np.ndarray, np.ndarray
 
 def to_block(ids: np.ndarray, base: int, doc_ids: list, lengths: np.ndarray, before: int) -> bytes:
     s, rules = compress(ids, base)
-    size = expansions(rules, base)[0]
+    size = np.concatenate([np.ones(base, np.int64), rule_sizes(rules, base)])
     position = np.concatenate([[0], np.cumsum(size[s])])[:-1][::SAMPLE]
     null = np.asarray([d is None for d in doc_ids], np.uint8)
     doc = np.asarray([d or 0 for d in doc_ids], "<i8")
@@ -136,20 +169,36 @@ class Block:
         return _expand(self.symbols[lo * SAMPLE : hi * SAMPLE], self.table)[start - first : stop - first]
 
 
-def chunk_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+def chunk_starts(buf: np.ndarray, off: np.ndarray, added: tuple[bytes, ...] = ()) -> np.ndarray:
     """Byte positions at which a byte-level BPE text can be cut without changing its ids.
 
     The pattern never joins a character that is not white space to white space after it, and a cut there leaves no look-ahead
-    short: so before each ASCII white space that follows a visible ASCII character or a letter of U+00C0 to U+07FF.
+    short: so before each ASCII white space that follows a visible ASCII character or a letter of U+00C0 to U+07FF. Nor
+    does it join ASCII letters, digits and other visible ASCII characters to one another, but for what follows an
+    apostrophe. The names of added tokens are not cut.
     """
     n = len(buf)
     begins = np.zeros(n + 1, bool)
     if n > 1:
+        kind = _KIND[buf]
         begins[1:n] = tv.SPACE[buf[1:]] & _safe_end(buf)[:-1]
+        begins[1:n] |= (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0) & (buf[:-1] != 39)
+        raw = buf.tobytes() if added else b""
+        for name in added:
+            at = -1
+            while (at := raw.find(name, at + 1)) >= 0:
+                begins[at + 1 : at + len(name)] = False
     begins[off] = True
     return np.flatnonzero(begins[:-1])
 
 
+#: ASCII letters, digits, other visible characters; 0: all else.
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = 3
+_KIND[48:58] = 2
+_KIND[65:91] = _KIND[97:123] = 1
+
+
 def tokenizer(path: str):
     if path not in _tokenizers:
         import os
@@ -158,11 +207,15 @@ def tokenizer(path: str):
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True
+        if t.get_vocab_size() >= 1 << 16:
+            raise ValueError("vocabularies of 65536 ids or more are not supported")
+        added = t.get_added_tokens_decoder()
+        if any(x.lstrip or x.rstrip or x.single_word for x in added.values()):
+            raise ValueError("added tokens that take in what stands around them are not supported")
         width = np.zeros(t.get_vocab_size(), np.int64)  # of byte-level tokens, a character stands for a byte
         for token, i in t.get_vocab().items():
-            width[i] = len(token)
-        _tokenizers[path] = t, WordCache(), width
+            width[i] = len(token.encode()) if i in added else len(token)
+        _tokenizers[path] = t, WordCache(), width, tuple(x.content.encode() for x in added.values())
     return _tokenizers[path]
 
 
@@ -173,38 +226,76 @@ def _safe_end(buf: np.ndarray) -> np.ndarray:
     return ok
 
 
+def _words(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Which chunks are a run of letters (ASCII and U+00C0 to U+024F but for two signs) with or without a space in front: one word of the pattern."""
+    sign = np.zeros(len(buf), bool)
+    sign[1:] = (buf[:-1] == 0xC3) & ((buf[1:] == 0x97) | (buf[1:] == 0xB7))
+    other = np.zeros(len(buf) + 1, np.int32)
+    np.cumsum(~_LETTER[buf] | sign, out=other[1:])
+    first = s + (buf[s] == 32)
+    return (first < e) & (other[np.minimum(first, e)] == other[e])
+
+
+#: Bytes of such letters: ASCII letters, leading bytes 0xC3 to 0xC9, continuation bytes.
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = _LETTER[0x80:0xC0] = _LETTER[0xC3:0xCA] = True
+
+
+def _byte_letters() -> str:
+    """The character that stands for each byte in byte-level vocabularies: itself where it is printable, else the next free one from U+0100."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+
+
+_LETTERS = _byte_letters()
+
+
 def _encode_chunks(t, width: np.ndarray, buf: np.ndarray, raw: bytes, s: np.ndarray, e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(number of ids of each chunk, all ids). Chunks that can stand one after another are encoded as texts of some kB, as a call costs more than a chunk."""
-    joins = tv.SPACE[buf[s]] & _safe_end(buf)[e - 1]
-    size = np.zeros(len(s), np.int64)
-    order = np.concatenate([np.flatnonzero(joins), np.flatnonzero(~joins)])
+    """(number of ids of each chunk, all ids).
+
+    A chunk that is one word of the pattern goes to the library's model, which spares it the pattern. Others that can stand
+    one after another are encoded as texts of some kB, as a call costs more than a chunk.
+    """
+    size, parts = np.zeros(len(s), np.int64), []
+    word = _words(buf, s, e)
+    joins = tv.SPACE[buf[s]] & _safe_end(buf)[e - 1] & ~word
+    order = np.concatenate([np.flatnonzero(word), np.flatnonzero(joins), np.flatnonzero(~joins & ~word)])
+    if word.any():
+        long = (e - s)[word]
+        letters, tokens = stretches(buf, s[word], long).tobytes().decode("latin-1").translate(_LETTERS), t.model.tokenize
+        cut = [0, *np.cumsum(long).tolist()]
+        got = [[x.id for x in tokens(letters[i:j])] for i, j in pairwise(cut)]
+        size[word] = [len(x) for x in got]
+        parts.append(np.fromiter(chain.from_iterable(got), np.int64))
+    rest = order[word.sum() :]
     n = int(joins.sum())
-    a, z = s[order[:n]].tolist(), e[order[:n]].tolist()
+    a, z = s[rest[:n]].tolist(), e[rest[:n]].tolist()
     texts = [b"".join([raw[i:j] for i, j in zip(a[k : k + 512], z[k : k + 512], strict=True)]) for k in range(0, n, 512)]
-    texts += [raw[i:j] for i, j in zip(s[order[n:]].tolist(), e[order[n:]].tolist(), strict=True)]
-    got = [np.asarray(x.ids, np.int64) for x in t.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)]
-    ids = np.concatenate(got) if got else np.zeros(0, np.int64)
-    begin = np.cumsum(width[ids]) - width[ids]  # byte at which each token begins
-    edge = np.cumsum((e - s)[order])
-    size[order] = np.diff(np.concatenate([[0], np.searchsorted(begin, edge)]))
+    texts += [raw[i:j] for i, j in zip(s[rest[n:]].tolist(), e[rest[n:]].tolist(), strict=True)]
+    parts += [np.asarray(x.ids, np.int64) for x in t.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)]
+    ids = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    own = ids[size.sum() :]
+    begin = np.cumsum(width[own]) - width[own]  # byte at which each token begins
+    size[rest] = np.diff(np.concatenate([[0], np.searchsorted(begin, np.cumsum((e - s)[rest]))]))
     at = np.empty(len(s), np.int64)
     at[order] = np.cumsum(size[order]) - size[order]
-    return size, ids[np.repeat(at - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+    return size, stretches(ids, at, size)
 
 
 def encode_texts(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts, offsets by text), each distinct chunk being encoded by the tokenizers library once."""
-    t, cache, width = tokenizer(path)
+    t, cache, width, added = tokenizer(path)
     buf, off = tv.utf8(texts)
     if not len(buf):
         return np.zeros(0, np.uint16), np.zeros(len(off), np.int64)
-    start = chunk_starts(buf, off)
+    start = chunk_starts(buf, off, added)
     end = np.append(start[1:], len(buf))
     parts = []
     for a, b in slices(start, end, tv.SUB_BATCH_BYTES):
         own, at = buf[start[a] : end[b - 1]], start[a]
         encode = partial(_encode_chunks, t, width, own, own.tobytes())
-        parts.append(encode_spans(cache, tv.Spans(own).hash(start[a:b] - at, end[a:b] - at), start[a:b] - at, end[a:b] - at, encode))
+        parts.append(encode_spans(cache, tv.Spans(own), start[a:b] - at, end[a:b] - at, encode))
     ids, size = map(np.concatenate, zip(*parts, strict=True))
     return ids, np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, off)]
 
