@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curatrix.llm import linededup, mixing, neardup, pieces, quality
 from curatrix.llm.queries import vocabulary
-from curatrix.llm.storage import table
+from curatrix.llm.storage import stage_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 PERCENT, MATCHES = 80, 32  # similarity in percent; signature coordinates that have to agree (of 64; 51 are expected at 80 %)
@@ -50,8 +50,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of sf_dir, each one's result written and read back for the next."""
+    """All stages on the documents of sf_dir, each one's result written and read back for the next, its own tables then deleted."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*COLUMNS)
     for name, stage in STAGES[:-1]:
-        docs = table(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = stage_table(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
