@@ -15,7 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from curatrix.llm import graph, langid, linededup, mixing, mpeg, neardup, pieces, quality, repair, sharding, substring
+from curatrix.llm import graph, langid, linededup, mixing, mpeg, neardup, pieces, quality, repair, sharding, substring, wordcache
 from curatrix.llm import textvec as tv
 from curatrix.llm.queries import vocabulary
 
@@ -108,6 +108,82 @@ def test_quality_counts(docs, texts, spark):
     assert not any(r.kept and r.base_failed for r in got)
 
 
+def _morse(n, a, b):
+    """The Thue-Morse word of 2**n letters, on which polynomial hashes modulo powers of two fail, and its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << n)]
+    return [a if x == 0 else b for x in bits], [b if x == 0 else a for x in bits]
+
+
+def test_hashes_tell_words_of_equal_parts_apart(spark):
+    for n in (4, 9, 10, 12):
+        words = ["".join(x) for x in _morse(n, "a", "b")]
+        w = tv.Words(pa.array(words))
+        assert w.hash[0] != w.hash[1] and not w.spans.same(w.start[:1], w.end[:1], w.start[1:], w.end[1:])[0]
+        counts = quality.base_counts(tv.Words(pa.array(["\n".join(words), "\n".join([words[0]] * 2)])))
+        assert counts["n_dup_lines"].tolist() == [0, 1]
+    x, y = (" ".join(v) for v in _morse(11, "a", "b"))
+    d = spark.createDataFrame([(1, words[0]), (2, words[1]), (3, x), (4, y)], "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(d).collect()}
+    assert (got[1], got[2]) == (1, 2)
+    assert [r.n_removed for r in substring.substring_dedup(d.where("doc_id < 3")).collect()] == [0, 0]
+    assert _rows(substring.substring_dedup(d), "doc_id", "n_words", "n_removed", "kept_sha256") == _sql(d.selectExpr("*", "'' AS source"), substring.ORACLE_SQL)
+    v = pieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
+    ids, off = v.encode(pa.array(words))
+    assert [v.decode(ids[off[i] : off[i + 1]]) for i in range(2)] == words
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.text(alphabet="abé日", min_size=1, max_size=40), min_size=1, max_size=60), st.integers(1, 3))
+def test_spans_of_equal_hash_are_told_apart(words, bits):
+    class Weak(tv.Spans):
+        def hash(self, start, end):
+            return super().hash(start, end) & np.uint64(bits)
+
+    def encode(s, e):
+        got = [np.frombuffer(buf[i:j].tobytes(), np.uint8) for i, j in zip(s, e, strict=True)]
+        return np.asarray([len(x) for x in got]), np.concatenate(got)
+
+    cache = wordcache.WordCache()
+    for part in (words, words[::-1]):
+        buf, off = tv.utf8(pa.array(part))
+        ids, size = wordcache.encode_spans(cache, Weak(buf), off[:-1], off[1:], encode)
+        assert bytes(ids.astype(np.uint8)) == "".join(part).encode() and size.tolist() == np.diff(off).tolist()
+
+
+def _p_good(text, m):
+    """quality.score() for one text by plain loops."""
+    u, mask = lambda x: x & (1 << 64) - 1, (1 << 64) - 1
+    w = tv.Words(pa.array([text]))
+    h = [int(x) for x in w.hash]
+    pair, ch = int(quality._PAIR), [int(x) for x in quality._CH]
+    words = []
+    for i, x in enumerate(h):
+        words += [x >> 64 - quality.WORD_BITS, u((u(x * pair) + (h[i - 1] if i else 0)) * ch[0]) >> 64 - quality.WORD_BITS]
+    chars = []
+    for i in range(len(text)):
+        g = 0
+        for k in range(3):
+            if i >= k:
+                g = u(g + (ord(text[i - k]) + 1) * ch[k])
+            chars.append((u(g * pair) >> 64 - quality.CHAR_BITS) + (1 << quality.WORD_BITS))
+    logit = sum(sum(int(m.weight[i]) for i in x) / max(1, len(x)) for x in (words, chars)) / quality.UNIT + m.bias
+    return 1 / (1 + np.exp(-(m.scale * logit + m.shift)))
+
+
+def test_quality_scores(docs, texts):
+    weight = np.random.default_rng(3).integers(-(1 << 21), 1 << 21, (1 << quality.WORD_BITS) + (1 << quality.CHAR_BITS))
+    m = quality.Model(weight, 0.1, 1.3, -0.2)
+    got = {r.doc_id: r for r in quality.quality_rules(docs, None, m).collect()}
+    assert all(got[i].p_good == pytest.approx(_p_good(t or "", m)) for i, t in texts.items())
+    assert all(r.kept == (not r.base_failed and r.p_good >= 0.5) for r in got.values())
+    again = {r.doc_id: r.p_good for r in quality.quality_rules(docs.repartition(13), None, m).collect()}
+    assert again == {i: r.p_good for i, r in got.items()}
+    of = defaultdict(set)
+    for i, t in texts.items():
+        of[t].add(got[i].p_good)
+    assert all(len(x) == 1 for x in of.values())
+
+
 def test_quality_learns(spark, empty):
     rnd = random.Random(1)
     good = [" ".join(rnd.choice(["river", "stone", "light", "wind"]) for _ in range(40)) for _ in range(120)]
@@ -158,6 +234,30 @@ def test_near_duplicates_of_odd_rows(spark, empty):
     got = sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in neardup.near_duplicates(d).collect())
     assert got == [(0, 0, True), (1, 1, True), (1, 1, True), (3, 1, False)]
     assert neardup.drop_near_duplicates(d).count() == 3
+    two = spark.createDataFrame([(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t u"), (3, "a b c d e f")], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in neardup.near_duplicates(two).collect()} == {(1, 1), (2, 1), (3, 1)}
+
+
+def test_collisions_by_merged_lists():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 32, (6, neardup.COORDINATES)).astype(np.uint32)
+    sig = base[rng.integers(0, 6, 150)]
+    change = rng.random(sig.shape) < rng.choice([0.02, 0.2, 0.45], 150)[:, None]
+    sig[change] = rng.integers(0, 40, change.sum())
+    for matches in (20, 36, 64):
+        lists = neardup._Lists(sig, matches)
+        for at in range(150):
+            rest = np.setdiff1d(np.flatnonzero(rng.random(150) < 0.7), [at])
+            assert (lists.alike(at, rest) == ((sig[rest] == sig[at]).sum(1) >= matches)).all()
+
+
+def test_near_duplicates_find_all_links(spark):
+    """The recall of links over all pairs of the documents of a larger table, by SQL on all shingles."""
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "source")
+    rows = d.collect()
+    sets, want = _components({r.doc_id: r.text for r in rows}, 85)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.near_duplicates(d).collect()}
+    assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
 def test_components(spark):
@@ -187,7 +287,27 @@ def test_mixing(docs, empty):
         own = [r for r in rows if r.source == s]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 2 * max(r["size"] for r in own)
     assert mixing.mixed(docs).count() == sum(r.copies for r in rows) and mixing.mixed(docs).columns == docs.columns
-    assert mixing.mix(empty).count() == 0
+    assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
+    names = ("_place", "_band", "bucket", "band", "_before", "u", "_u", "key", "row", "place", "digest", "spot", "n", "before")
+    odd = docs.select("doc_id", "text", "source", *(F.lit(3).alias(x) for x in names))
+    again = mixing.mix(odd)
+    assert {tuple(r[x] for x in names) for r in again.collect()} == {(3,) * len(names)}
+    assert _rows(again, "doc_id", "size", "taken") == _rows(got, "doc_id", "size", "taken") == _rows(mixing.mix(docs, keep=("doc_id",)), "doc_id", "size", "taken")
+    assert sorted(r.doc_id for r in mixing.mixed(odd).collect()) == sorted(r.doc_id for r in rows for _ in range(r.copies)) and mixing.mixed(odd).columns == odd.columns
+
+
+def test_mixing_in_many_buckets(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 20)
+    rows = mixing.mix(docs).collect()
+    assert mixing.buckets_for(len(rows)) > 64
+    for s in {r.source for r in rows}:
+        own = [r for r in rows if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 2 * max(r["size"] for r in own)
+
+
+def test_mixing_of_repeated_rows(spark):
+    d = spark.createDataFrame([(1, "a b", "s"), (1, "a b", "s"), (None, "c", None), (None, None, None), (2, "a b c", "s")] * 3, "doc_id long, text string, source string")
+    assert mixing.mix(d).count() == 15 and _rows(mixing.mix(d), "doc_id", "size", "taken") == _rows(mixing.mix(d.repartition(7)), "doc_id", "size", "taken")
 
 
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, "c": 50}, {"a": 1, "b": 1, None: 1000}, {"a": 0, "b": 5}, {"x": 7}])
@@ -214,27 +334,64 @@ def test_line_dedup(docs, texts, empty, spark):
     assert {"size", "kept", "key"} <= set(got.columns)
     assert linededup.line_dedup(empty).count() == 0
     same = spark.createDataFrame([(i, "the very same line of text\nown " + "x" * i) for i in range(4)] + [(None, "the very same line of text")], "doc_id long, text string")
-    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_dropped) for r in linededup.line_dedup(same).collect()) == [(-1, 1), (0, 1), (1, 1), (2, 1), (3, 0)]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_dropped) for r in linededup.line_dedup(same).collect()) == [(-1, 0), (0, 1), (1, 1), (2, 1), (3, 0)]
+
+
+def test_line_dedup_of_repeated_ids_and_clashing_names(spark):
+    line = "the very same line of text"
+    rows = [(1, line), (1, line + "\nand its own line, which is long"), (2, line), (3, "x\nanother line that stands in three"), (4, "another line that stands in three"), (4, "another line that stands in three"), (5, "another line that stands in three")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.n_dropped) for r in linededup.line_dedup(d).collect()) == [(1, 0), (1, 0), (2, 0), (3, 1), (4, 1), (4, 1), (5, 0)]
+    odd = d.where("doc_id > 2").select("doc_id", "text", *(F.lit(7).alias(x) for x in ("keys", "_keys", "_doc", "drop", "row", "_of", "key", "refs", "shard")))
+    got = linededup.line_dedup(odd)
+    assert {(r.doc_id, r.n_dropped, r["keys"], r["_doc"], r["row"]) for r in got.collect()} == {(3, 1, 7, 7, 7), (4, 1, 7, 7, 7), (5, 0, 7, 7, 7)}
+
 
+def _index_state(index):
+    """The references, and the keys that the filters may know, as plain data."""
+    refs = sorted(map(tuple, index.refs.collect()))
+    known = {r.shard: linededup.CuckooFilter.frombytes(r.filter) for r in index.filters.collect()}
+    slots = {s: sorted(f.table[f.table > 0].tolist()) for s, f in known.items()}
+    return refs, {s: x for s, x in slots.items() if x}
 
-def test_line_index_is_reversible(spark):
+
+@pytest.mark.parametrize("most", [64 << 20, -1])
+def test_line_index_is_reversible(spark, monkeypatch, most):
+    monkeypatch.setattr(linededup, "FILTERS_MOST", most)
     line = "a line that is long enough to count"
     first = spark.createDataFrame([(i, f"{line}\nown line of document number {i}") for i in range(3)], "doc_id long, text string")
     more = spark.createDataFrame([(9, line.upper()), (10, line)], "doc_id long, text string")
-    index = linededup.LineIndex.empty(spark).insert(first)
+    index = linededup.LineIndex(spark, shards=16).insert(first)
     before = {r.doc_id: r.n_dropped for r in index.apply(first).collect()}
-    assert before == {0: 1, 1: 1, 2: 0}
+    assert before == {0: 1, 1: 1, 2: 0} and 1 < len(index.touched) <= 4 and len(index.refiltered) == 1
     grown = index.insert(more)
+    assert len(grown.touched) == 1 and grown.refiltered == []  # one key, which was repeated already: no other shard is written
+    untouched = set(index.refs_of) - set(grown.touched)
+    assert all(grown.refs_of[s] == index.refs_of[s] for s in untouched)
     assert {r.doc_id: r.n_dropped for r in grown.apply(first.unionByName(more)).collect()} == {0: 1, 1: 1, 2: 1, 9: 1, 10: 0}
     back = grown.delete(more)
     assert {r.doc_id: r.n_dropped for r in back.apply(first).collect()} == before
-    assert sorted(map(tuple, back.refs.collect())) == sorted(map(tuple, index.refs.collect()))
-    assert {r.doc_id: r.n_dropped for r in back.delete(first.limit(1)).apply(first).collect()} == {0: 0, 1: 0, 2: 0}
+    assert _index_state(back) == _index_state(index)
+    less = back.delete(first.limit(1))
+    assert less.refiltered == index.refiltered and _index_state(less)[1] == {}  # the key left its shard's filter
+    assert {r.doc_id: r.n_dropped for r in less.apply(first).collect()} == {0: 0, 1: 0, 2: 0}
+    assert _index_state(less.insert(first.limit(1))) == _index_state(index)
+    assert index.insert(first.limit(0)).touched == []
+
+
+def test_line_index_as_the_whole_table(spark, docs):
+    parts = [docs.where(f"doc_id % 3 = {k}") for k in range(3)]
+    index = linededup.LineIndex(spark, shards=4)
+    for part in parts:
+        index = index.insert(part)
+    cols = ("doc_id", "n_lines", "n_dropped", "kept_sha256")
+    assert _rows(index.apply(docs), *cols) == _rows(linededup.line_dedup(docs), *cols)
 
 
 def test_line_dedup_when_filters_are_not_sent(docs, monkeypatch):
     monkeypatch.setattr(linededup, "FILTERS_MOST", -1)
     monkeypatch.setattr(linededup, "SHARD_KEYS", 2)
+    monkeypatch.setattr(linededup, "PROBE_ROWS", 5)
     assert _rows(linededup.line_dedup(docs), "doc_id", "n_lines", "n_dropped", "kept_sha256") == _sql(docs, linededup.ORACLE_SQL)
 
 
@@ -262,27 +419,75 @@ def test_language(spark, docs, empty):
     assert langid.identify(empty).count() == 0
 
 
+def _a_network(langs, windows=40):
+    rng = np.random.default_rng(0)
+    return langid.fit(rng.integers(97, 110, (windows, 24)).astype(np.uint8), rng.integers(0, len(langs), windows), langs, epochs=2, batch=8)
+
+
+def _slow(net, text, segment, warm):
+    """Probabilities of each byte and their mean by plain loops over one text."""
+    h, text = langid.HIDDEN, text.encode()
+
+    def run(way, part):
+        state, out = np.zeros(h), []
+        for byte in part:
+            a, b = net.x[way][byte].astype(float), state @ net.u[way].astype(float)
+            z, r = (np.clip((a[k : k + h] + b[k : k + h]) / 4 + 0.5, 0, 1) for k in (0, h))
+            c = b[2 * h :] * r + a[2 * h :]
+            state = c / (1 + abs(c)) + z * (state - c / (1 + abs(c)))
+            out.append(state)
+        return out
+
+    total = np.zeros(len(net.langs))
+    for s in range(0, len(text), segment):
+        e = min(len(text), s + segment)
+        lo, hi = max(0, s - warm), min(len(text), e + warm)
+        there, back = run(0, text[lo:e])[s - lo :], run(1, text[s:hi][::-1])[hi - e :][::-1]
+        for x, y in zip(there, back, strict=True):
+            p = np.exp(x @ net.out[0] + y @ net.out[1] + net.bias)
+            total += p / p.sum()
+    return total / max(1, len(text))
+
+
+@pytest.mark.parametrize(("segment", "warm"), [(4096, 64), (10, 4), (7, 0)])
+def test_pooled_probabilities(texts, monkeypatch, segment, warm):
+    net = _a_network(["a", "b", "c"])
+    some = [t or "" for t in texts.values() if len(t or "") < 700]
+    monkeypatch.setattr(langid, "SEGMENT", segment)
+    monkeypatch.setattr(langid, "WARM", warm)
+    got = langid.document_probabilities(net, *tv.utf8(pa.array(some)))
+    assert got == pytest.approx(np.asarray([_slow(net, t, segment, warm) for t in some]), abs=1e-4)
+
+
 def test_backpropagation():
     rng = np.random.default_rng(0)
-    piece, label = rng.integers(97, 110, (5, langid.STEP)).astype(np.uint8), np.asarray([0, 1, 2, 0, 1])
-    net = langid.fit(piece, label, ["a", "b", "c"], epochs=1)
+    piece, label = rng.integers(97, 110, (5, 40)).astype(np.uint8), np.asarray([0, 1, 2, 0, 1])
+    net = _a_network(["a", "b", "c"])
     net.x, net.u, net.out, net.bias = (p.astype(np.float64) for p in net.params())
 
     def loss():
-        return -np.log(langid.forward(net, piece)[:, np.arange(5), label]).sum()
+        return -np.log(langid.forward(net, piece)[0][:, np.arange(5), label]).sum()
 
-    p, states, kept = langid.forward(net, piece, keep=True)
+    p, states, kept = langid.forward(net, piece)
     d = p.copy()
     d[:, np.arange(5), label] -= 1
     for q, g in zip(net.params(), langid.backward(net, piece, d, states, kept), strict=True):
-        for i in np.argsort(-np.abs(g).reshape(-1))[:3]:
-            old, eps = q.reshape(-1)[i], 1e-2
+        for i in np.argsort(-np.abs(g).reshape(-1))[:4]:
+            old, eps = q.reshape(-1)[i], 1e-5
             q.reshape(-1)[i] = old + eps
             up = loss()
             q.reshape(-1)[i] = old - eps
             down = loss()
             q.reshape(-1)[i] = old
-            assert (up - down) / (2 * eps) == pytest.approx(g.reshape(-1)[i], rel=0.1, abs=0.2)
+            assert (up - down) / (2 * eps) == pytest.approx(g.reshape(-1)[i], rel=1e-3, abs=1e-3)
+
+
+def test_samples_are_whole_texts(texts):
+    some = pa.array([t for t in texts.values()])
+    buf, off = tv.utf8(some)
+    windows, doc = langid._windows(buf, off, 16)
+    for d in range(len(some)):
+        assert windows[doc == d].tobytes().rstrip(b" ") == buf[off[d] : off[d + 1]].tobytes().rstrip(b" ")
 
 
 @pytest.mark.parametrize("scores", ["zipf", "model"])
@@ -310,6 +515,18 @@ def test_viterbi(texts, scores):
         assert got + v.unknown * len(unknown) == pytest.approx(best[-1])
 
 
+def test_pieces_against_the_library(spark):
+    """How near the search comes to the merges of the library's own encoder: words with the same pieces, and pieces a word."""
+    import sentencepiece
+
+    path = vocabulary("piece_bpe_32k.model")
+    words = sorted({w for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() for w in (r.text or "").split()})
+    library = sentencepiece.SentencePieceProcessor(model_file=path).encode(words)
+    ids, off = pieces.Pieces.load(path).encode(pa.array(words))
+    same = sum(ids[off[i] : off[i + 1]].tolist() == x for i, x in enumerate(library))
+    assert same / len(words) > 0.6 and 0.95 < len(ids) / sum(map(len, library)) < 1.02
+
+
 def test_long_words_and_texts(texts, monkeypatch):
     v = pieces.Pieces(vocabulary("piece_bpe_32k.model"))
     some = pa.array([*(t for t in texts.values() if t), "ab1日é" * 300, " x" * 50, ""])
@@ -386,7 +603,10 @@ def test_media(docs, texts, empty):
         r = got[i]
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]))
         assert r.media_sha256 == hashlib.sha256(mpeg.pack(p)).hexdigest() and r.samples == len(p) // 576 * 1152 and len(r.frame_offsets) == len(p) // 576
+        assert r.index_right and r.hz == 44100 and r.frame_offsets == mpeg.parse(mpeg.pack(p)).offsets.tolist() and "counts=right" in r.feature
     assert mpeg.media_column(empty).count() == 0
+    long = docs.sparkSession.createDataFrame([(1, "é" * 700_000), (None, None)], "doc_id long, text string")
+    assert {(r.doc_id, r.n_bytes, r.index_right, len(r.frame_offsets)) for r in mpeg.media_column(long).collect()} == {(1, 1_400_000, True, 2431), (None, 0, True, 1)}
 
 
 def test_mpeg_streams():
@@ -396,6 +616,10 @@ def test_mpeg_streams():
     s = mpeg.parse(m)
     assert (len(s.offsets), s.bad, s.skipped, s.table, s.table_frames, s.tags) == (4, 0, 0, "Info", 4, ("ID3v2.4",))
     assert s.seconds * 44100 == 4 * 1152 and s.seek(1152) == s.offsets[1] and mpeg.unpack(m) == p
+    assert s.table_right and mpeg.parse(m[: s.offsets[-1]]).table_right is False and mpeg.parse(m[s.offsets[0] :]).table_right is None
+    wrong = bytearray(m)
+    wrong[wrong.index(b"Info") + 11] += 1
+    assert mpeg.parse(bytes(wrong)).table_right is False
     dirty = b"junk\xff\xfb" + m + b"TAG" + bytes(125)
     t = mpeg.parse(dirty)
     assert mpeg.unpack(dirty) == p and t.skipped > 0 and "ID3v1" in t.tags
@@ -414,7 +638,6 @@ def test_token_files(docs, texts, empty):
 
     path = vocabulary("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     got = {r.doc_id: r for r in repair.token_files(docs, path).collect()}
     at = 0
     for i in sorted(texts):
@@ -422,10 +645,14 @@ def test_token_files(docs, texts, empty):
         assert (got[i].start, got[i].n_tokens, got[i].ids_crc32) == (at, len(ids), zlib.crc32(np.asarray(ids, "<u4").tobytes()))
         at += len(ids)
     assert repair.token_files(empty, path).count() == 0
+    assert repair.encode_texts(pa.array(["a <|endoftext|> b"]), path)[0].tolist() == [64, 220, 50256, 275]
 
 
-@settings(max_examples=40, deadline=None)
-@given(st.lists(st.text(alphabet="aé \n\t  '1日.\x1c", max_size=30), max_size=6))
+_PARTS = ["a", "Z", "é", "×", "÷", "ß", "Ω", "日", "'", "'s", "'re", " ", "\n", "\t", "\xa0", "\u2003", "\u3000", "1", "٣", ".", "_", "-", "<|", "|>", "<|endoftext|>", "endoftext", "\u0301", "\x1c", "Ɛ", "ɐ", "don't"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(_PARTS), max_size=30).map("".join), max_size=6))
 def test_chunks_do_not_change_ids(texts):
     from tokenizers import Tokenizer
 
@@ -440,6 +667,9 @@ def test_chunks_do_not_change_ids(texts):
 @given(st.lists(st.integers(0, 5), max_size=3000), st.integers(0, 3000), st.integers(0, 3000))
 def test_grammar(ids, a, b):
     x = np.asarray(ids, np.uint32)
+    symbols, _ = repair.compress(x, 50257)
+    places = Counter(zip(symbols[:-1].tolist(), symbols[1:].tolist(), strict=True)) if len(symbols) else {}
+    assert all(n < (2 * repair.LEAST if p[0] == p[1] else repair.LEAST) for p, n in places.items())  # no pair is frequent any more
     block = repair.Block(repair.to_block(x, 50257, [None, 4], np.asarray([0, len(x)]), 11))
     assert block.decode().tolist() == ids and block.doc_ids == [None, 4] and block.before == 11
     lo, hi = min(a, b, len(ids)), min(max(a, b), len(ids))
@@ -447,12 +677,19 @@ def test_grammar(ids, a, b):
 
 
 def test_pipeline(spark, docs, tmp_path):
-    docs.select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
-    spark.createDataFrame([(i, 1, 0) for i in range(20)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    rnd = random.Random(6)
+    junk = {1000 + i: " ".join(rnd.choice(["CLICK!!", "buy$$$", "win###"]) + str(rnd.randrange(30)) for _ in range(40)) for i in range(40)}
+    texts = dict(enumerate(_texts())) | junk
+    more = spark.createDataFrame([(i, t, "en", "hot", len(t)) for i, t in junk.items()], docs.select(*corpus_pipeline.COLUMNS).schema)
+    docs = docs.select(*corpus_pipeline.COLUMNS).unionByName(more)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, int(i < 1000), 0) for i in texts if i % 2 == 0], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     d = spark.read.parquet(str(tmp_path / "documents.parquet"))
-    texts = dict(enumerate(_texts()))
     good = corpus_pipeline.quality_rules(spark, d, str(tmp_path))
-    assert {r.doc_id for r in good.collect()} == {i for i, t in texts.items() if not _base(t)[5]}
+    model = quality.train(d, spark.read.parquet(str(tmp_path / "labels.parquet")))
+    kept = {i for i, t in texts.items() if not _base(t)[5] and _p_good(t, model) >= model.threshold}
+    assert {r.doc_id for r in good.collect()} == kept
+    assert 0 < len(kept) < sum(not _base(t)[5] for t in texts.values())  # the model, too, rejects some
     cut = corpus_pipeline.line_dedup(spark, good, str(tmp_path))
     assert cut.columns == list(corpus_pipeline.COLUMNS) and cut.where("n_chars <> length(text)").count() == 0
     rest = {r.doc_id: r.text for r in cut.collect()}
@@ -462,3 +699,13 @@ def test_pipeline(spark, docs, tmp_path):
     assert {r.doc_id for r in out} <= single and all(r.n_pieces == len(r.piece_ids) for r in out)
     v = pieces.Pieces.load(vocabulary("piece_bpe_32k.model"))
     assert all(v.decode(np.asarray(r.piece_ids)) == rest[r.doc_id] for r in out)
+    counts, sources = Counter(r.doc_id for r in out), {r.doc_id: r.source for r in docs.collect()}
+    mix = mixing.mix(spark.createDataFrame([(i, rest[i], sources[i]) for i in single], "doc_id long, text string, source string"))
+    assert {r.doc_id: r.copies for r in mix.collect() if r.copies} == counts
+    assert not {i for i in kept if i >= 1000} and len(kept) > 60
+
+
+def test_pipeline_of_nothing(spark, empty, tmp_path):
+    empty.select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
