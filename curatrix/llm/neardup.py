@@ -2,14 +2,16 @@
 
 1. Every text becomes the set of its distinct word shingles and a MinHash signature. Equal sets form a class with one
    representative, so that exact copies of any number cost one row from here on.
-2. Classes are posted under (coordinate, value) for the first K - T + 1 coordinates: two signatures that agree in at
-   least T of K coordinates agree in one of those (prefix filter). Lists of one member go.
+2. Classes are posted under (coordinate, value) for the first K - T + 1 of their pairs, in an order in which very frequent
+   pairs come last: two signatures that agree in at least T of K coordinates agree in one of those (prefix filter). Lists of
+   one member go.
 3. Within a list, collisions over all coordinates are counted by merging the members' own inverted lists: for a member, the
    T - 1 longest of its lists are left out of the merge, since a pair must meet in one of the others, and only whom these
    name is looked up in the long ones; members with too few shared lists are skipped. Pairs of T or more collisions are
-   kept as a spanning forest, never as all pairs. Lists beyond a size are dealt into blocks and done block by block.
+   kept as a spanning forest, never as all pairs. The rows of a list beyond a size are dealt out and compared with a few
+   leaders first; only those that don't hang together with most of it then meet in blocks.
 4. The forests' components hold every possible link. Within each of them links are confirmed on the full sets, again
-   with a pivot against all members not yet reached, again in blocks beyond a size; the confirmed forests' components
+   with a pivot against all members not yet reached, again by leaders first beyond a size; the confirmed forests' components
    are the result.
 
 With K = 64 and T = 36 a pair of similarity 0.85 agrees in 54.4 coordinates on average; fewer than 36 has a probability
@@ -33,9 +35,11 @@ from .storage import table
 
 COORDINATES = 64
 MATCHES = 36
-LIST_BLOCK = 4096  # members of a list that are compared in one task
+LIST_BLOCK = 4096  # members of a list that are compared in one group
+HOT_KEYS = 10_000  # a pair (coordinate, value) of more than 1 / HOT_KEYS of the classes comes last in the order of prefixes
+LEADERS, LEADER, REACHED, REST = 8, 2, 0, 1
 BATCH_BYTES = 512 << 10  # text whose shingles are hashed at once
-SET_BLOCK = 2_000_000  # shingles of a candidate component that are compared in one task
+SET_BLOCK = 2_000_000  # shingles of a candidate component that are compared in one group
 _rng = np.random.Generator(np.random.PCG64(64))
 _MUL = _rng.integers(1, 1 << 62, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -80,13 +84,18 @@ def _sketch(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig"])
 
 
-def _posting_keys(batches: Iterator[pa.RecordBatch], prefix: int) -> Iterator[pa.RecordBatch]:
-    salt = (np.arange(prefix, dtype=np.uint64) + np.uint64(1)) << np.uint64(32)
+def _posting_keys(batches: Iterator[pa.RecordBatch], prefix: int, hot) -> Iterator[pa.RecordBatch]:
+    """(key, rep): the first ``prefix`` (coordinate, value) pairs of each signature, those that are not hot before those that are."""
+    salt = (np.arange(COORDINATES, dtype=np.uint64) + np.uint64(1)) << np.uint64(32)
+    known = hot.value if hot is not None else np.zeros(0, np.uint64)
     for b in batches:
         if not b.num_rows:
             continue
-        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)[:, :prefix]
-        key = (sig.astype(np.uint64) | salt).reshape(-1)
+        key = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES).astype(np.uint64) | salt
+        if len(known):
+            late = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
+            key = np.take_along_axis(key, np.argsort(late, axis=1, kind="stable"), 1)
+        key = np.ascontiguousarray(key[:, :prefix]).reshape(-1)
         yield pa.RecordBatch.from_arrays([pa.array(tv.signed(key)), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), prefix)))], ["key", "rep"])
 
 
@@ -110,9 +119,27 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
-def _forest(n: int, alike: Callable[[int, np.ndarray], np.ndarray]) -> Iterator[tuple[int, int]]:
-    """A spanning forest: from each reached member, alike(member, rest) says which members not yet reached it links."""
+def _forest(n: int, alike: Callable[[int, np.ndarray], np.ndarray], side: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Links among n members; alike(member, others) says which others it links.
+
+    By side: leaders (LEADER) are compared with all others; members that hang together already (REACHED) with the rest, and a member
+    of the rest only until one links it; and where there are neither, the rest gets a spanning forest.
+    """
     rest = np.arange(n)
+    if side is not None and (side == LEADER).any():
+        for at in np.flatnonzero(side == LEADER):
+            others = rest[rest != at]
+            yield from ((int(at), int(x)) for x in others[alike(int(at), others)])
+        return
+    if side is not None and (side == REACHED).any():
+        rest = np.flatnonzero(side == REST)
+        for at in np.flatnonzero(side == REACHED):
+            if not len(rest):
+                break
+            hit = alike(int(at), rest)
+            yield from ((int(at), int(x)) for x in rest[hit])
+            rest = rest[~hit]
+        return
     while len(rest):
         todo, rest = [int(rest[0])], rest[1:]
         while todo and len(rest):
@@ -186,7 +213,7 @@ def _list_links(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.
     found: list[tuple[int, int]] = []
     seen: set[tuple[int, int]] = set()  # the lists of a group of copies give the same links again and again
     for t, off in _complete(batches, ["key", "i", "j"]):
-        rep = t.column("rep").to_numpy()
+        rep, side = t.column("rep").to_numpy(), t.column("side").to_numpy()
         sig = tv.utf8(t.column("sig").combine_chunks())[0].view(np.uint32).reshape(-1, COORDINATES)
         size = np.diff(off)
         two = off[:-1][size == 2]  # most lists: their one pair is counted at once
@@ -198,7 +225,7 @@ def _list_links(batches: Iterator[pa.RecordBatch], matches: int) -> Iterator[pa.
                 alike = lambda at, rest, own=own: (own[rest] == own[at]).sum(1) >= matches
             else:
                 alike = _Lists(own, matches).alike
-            pairs += [(ids[x], ids[y]) for x, y in _forest(hi - lo, alike)]
+            pairs += [(ids[x], ids[y]) for x, y in _forest(hi - lo, alike, side[lo:hi])]
         for pair in pairs:
             if pair not in seen:
                 seen.add(pair)
@@ -227,7 +254,7 @@ def _set_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
         known = np.unique(hashes)
         ident = np.concatenate([np.searchsorted(known, hashes[i : i + 500_000]).astype(np.int32) for i in range(0, len(hashes), 500_000)])
         own = np.zeros(len(known), np.int32)
-        del raw, hashes, known, g
+        del raw, hashes, known
 
         def alike(at: int, rest: np.ndarray, size=size, start=start, ident=ident, own=own) -> np.ndarray:
             near = (100 * np.minimum(size[rest], size[at]) >= percent * np.maximum(size[rest], size[at]))
@@ -242,23 +269,46 @@ def _set_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.R
             near[near] = 100 * both >= percent * (size[some] + size[at] - both)
             return near
 
-        found += [(int(ids[x]), int(ids[y])) for x, y in _forest(len(ids), alike)]
+        found += [(int(ids[x]), int(ids[y])) for x, y in _forest(len(ids), alike, g.column("side").to_numpy())]
         if len(found) > 50_000:
             yield _edges(found)
             found = []
     yield _edges(found)
 
 
-def _dealt(rows: DataFrame, key: str, weight: F.Column, most: int) -> DataFrame:
-    """rows with block columns i, j: every two rows of a key meet in one (key, i, j), each of which weighs 2 x most at the most or so.
+def _linked(rows: DataFrame, weights: DataFrame, key: str, weight: F.Column, most: int, links) -> DataFrame:
+    """(a, b): links among the rows (key, rep, ...) of each key, by links() in groups (key, i, j) of rows with a side.
 
-    Keys up to ``most`` are one block. Beyond it the rows are dealt into blocks by id and copied to each pair of blocks that holds theirs.
+    weights: (key, weight) of each key. A key of up to ``most`` is one group. The rows of a heavier one are first compared with
+    LEADERS of them, dealt out by salt: in proportion to the rows. What then hangs together with most of the key needs no further
+    look among itself; the others, usually few, are compared with it and with one another in blocks, every two rows
+    meeting in one (i, j), so that only their number makes copies.
     """
-    heavy = rows.groupBy(key).agg(F.sum(weight).alias("_w")).where(F.col("_w") > most).select(key, F.ceil(F.col("_w") / most).cast("int").alias("_n"))
-    plain = F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j")))
-    b = F.pmod(F.xxhash64("rep"), F.col("_n")).cast("int")
-    spread = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda x: F.struct(F.least(x, b).alias("i"), F.greatest(x, b).alias("j")))
-    return rows.join(heavy, key, "left").withColumn("_b", F.explode(F.when(F.col("_n").isNull(), plain).otherwise(spread))).select(*rows.columns, "_b.i", "_b.j")
+    spark = rows.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    order = [key, "i", "j", "side", *(c for c in rows.columns if c != key)]
+    run = lambda d: d.select(*order).repartition(n, key, "i", "j").sortWithinPartitions(key, "i", "j").mapInArrow(links, "a long, b long")
+    one = lambda d: d.withColumns({"i": F.lit(0), "j": F.lit(0), "side": F.lit(REST)})
+    heavy = table(weights.where(F.col("weight") > most).select(key, F.ceil(F.col("weight") / most).cast("int").alias("blocks")), "heavy")
+    if heavy.isEmpty():
+        return run(one(rows))
+    own = table(rows.join(heavy, key), "heavy-rows")
+    leaders = own.groupBy(key, F.pmod(F.xxhash64("rep", F.lit("leader")), F.lit(LEADERS)).alias("_k")).agg(F.min("rep").alias("rep")).drop("_k")
+    block = lambda of: F.pmod(F.xxhash64("rep"), F.col(of)).cast("int")
+    lead = own.join(leaders, [key, "rep"]).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(LEADER))
+    star = table(run(lead.unionByName(own.withColumn("i", block("blocks")).withColumn("side", F.lit(REST))).withColumn("j", F.lit(0))), "star")
+    parts = table(own.select(key, "rep", weight.alias("_w")).join(connected_components(star).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep")), "parts")
+    largest = parts.groupBy(key, "component").agg(F.sum("_w").alias("_w")).groupBy(key).agg(F.max_by("component", F.struct("_w", "component")).alias("main"))
+    parts = parts.join(largest, key).withColumn("side", F.when(F.col("component") == F.col("main"), F.lit(REACHED)).otherwise(F.lit(REST)))
+    blocks = lambda side: F.coalesce(F.ceil(F.sum(F.when(F.col("side") == side, F.col("_w"))) / most), F.lit(0)).cast("int")
+    counts = parts.groupBy(key).agg(blocks(REST).alias("_q"), blocks(REACHED).alias("_r")).where("_q > 0")
+    d = own.join(parts.select(key, "rep", "side"), [key, "rep"]).join(counts, key)
+    upto = lambda c, f: F.when(F.col(c) > 0, F.transform(F.sequence(F.lit(0), F.greatest(F.col(c) - 1, F.lit(0))), f)).otherwise(F.array().cast("array<struct<i:int,j:int>>"))
+    ij = lambda i, j: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+    q, r = block("_q"), block("_r")
+    rest = F.concat(upto("_q", lambda x: ij(F.least(x, q), F.greatest(x, q))), upto("_r", lambda y: ij(q, F.col("_q") + y)))
+    d = d.withColumn("_g", F.explode(F.when(F.col("side") == REST, rest).otherwise(upto("_q", lambda x: ij(x, F.col("_q") + r)))))
+    return run(one(rows.join(heavy, key, "left_anti"))).unionByName(star).unionByName(run(d.select("*", "_g.i", "_g.j")))
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, matches: int = MATCHES) -> DataFrame:
@@ -274,16 +324,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, matche
     real = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = real.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n"))
     classes = table(classes, "classes")
-    posts = classes.select("rep", "sig").mapInArrow(partial(_posting_keys, prefix=COORDINATES - matches + 1), "key long, rep long")
-    shared = posts.groupBy("key").agg(F.count("*").alias("_c")).where("_c > 1").select("key")
-    lists = posts.join(shared, "key").join(classes.select("rep", "sig"), "rep")
-    n = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    lists = _dealt(lists, "key", F.lit(1), LIST_BLOCK).repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    maybe = connected_components(lists.mapInArrow(partial(_list_links, matches=matches), "a long, b long"))
+    sigs = classes.select("rep", "sig")
+    frequent = max(LIST_BLOCK, classes.count() // HOT_KEYS)
+    keys = sigs.mapInArrow(partial(_posting_keys, prefix=COORDINATES, hot=None), "key long, rep long").groupBy("key").agg(F.count("*").alias("_c"))
+    hot = np.asarray([r.key for r in keys.where(F.col("_c") > frequent).select("key").collect()], np.int64)  # at most COORDINATES x HOT_KEYS numbers
+    sent = docs.sparkSession.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
+    posts = sigs.mapInArrow(partial(_posting_keys, prefix=COORDINATES - matches + 1, hot=sent), "key long, rep long")
+    shared = table(posts.groupBy("key").agg(F.count("*").alias("weight")).where("weight > 1"), "lists")
+    lists = posts.join(shared.select("key"), "key").join(sigs, "rep")
+    maybe = connected_components(_linked(lists, shared, "key", F.lit(1), LIST_BLOCK, partial(_list_links, matches=matches)))
     maybe = table(maybe.select(F.col("node").alias("rep"), F.col("component").alias("cluster")), "clusters")
+    weights = classes.select("rep", "n").join(maybe, "rep").groupBy("cluster").agg(F.sum("n").alias("weight"))
     sets = base.join(maybe.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "text", "cluster").mapInArrow(partial(_sets, n=shingle), "rep long, cluster long, n long, shingles binary")
-    sets = _dealt(sets, "cluster", F.col("n"), SET_BLOCK).repartition(n, "cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = connected_components(sets.select("cluster", "i", "j", "rep", "shingles").mapInArrow(partial(_set_links, percent=percent), "a long, b long"))
+    links = connected_components(_linked(sets, weights, "cluster", F.col("n"), SET_BLOCK, partial(_set_links, percent=percent)))
     of_class = classes.join(links, classes.rep == links.node, "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = sketch.join(of_class, "set_key", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
     return out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
