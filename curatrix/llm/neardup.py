@@ -354,3 +354,16 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """docs without the rows that near_duplicates() does not keep; all their columns, unchanged."""
     gone = near_duplicates(docs, **how).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
+
+
+#: All pairs that share a shingle, and reachability by recursion: for small tables.
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: md5(array_to_string(w[i:i + 4], ' '))) WHEN len(w) > 0 THEN [md5(array_to_string(w, ' '))] ELSE [] END) AS h FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (h) WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS node, doc_id AS src FROM w UNION SELECT e.b, r.src FROM r JOIN e ON e.a = r.node),
+c AS (SELECT node, min(src) AS component_id FROM r GROUP BY node)
+SELECT c.node AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, c.node = component_id AS kept FROM c LEFT JOIN n ON n.doc_id = c.node
+"""
