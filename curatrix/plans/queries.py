@@ -157,7 +157,7 @@ def json_records(spark, sf_dir):
 
 
 def table_info(spark, sf_dir):
-    return readers.table_info(spark, f"{sf_dir}/labels.parquet").select("ordinal", "column_name", "n_rows", "n_columns")
+    return readers.table_info(spark, f"{sf_dir}/labels.parquet").select("ordinal", "column_name", "column_type", "n_rows", "n_columns", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
 def row_counts(spark, sf_dir):
@@ -254,7 +254,7 @@ def oracle_sql() -> dict[str, str]:
         "run_manifest": f"{_SYNC} SELECT doc_id AS pos, source AS problem_id, status, source || '.json' AS file FROM o",
         "job_progress": f"WITH {_LINES} SELECT source AS problem_id, count(*)::BIGINT AS total, count(*) FILTER (WHERE length(content) > 0)::BIGINT AS completed, round(count(*) FILTER (WHERE length(content) > 0) * 100.0::DOUBLE / count(*), 1) AS percent FROM documents LEFT JOIN m ON m.custom_id = doc_id::VARCHAR GROUP BY source",
         "json_records": "SELECT doc_id, '{\"doc_id\":' || doc_id || ',\"quality\":' || coalesce(quality::VARCHAR, 'null') || ',\"toxic\":' || coalesce(toxic::VARCHAR, 'null') || '}' AS record FROM labels",
-        "table_info": "SELECT i::INT AS ordinal, c AS column_name, (SELECT count(*) FROM labels)::BIGINT AS n_rows, 3::BIGINT AS n_columns FROM (VALUES (0, 'doc_id'), (1, 'quality'), (2, 'toxic')) t(i, c)",
+        "table_info": "SELECT i::INT AS ordinal, c AS column_name, k AS column_type, (SELECT count(*) FROM labels)::BIGINT AS n_rows, 3::BIGINT AS n_columns, true AS has_bytes FROM (VALUES (0, 'doc_id', 'bigint'), (1, 'quality', 'int'), (2, 'toxic', 'int')) t(i, c, k)",
         "row_counts": "SELECT count(*)::BIGINT AS rows_before, count(*) FILTER (WHERE quality = 1)::BIGINT AS rows_after FROM labels",
         "text_functions": "SELECT doc_id, ((length(text) - length(replace(text, 'tion', ''))) // 4)::BIGINT AS n_tion, len(string_split(text, chr(10)))::BIGINT AS n_lines, CASE WHEN length(source) > 11 THEN substr(source, 1, 7) || '...' || right(source, 4) ELSE '***' END AS masked, contains(text, 'def main') AS has_main, (length('set_option warningAsError true') + 1 + length(regexp_replace(text, '\\s+\\z', '')) + length('#print axioms x') + 2)::BIGINT AS n_program FROM documents",
         "axiom_summary": "SELECT doc_id, array_to_string(list_filter(list_transform(string_split('  axioms: a' || chr(10) || 'none' || chr(10) || 'axioms: b' || chr(10) || text, chr(10)), lambda x: regexp_replace(x, '\\A\\s+|\\s+\\z', '', 'g')), lambda x: starts_with(x, 'axioms:')), '|') AS axioms, contains(text, 'declaration uses ''sorry''') OR contains(text, 'declaration uses sorry') OR doc_id % 3 = 0 AS placeholder FROM documents",
