@@ -32,6 +32,7 @@ from .storage import input_chars, table
 WINDOW, PERIOD, COVER = 20, 13, (0, 1, 3, 9)
 SLICE_BYTES = 64 << 20
 BUCKET_CHARS = 32_000_000  # characters of input for each bucket
+MOST_BUCKETS = 1 << 18  # so that a slice, of some 3 million anchors, has a dozen for each bucket and not a row for each anchor
 _U = np.uint64
 
 
@@ -308,7 +309,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     base = docs.select(F.col("doc_id").cast("long"), "text")
     real = base.where("doc_id is not null")
     n = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    buckets = max(n, -(-input_chars(base) // BUCKET_CHARS))
+    buckets = max(n, min(MOST_BUCKETS, -(-input_chars(base) // BUCKET_CHARS)))
     groups = buckets
     dealt = lambda rows, *by: rows.repartition(n, by[0]).sortWithinPartitions(*by)
     group = F.pmod(F.xxhash64(F.when(F.col("doc_id").isNull(), F.hash("text").cast("long")).otherwise(F.col("doc_id"))), F.lit(groups)).cast("int")  # rows without an id, which get no answer, anywhere
