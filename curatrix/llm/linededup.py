@@ -18,6 +18,8 @@ a shard gets as many salts, each with the filter, as its repeated lines need.
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Iterator
 from functools import partial
 
@@ -35,6 +37,7 @@ MIN_CHARS, MIN_DOCS = 20, 3
 SHARD_KEYS = 200_000  # repeated keys of a shard, about
 FILTERS_MOST = 64 << 20  # bytes of filters that may be broadcast; beyond it, lines and filters meet by shard
 PROBE_ROWS = 2_000_000  # repeated lines of a shard for each salt
+GENERATIONS = 32  # of an index, beyond which it is written anew as one
 _U = np.uint64
 _LINES = "key binary, doc_id long"
 _REFS = "shard int, key binary, doc_id long, refs long"
@@ -261,7 +264,8 @@ def _without(docs: DataFrame, refs: DataFrame, hot: DataFrame, least: int) -> Da
     """docs without the lines of hot keys (key, last_doc) that refs (key, doc_id) say they hold, but for those of last_doc."""
     new = ("n_lines", "n_dropped", "kept_sha256", "kept_text")
     own = [c for c in docs.columns if c.lower() not in new and c != "text"]
-    lose = refs.join(hot.select("key", "last_doc"), "key").where("doc_id <> last_doc")
+    hot = table(hot.select("key", "last_doc"), "hot")  # else the join would stand on the partitions of the count, and a hot key's could not be split
+    lose = refs.join(hot, "key").where("doc_id <> last_doc")
     lose = lose.groupBy(F.col("doc_id").alias("_of")).agg(F.collect_set("key").alias("_drop"))
     row = F.struct(*(F.col(f"`{c}`").cast("long").alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in own)).alias("_row")
     d = docs.select(F.col("doc_id").cast("long").alias("_doc"), F.col("text").alias("_text"), row)
@@ -298,11 +302,11 @@ class LineIndex:
 
     Each generation is a table of the shards that a batch changed; ``refs_of`` and ``filters_of`` say which generation a shard's
     rows are in. ``touched`` and ``refiltered`` are the shards that the last batch wrote. The number of shards is fixed when
-    the index is made.
+    the index is made. Tables go to ``folder``, where save() leaves what load() needs; without one they go with the program.
     """
 
-    def __init__(self, spark, shards: int = 64, least: int = MIN_CHARS, min_docs: int = MIN_DOCS):
-        self.spark, self.shards, self.least, self.min_docs = spark, shards, least, min_docs
+    def __init__(self, spark, shards: int = 64, least: int = MIN_CHARS, min_docs: int = MIN_DOCS, folder: str | None = None):
+        self.spark, self.shards, self.least, self.min_docs, self.folder = spark, shards, least, min_docs, folder
         self.refs_of: dict[int, str] = {}
         self.filters_of: dict[int, str] = {}
         self.touched: list[int] = []
@@ -330,7 +334,7 @@ class LineIndex:
     def _moved(self, docs: DataFrame, sign: int) -> LineIndex:
         lines = _lines(docs, self.least).select(_shard("key", self.shards).alias("shard"), "key", "doc_id", F.lit(sign).cast("long").alias("refs"))
         delta = table(lines.groupBy("shard", "key", "doc_id").agg(F.sum("refs").alias("refs")), "delta")
-        new = LineIndex(self.spark, self.shards, self.least, self.min_docs)
+        new = self._empty()
         new.refs_of, new.filters_of = dict(self.refs_of), dict(self.filters_of)
         new.touched = sorted(r.shard for r in delta.select("shard").distinct().collect())  # as many as there are shards, at most
         if not new.touched:
@@ -350,10 +354,33 @@ class LineIndex:
                 keys = _repeated(new._rows(new.refs_of, _REFS, full), self.min_docs, "shard").select("shard", "key", F.lit(1).alias("sign"))
                 made = made.where("filter is not null").unionByName(_filters(keys, self.shards))
             new._write(made, new.filters_of, new.refiltered, "filter-shards")
+        return new.compact() if len({*new.refs_of.values()}) > GENERATIONS else new
+
+    def _empty(self) -> LineIndex:
+        return LineIndex(self.spark, self.shards, self.least, self.min_docs, self.folder)
+
+    def compact(self) -> LineIndex:
+        """The same index in one generation."""
+        new = self._empty()
+        new.touched, new.refiltered = self.touched, self.refiltered
+        new._write(self.refs, new.refs_of, list(self.refs_of), "refs")
+        new._write(self.filters, new.filters_of, list(self.filters_of), "filter-shards")
+        return new
+
+    def save(self) -> None:
+        """Write down, in the folder, which tables make up the index."""
+        state = {"shards": self.shards, "least": self.least, "min_docs": self.min_docs, "refs_of": self.refs_of, "filters_of": self.filters_of}
+        self.spark.createDataFrame([(json.dumps(state),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/index")
+
+    @classmethod
+    def load(cls, spark, folder: str) -> LineIndex:
+        state = json.loads(spark.read.text(f"{folder}/index").first().value)
+        new = cls(spark, state["shards"], state["least"], state["min_docs"], folder)
+        new.refs_of, new.filters_of = ({int(k): v for k, v in state[x].items()} for x in ("refs_of", "filters_of"))
         return new
 
     def _write(self, rows: DataFrame, where: dict[int, str], shards: list[int], name: str) -> None:
-        path = new_path(self.spark, name)
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex}" if self.folder else new_path(self.spark, name)
         rows.write.partitionBy("shard").parquet(path)
         where.update(dict.fromkeys(shards, path))
 
