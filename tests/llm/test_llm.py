@@ -388,6 +388,19 @@ def test_line_index_as_the_whole_table(spark, docs):
     assert _rows(index.apply(docs), *cols) == _rows(linededup.line_dedup(docs), *cols)
 
 
+def test_line_index_in_a_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(linededup, "GENERATIONS", 2)
+    d = spark.createDataFrame([(i, "a line that three documents hold" + "\nand a line of its own, number %d" % i) for i in range(5)], "doc_id long, text string")
+    index = linededup.LineIndex(spark, shards=8, folder=str(tmp_path))
+    for i in range(5):
+        index = index.insert(d.where(f"doc_id = {i}"))
+        assert len({*index.refs_of.values()}) <= 2
+    index.save()
+    again = linededup.LineIndex.load(spark, str(tmp_path))
+    assert _index_state(again) == _index_state(index) and again.refs.count() == 10
+    assert sorted((r.doc_id, r.n_dropped) for r in again.apply(d).collect()) == [(0, 1), (1, 1), (2, 1), (3, 1), (4, 0)]
+
+
 def test_line_dedup_when_filters_are_not_sent(docs, monkeypatch):
     monkeypatch.setattr(linededup, "FILTERS_MOST", -1)
     monkeypatch.setattr(linededup, "SHARD_KEYS", 2)
