@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from .storage import discard, table
 
+SPLIT = 1_000_000
+
 
 def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     """(node, component) of every node of ``edges`` (a long, b long), component being the smallest node it reaches.
 
-    Every round is a few equi-joins on a node with its smallest neighbour, so that a hub is an ordinary skewed join
-    (which the engine splits) and no list of neighbours is ever gathered. Self loops and null ends are ignored.
+    Every round is a few equi-joins on a node with its smallest neighbour; no list of neighbours is ever gathered. Beyond
+    SPLIT edges the smallest neighbours are written down first: the join then has partitions of its own, and the engine can
+    split a hub's, which it can't where they are the aggregate's. Self loops and null ends are ignored.
     """
+    least_of = lambda d, n: (lambda x: table(x, "least") if n > SPLIT else x)(d.groupBy("a").agg(F.min("b").alias("m")))
     e = table(_oriented(edges), "edges")
     seen = None
     for _ in range(most_rounds):
@@ -22,10 +26,10 @@ def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
             break
         seen = now
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m"))
+        least = least_of(both, now[0])
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
         large = _oriented(large)
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = least_of(large, now[0])
         small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         old, e = e, table(_oriented(small.unionByName(least.select("a", F.col("m").alias("b")))), "edges")
         discard(old)
