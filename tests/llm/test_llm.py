@@ -260,7 +260,9 @@ def test_near_duplicates_find_all_links(spark):
     assert got == {i: (len(sets[i]), want[i]) for i in sets}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("split", [10**6, 0])
+def test_components(spark, monkeypatch, split):
+    monkeypatch.setattr(graph, "SPLIT", split)
     rnd = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(40)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(60)] + [(7, 7), (None, 1)]
     got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
