@@ -17,7 +17,11 @@ def connected_components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     SPLIT edges the smallest neighbours are written down first: the join then has partitions of its own, and the engine can
     split a hub's, which it can't where they are the aggregate's. Self loops and null ends are ignored.
     """
-    least_of = lambda d, n: (lambda x: table(x, "least") if n > SPLIT else x)(d.groupBy("a").agg(F.min("b").alias("m")))
+
+    def least_of(d: DataFrame, n: int) -> DataFrame:
+        found = d.groupBy("a").agg(F.min("b").alias("m"))
+        return table(found, "least") if n > SPLIT else found
+
     e = table(_oriented(edges), "edges")
     seen = None
     for _ in range(most_rounds):
