@@ -7,8 +7,8 @@ bytes; a longer one is cut into segments of that length, each of which both netw
 that no byte has less than that before and after it but at the text's ends.
 
 The network learns by backpropagation through time from windows of ``WINDOW`` bytes that together are the whole texts of a
-bounded sample of documents: about ``PER_LANG`` of each language, ``MOST`` at most, those with the smallest hash of doc_id. Only
-documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
+bounded sample of documents: about ``PER_LANG`` of each language, ``MOST`` rows and ``MOST_BYTES`` at most, none above
+``LONGEST`` bytes, those with the smallest hash of doc_id. Only documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
 """
 
 from __future__ import annotations
@@ -19,13 +19,14 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textvec as tv
 
 HIDDEN, SEGMENT, WARM, BLOCK = 8, 4096, 64, 64
 PER_LANG, MOST, WINDOW = 120, 5_000, 96
+LONGEST, MOST_BYTES = 256 << 10, 16 << 20  # bytes of a text that is learned from, and of all of them: the driver holds these
 _f = np.float32
 
 
@@ -158,9 +159,11 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     """A network from docs (doc_id, text, lang), None if no row can be learned from."""
     d = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.lit(1 << 20)) / float(1 << 20)
-    ids = d.select("doc_id", "lang", share.alias("_s"))  # no text is shuffled for the choice
+    ids = d.select("doc_id", "lang", share.alias("_s"), F.octet_length("text").cast("long").alias("_b")).where(F.col("_b") <= LONGEST)  # no text is shuffled for the choice
     counts = ids.groupBy("lang").agg(F.count("*").alias("_n")).withColumnRenamed("lang", "_l")
     chosen = ids.join(counts, F.col("lang") == F.col("_l")).where(F.col("_s") < per_lang / F.col("_n")).orderBy("_s", "doc_id", "lang").limit(MOST)
+    upto = F.sum("_b").over(Window.orderBy("_s", "doc_id", "lang").rowsBetween(Window.unboundedPreceding, 0))  # over MOST rows
+    chosen = chosen.withColumn("_b", upto).where(F.col("_b") <= MOST_BYTES)
     chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
     some = d.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l"))).select("doc_id", "text", "lang")  # MOST rows at most
     got = some.mapInArrow(_sample_windows, "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
