@@ -434,6 +434,16 @@ def test_language(spark, docs, empty):
     assert langid.identify(empty).count() == 0
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LONGEST", 400)
+    monkeypatch.setattr(langid, "MOST_BYTES", 2000)
+    seen = []
+    monkeypatch.setattr(langid, "fit", lambda pieces, label, langs: seen.append((len(pieces), langs)))
+    d = spark.createDataFrame([(i, "kato mika " * (50 if i % 10 else 30), "aa" if i % 2 else "bb") for i in range(60)], "doc_id long, text string, lang string")
+    langid.train(d)
+    assert seen and 0 < seen[0][0] <= 2000 / langid.WINDOW + 20 and seen[0][1] == ["bb"]  # only texts of 300 bytes may be learned from
+
+
 def _a_network(langs, windows=40):
     rng = np.random.default_rng(0)
     return langid.fit(rng.integers(97, 110, (windows, 24)).astype(np.uint8), rng.integers(0, len(langs), windows), langs, epochs=2, batch=8)
