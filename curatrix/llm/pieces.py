@@ -35,6 +35,7 @@ _BASE = _U(0x9E3779B97F4A7C15 | 1)
 SCORES = "zipf"
 PIECE_COST = 6.0  # with "zipf", what each piece costs besides: fewer, longer pieces, as merges make them
 BATCH_BYTES = 512 << 10  # text that is encoded at once: its tables of 64-bit numbers take about 70 times as much
+PIECE_WORDS = 500_000  # distinct words that are remembered from batch to batch
 LONG_WORD = 1 << 16  # characters of a word beyond which it is searched piece by piece: the tables take about 200 bytes a character
 _loaded: dict[tuple[str, str], Pieces] = {}
 
@@ -77,7 +78,7 @@ class Pieces:
                 self.by_length[length] = keys[order], ids[order], score[ids[order]], maybe
         self.alone = bytes(b for b in range(128) if b != 32 and not any(chr(b) in self.text[i] for i in normal))
         self.raw = [bytes([int(x[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else x.replace(MARK, " ").encode() for i, x in enumerate(self.text)]
-        self.cache = WordCache()
+        self.cache = WordCache(PIECE_WORDS)
 
     @classmethod
     def load(cls, path: str, scores: str = SCORES) -> Pieces:

@@ -21,15 +21,18 @@ def stretches(pool: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 class WordCache:
-    """Span hash -> (bytes, ids), as sorted keys with offsets into pools. Beyond CACHE_WORDS it starts again, which changes no result."""
+    """Span hash -> (bytes, ids), as sorted keys with offsets into pools. Beyond ``most`` it starts again, which changes no result.
 
-    def __init__(self):
+    An entry takes some 50 bytes, and twice that while entries are added."""
+
+    def __init__(self, most: int = CACHE_WORDS):
+        self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.keys, self.where = np.zeros(0, np.uint64), np.zeros(0, np.int32)
-        self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-        self.raw_at, self.raw_size, self.raw = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+        self.at, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint16)  # vocabularies have fewer than 2**16 ids
+        self.raw_at, self.raw_size, self.raw = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint8)
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the entries of keys, and whether they are there."""
@@ -44,8 +47,8 @@ class WordCache:
         self.keys, self.where = np.insert(self.keys, to, keys), np.insert(self.where, to, len(self.at) + np.arange(len(keys), dtype=np.int32))
         self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(size) - size])
         self.raw_at = np.concatenate([self.raw_at, len(self.raw) + np.cumsum(raw_size) - raw_size])
-        self.size, self.raw_size = np.concatenate([self.size, size]), np.concatenate([self.raw_size, raw_size])
-        self.pool, self.raw = np.concatenate([self.pool, ids.astype(np.uint32)]), np.concatenate([self.raw, raw])
+        self.size, self.raw_size = np.concatenate([self.size, size.astype(np.int32)]), np.concatenate([self.raw_size, raw_size.astype(np.int32)])
+        self.pool, self.raw = np.concatenate([self.pool, ids.astype(np.uint16)]), np.concatenate([self.raw, raw])
 
 
 def encode_spans(cache: WordCache, spans: tv.Spans, start: np.ndarray, end: np.ndarray, encode: Encode) -> tuple[np.ndarray, np.ndarray]:
@@ -55,23 +58,23 @@ def encode_spans(cache: WordCache, spans: tv.Spans, start: np.ndarray, end: np.n
     i, there = cache.find(keys)
     old = i[there]
     alike = cache.raw_size[old] == (e - s)[there]
-    if not alike.all() or not np.array_equal(stretches(cache.raw, cache.raw_at[old], cache.raw_size[old]), stretches(spans.buf, s[there], (e - s)[there])):
+    if not alike.all() or not np.array_equal(stretches(cache.raw, cache.raw_at[old], cache.raw_size[old].astype(np.int64)), stretches(spans.buf, s[there], (e - s)[there])):
         cache.clear()  # a key of other bytes is held
         there[:] = False
     if not there.all():
-        if len(cache.keys) + (~there).sum() > CACHE_WORDS:
+        if len(cache.keys) + (~there).sum() > cache.most:
             cache.clear()
             there[:] = False
         new = ~there
         size, ids = encode(s[new], e[new])
         cache.add(keys[new], (e - s)[new], stretches(spans.buf, s[new], (e - s)[new]), size.astype(np.int64), ids)
         i, _ = cache.find(keys)
-    at, size, pool = cache.at[i][back], cache.size[i][back], cache.pool
+    at, size, pool = cache.at[i][back], cache.size[i].astype(np.int64)[back], cache.pool
     other = np.flatnonzero(~spans.same(start, end, s[back], e[back]))
     if len(other):  # spans of equal hash and other bytes: each is encoded for itself
         own, ids = encode(start[other], end[other])
         at[other], size[other] = len(pool) + np.cumsum(own) - own, own
-        pool = np.concatenate([pool, ids.astype(np.uint32)])
+        pool = np.concatenate([pool, ids.astype(np.uint16)])
     return stretches(pool, at, size), size
 
 
