@@ -202,8 +202,7 @@ def byte_logits(net: Network, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     steps = np.maximum(end - lo, hi - start)
     order = np.argsort(-steps, kind="stable")
     start, end, lo, hi, steps = start[order], end[order], lo[order], hi[order], steps[order]
-    logit = np.empty((len(buf), len(net.langs)), _f)
-    logit[:] = net.bias
+    both = np.zeros((2, len(buf) + 1, len(net.langs)), _f)  # what each network says of each byte; the last row takes what is outside of the segment
     state = np.zeros((2, len(order), HIDDEN), _f)
     for t0 in range(0, int(steps[0]) if len(steps) else 0, BLOCK):
         n = int(np.searchsorted(-steps, -t0, side="left"))  # the segments that are not at their end
@@ -218,8 +217,12 @@ def byte_logits(net: Network, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
             state, _ = _step(net, state, a)
             states[k] = state
         said = states @ net.out
-        for way, real in enumerate(((lo[:n] + t < end[:n]) & (lo[:n] + t >= start[:n]), (hi[:n] - 1 - t >= start[:n]) & (hi[:n] - 1 - t < end[:n]))):
-            logit[at[:, way][real]] += said[:, way][real]
+        to = np.where((at >= start[:n]) & (at < end[:n]) & (t < (hi - lo)[:n])[:, None], at, len(buf))
+        for way in range(2):
+            both[way][to[:, way]] = said[:, way]
+    logit = both[0, :-1]
+    logit += both[1, :-1]
+    logit += net.bias
     return logit
 
 
