@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, linededup, mixing, mpeg, neardup, pieces, quality, repair, sharding, substring
+from . import langid, linededup, mixing, mpeg, neardup, pieces, quality, repair, sharding, substring, vamana, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +64,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.token_files(_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vamana.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = whitening.whiten(_table(spark, sf_dir, "embeddings"))
+    return d.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_language_id, op6_sentencepiece, op7_substring_dedup, op8_sharding, op9_media_columns, op10_token_files)
+    own = (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_language_id, op6_sentencepiece, op7_substring_dedup, op8_sharding, op9_media_columns, op10_token_files, op11_nearest_neighbours, op12_embedding_whitening)
     return {f.__name__: f for f in own}
 
 
