@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, mixing, mpeg, neardup, pieces, quality, repair, sharding, substring, vamana, whitening
+from . import langid, linededup, mixing, mpeg, neardup, phrases, pieces, quality, repair, sharding, substring, vamana, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,8 +73,12 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    own = (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_language_id, op6_sentencepiece, op7_substring_dedup, op8_sharding, op9_media_columns, op10_token_files, op11_nearest_neighbours, op12_embedding_whitening)
+    own = (op1_quality_rules, op2_minhash_near_dedup, op3_mix_sources, op4_line_dedup, op5_language_id, op6_sentencepiece, op7_substring_dedup, op8_sharding, op9_media_columns, op10_token_files, op11_nearest_neighbours, op12_embedding_whitening, op13_collocations)
     return {f.__name__: f for f in own}
 
 
