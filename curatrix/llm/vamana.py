@@ -82,7 +82,7 @@ def walk(x: np.ndarray, graph: np.ndarray, entries: np.ndarray, q: np.ndarray, b
 
 def prune(x: np.ndarray, node: np.ndarray, candidates: np.ndarray, degree: int, relaxed: float) -> np.ndarray:
     """For each node at most ``degree`` of its candidates (filled up with -1), nearest first: one goes if a chosen one is nearer to it than
-    the node is, by the factor ``relaxed``. Squared distances; all vectors are equally long, so these follow from products."""
+    the node is, by the factor ``relaxed``; places that stay free go to the nearest of these. Squared distances; all vectors are equally long, so these follow from products."""
     out = np.full((len(node), degree), _NONE, np.int32)
     size = np.einsum("ij,ij->i", x[:1], x[:1])[0] * 2
     width = candidates.shape[1]
@@ -99,14 +99,20 @@ def prune(x: np.ndarray, node: np.ndarray, candidates: np.ndarray, degree: int,
         v = np.take_along_axis(v, order[:, :, None], 1)
         between = relaxed * (size - 2 * np.matmul(v, v.transpose(0, 2, 1)))
         left, rows = c != _NONE, np.arange(len(p))
+        spare, taken = left.copy(), np.zeros(len(p), np.int64)
         for k in range(degree):
             j = left.argmax(axis=1)
             has = left[rows, j]
             if not has.any():
                 break
             out[rows[has] + lo, k] = c[rows, j][has]
+            spare[rows[has], j[has]] = False
+            taken += has
             left &= ~((between[rows, j] <= d) & has[:, None])
             left[rows, j] = False
+        place = taken[:, None] + np.cumsum(spare, axis=1) - 1
+        r, j = np.nonzero(spare & (place < degree))
+        out[r + lo, place[r, j]] = c[r, j]
     return out
 
 
