@@ -263,7 +263,7 @@ def exported_files(spark, sf_dir):
     """A file of the log, and one of the code where there is some, for each problem; by name and content."""
     path = new_path(spark, "files")
     writers.export_files(_log(spark, sf_dir), path)
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value")
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), "value")
     return files.select("name", F.when(F.endswith("name", F.lit(".lean")), F.col("value")).otherwise(F.get_json_object("value", "$.status")).alias("content"))
 
 

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.text import extract_code, step_check
 from ..operators.curate import GEOMETRY, SkipRules, limit_after_filter, limit_before_filter, score_filter, skip_classify
-from ..operators.keys import default_id
+from ..operators.keys import assert_unique, default_id
 from ..operators.outcome import classify, manifest, manifest_array, run_stats, validation_record
 from ..operators.requests import EFFORT, envelope, join_responses, requests
-from ..sources import readers, writers
-from .external import Generator, Validator, generate, validate
+from ..schemas import BATCH_INFO, RESPONSE_LINE
+from ..sources import files, readers, writers
+from . import ledger
+from .external import Generator, Validator, validate
 
 # Seconds between looks at a job, and seconds to wait for it.
 INTERVAL, MOST_WAIT = 60, 86400
@@ -56,20 +58,40 @@ def finish(answered: DataFrame, skipped: DataFrame, check: Validator, batch: boo
     return both.withColumn("api_call", called).drop("call_seconds")
 
 
-def run_sync(problems: DataFrame, system_prompt: str, call: Generator, check: Validator, out: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY, model: str | None = None, run_id: str = "run") -> DataFrame:
-    """The log of a run that calls the generator once for each row that is not skipped, unless a lost task is run again.
-
-    Answers are written to ``out``/answers and read back before they are checked, and the log to ``out``/log/run_id=… before
-    anything counts it: no plan that holds a call is run twice.
+def run_sync(
+    problems: DataFrame,
+    system_prompt: str,
+    call: Generator,
+    check: Validator,
+    out: str,
+    max_problems: int | None = None,
+    skip: bool = True,
+    rules: SkipRules = GEOMETRY,
+    model: str | None = None,
+    run_id: str = "run",
+    effort: str | None = None,
+    window: int = 1,
+    rate: float | None = None,
+) -> DataFrame:
+    """The log of a run that calls the generator once for each row that is not skipped.
+
+    Requests are written to ``out``/requests/run_id=…, answers go to the ledger ``out``/ledger/run_id=… as they come, the log to
+    ``out``/log/run_id=…. A run that is started again with the same run_id asks for what its ledger lacks and for nothing else;
+    see ledger.ask() for ``window`` and ``rate``.
     """
     spark = problems.sparkSession
     d = prepare(problems, max_problems, skip, rules)
-    asked = f"{out}/answers/run_id={run_id}"
-    generate(requests(d.where("not skipped"), system_prompt), call).write.mode("overwrite").parquet(asked)
-    writers.problem_logs(finish(spark.read.parquet(asked), d.where("skipped"), check, False, model), f"{out}/log", run_id)
+    reqs = _written(requests(d.where("not skipped"), system_prompt, check=False), f"{out}/requests/run_id={run_id}")
+    answered = ledger.ask(assert_unique(reqs), call, f"{out}/ledger/run_id={run_id}", model, effort, window, rate)
+    writers.problem_logs(finish(answered, d.where("skipped"), check, False, model), f"{out}/log", run_id)
     return read_log(spark, out, run_id)
 
 
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_log(spark: SparkSession, out: str, run_id: str) -> DataFrame:
     return spark.read.parquet(f"{out}/log/run_id={run_id}")
 
@@ -110,28 +132,59 @@ def progress(counts: dict | None) -> str:
     return f"{done}/{total} ({done / total * 100 if total else 0:.1f}%)"
 
 
-def run_batch(problems: DataFrame, system_prompt: str, transport: Transport, check: Validator, out: str, model: str, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY, effort: str = EFFORT, run_id: str = "run", **waiting) -> DataFrame:
+def run_batch(
+    problems: DataFrame,
+    system_prompt: str,
+    transport: Transport,
+    check: Validator,
+    out: str,
+    model: str,
+    max_problems: int | None = None,
+    skip: bool = True,
+    rules: SkipRules = GEOMETRY,
+    effort: str = EFFORT,
+    run_id: str = "run",
+    **waiting,
+) -> DataFrame:
     """The log of a bulk run under ``out``: request lines, then, once the job is completed, a copy of its raw output, then outcomes, each
-    in a folder by run. Without a row to ask for no job is submitted."""
+    in a folder by run. Without a row to ask for no job is submitted.
+
+    A run that is started again with the same run_id goes on with the job that it has submitted and with the raw output that it has
+    copied; its requests stay as they were submitted.
+    """
     spark = problems.sparkSession
     d = prepare(problems, max_problems, skip, rules)
     of = lambda name: f"{out}/{name}/run_id={run_id}"
-    requests(d.where("not skipped"), system_prompt).write.mode("overwrite").parquet(of("requests"))
+    if not files.exists(spark, f"{of('batch_info')}/_SUCCESS"):
+        reqs = assert_unique(_written(requests(d.where("not skipped"), system_prompt, check=False), of("requests")))
+        if not reqs.isEmpty():
+            writers.request_lines(envelope(reqs, model, effort), of("batch_input"))
+            job = transport.submit(of("batch_input"))
+            writers.write_one(writers.batch_info(spark, job, of("batch_input"), time.strftime("%Y-%m-%dT%H:%M:%S"), reqs.count()), of("batch_info"))
     reqs = spark.read.parquet(of("requests"))
     if reqs.isEmpty():
-        lines = spark.createDataFrame([], "line_no int, custom_id string, response struct<status_code: int, body: struct<choices: array<struct<message: struct<content: string>>>>>")
+        lines = spark.createDataFrame([], f"line_no int, {RESPONSE_LINE}")
     else:
-        writers.request_lines(envelope(reqs, model, effort), of("batch_input"))
-        job = transport.submit(of("batch_input"))
-        writers.write_one(writers.batch_info(spark, job, of("batch_input"), time.strftime("%Y-%m-%dT%H:%M:%S"), reqs.count()), of("batch_info"))
-        status, last = poll(transport, job, **waiting)
-        if status != "completed":
-            raise RuntimeError(f"job {job}: {status} {last.get('errors') or ''}")
-        lines = readers.responses(spark, writers.keep_raw(spark, transport.results(job), of("batch_output")))
+        job = batch_id(spark, out, run_id)
+        if not files.exists(spark, f"{of('batch_output')}/_COPIED"):
+            status, last = poll(transport, job, **waiting)
+            if status != "completed":
+                raise RuntimeError(f"job {job}: {status} {last.get('errors') or ''}")
+            writers.keep_raw(spark, transport.results(job), of("batch_output"))
+        lines = readers.responses(spark, of("batch_output"))
     writers.problem_logs(finish(join_responses(reqs, lines), d.where("skipped"), check, True), f"{out}/log", run_id)
     return read_log(spark, out, run_id)
 
 
+def batch_id(spark: SparkSession, out: str, run_id: str) -> str | None:
+    """The job that a bulk run has submitted, if it has."""
+    path = f"{out}/batch_info/run_id={run_id}"
+    if not files.exists(spark, path):
+        return None
+    row = spark.read.schema(BATCH_INFO).json(path).first()
+    return row.batch_id if row else None
+
+
 def retrieve(spark: SparkSession, path: str, check: Validator | None = None) -> DataFrame:
     """(custom_id, response, generated_code[, compilation, parsability]) of bulk output, without the problems. See retrieve_to()."""
     from ..operators.keys import response_map

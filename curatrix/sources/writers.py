@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import last_writer_wins
+from .files import copy, hadoop, remove, write_text_files
 
 
 def json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -46,18 +47,13 @@ def write_json_document(df: DataFrame, path: str, order: str, pretty: bool = Fal
     write_lines(json_document(df, order, pretty), path)
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def merge_files(spark: SparkSession, folder: str, file: str) -> None:
     """The files of a folder, in the order of their names, as one file; bytes are streamed, never held."""
-    (src, fs), (dst, to) = _hadoop(spark, folder), _hadoop(spark, file)
+    (src, fs), (dst, to) = hadoop(spark, folder), hadoop(spark, file)
     out = to.create(dst, True)
     try:
         for part in sorted(str(x.getPath()) for x in fs.listStatus(src) if not x.getPath().getName().startswith(("_", "."))):
-            own = fs.open(_hadoop(spark, part)[0])
+            own = fs.open(hadoop(spark, part)[0])
             try:
                 spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(own, out, 1 << 16, False)
             finally:
@@ -66,17 +62,12 @@ def merge_files(spark: SparkSession, folder: str, file: str) -> None:
         out.close()
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop(spark, path)
-    fs.delete(p, True)
-
-
 def keep_raw(spark: SparkSession, path: str, out: str) -> str:
-    """A copy of bulk output, byte for byte, which stays whatever becomes of the parse. Gives the copy's path; one that is there is replaced."""
-    (src, fs), (dst, to) = _hadoop(spark, path), _hadoop(spark, out)
-    to.delete(dst, True)
-    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, to, dst, False, True, spark._jsc.hadoopConfiguration())
-    return out
+    """A copy of bulk output, byte for byte, made by tasks, which stays whatever becomes of the parse. Gives the copy's folder. A whole
+    copy that is there stays; see files.copy()."""
+    if path.rstrip("/") == out.rstrip("/"):
+        raise ValueError(f"{path} can't be copied onto itself")
+    return copy(spark, path, out)
 
 
 def problem_logs(df: DataFrame, path: str, run: str) -> None:
@@ -85,35 +76,28 @@ def problem_logs(df: DataFrame, path: str, run: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_id={run}")
 
 
-EXPORT = 100_000  # problems that may be exported as files
+FOLDER_FILES = 2000  # problems whose files share a folder
 
 
-def export_files(log: DataFrame, folder: str, key: str = "problem_id", order: str = "pos", most: int = EXPORT) -> int:
-    """For each problem ``{id}.json`` with its log and, where there is code, ``{id}.lean`` in a folder; gives the number of files.
+def export_files(log: DataFrame, folder: str, key: str = "problem_id", order: str = "pos", folders: int | None = None) -> int:
+    """For each problem ``{id}.json`` with its log and, where there is code, ``{id}.lean``; gives the number of folders.
 
-    On request only: the driver writes one file after another, reading one partition at a time, so more than ``most`` problems
-    raise ValueError; the tables scale. The last row of an id wins. Slashes and a leading dot in an id become underscores;
-    ids whose files would be the same raise.
+    Executors write; the files of a problem lie in ``folder``/part-…, chosen by the name's checksum, see files.folder_of(). All are there when
+    the write is committed, none if it fails. The last row of an id wins. Slashes and a leading dot in an id become
+    underscores; ids whose files would be the same raise ValueError. A null id is the file ``null``.
     """
     last = last_writer_wins(log, key, order)
-    name = F.regexp_replace(F.regexp_replace(F.col(key), r"[/\\]", "_"), r"^\.", "_")
+    plain = F.regexp_replace(F.regexp_replace(F.coalesce(F.col(key).cast("string"), F.lit("null")), r"[/\\]", "_"), r"^\.", "_")
     record = F.to_json(F.struct(*(c for c in last.columns if c != order)), {"pretty": "true"})
-    files = last.select(name.alias("name"), record.alias("log"), F.nullif("generated_code", F.lit("")).alias("code"))
-    n, names = files.agg(F.count("*"), F.count_distinct("name")).first()
-    if n > most or names < n:
-        raise ValueError(f"{n} problems are too many for files" if n > most else "two problems have the same file name")
-    spark, written = log.sparkSession, 0
-    for r in files.toLocalIterator():
-        for suffix, text in (("json", r.log), ("lean", r.code)):
-            if text is not None:
-                path, fs = _hadoop(spark, f"{folder}/{r.name}.{suffix}")
-                out = fs.create(path, True)
-                try:
-                    out.write(bytearray(text.encode()))
-                finally:
-                    out.close()
-                written += 1
-    return written
+    rows = last.select(plain.alias("stem"), record.alias("log"), F.nullif("generated_code", F.lit("")).alias("code"))
+    counts = rows.groupBy("stem").agg(F.count("*").alias("n")).agg(F.sum("n").alias("n"), F.max("n").alias("most")).first()
+    if (counts.most or 0) > 1:
+        raise ValueError("two problems have the same file name")
+    folders = folders or max(1, -(-(counts.n or 0) // FOLDER_FILES))
+    both = F.array(F.struct(F.lit(".json").alias("suffix"), F.col("log").alias("text")), F.struct(F.lit(".lean").alias("suffix"), F.col("code").alias("text")))
+    files = rows.select("stem", F.explode(both).alias("f")).where("f.text is not null")
+    write_text_files(files.select("stem", F.concat("stem", "f.suffix").alias("name"), "f.text"), folder, folders)
+    return folders
 
 
 def code_files(df: DataFrame, path: str, key: str = "problem_id", order: str = "pos") -> None:

@@ -198,7 +198,7 @@ def test_runs(spark, tmp_path):
     got = outcome.run_stats(log).first()
     assert got.total == 5 and got.skipped == 1 and got.successful + got.failed_compilation == 4
     raw = tmp_path / "batch/batch_output/run_id=run"
-    assert raw.read_bytes() == (tmp_path / "out.jsonl").read_bytes()
+    assert (raw / "out.jsonl").read_bytes() == (tmp_path / "out.jsonl").read_bytes()
     runs.write_summary(log, str(tmp_path / "summary"), one_row=True, model="m", batch_mode=True, max_problems=None)
     s = spark.read.json(str(tmp_path / "summary/run_summary")).first()
     assert s.stats.total == 5 and len(s.problem_files) == 5 and s.batch_mode is True
@@ -324,12 +324,12 @@ def test_command_line_of_a_service(spark, tmp_path, capsys, monkeypatch):
     assert code == 0 and Asked.made[-1] == ("env", "m", "low")
     lines = [json.loads(x.value) for x in spark.read.text(Asked.path).collect()]
     assert [x["body"]["reasoning_effort"] for x in lines] == ["low"]
-    assert sorted(x.name for x in (tmp_path / "d/files/r").iterdir() if not x.name.startswith(".")) == ["a_b.json", "a_b.lean", "c.json"]
-    assert json.loads((tmp_path / "d/files/r/c.json").read_text())["status"] == "skipped"
+    assert sorted(x.name for x in (tmp_path / "d/files/r/part-00000").iterdir() if not x.name.startswith(".")) == ["a_b.json", "a_b.lean", "c.json"]
+    assert json.loads((tmp_path / "d/files/r/part-00000/c.json").read_text())["status"] == "skipped"
     summary = spark.read.json(str(tmp_path / "d/runs/r/run_summary")).first()
     assert (summary.reasoning_effort, summary.stats.skipped, len(summary.problem_files)) == ("low", 1, 2) and summary.start_time <= summary.end_time
     assert cli.main(["retrieve", "job", "--service", spec, "--output-dir", str(tmp_path / "got"), "--process", "--validator", "cat {file}"], spark) == 0
-    assert spark.read.parquet(str(tmp_path / "got/validation")).first().compilation.success and (tmp_path / "got/raw").read_bytes() == (tmp_path / "out.jsonl").read_bytes()
+    assert spark.read.parquet(str(tmp_path / "got/validation")).first().compilation.success and (tmp_path / "got/raw/out.jsonl").read_bytes() == (tmp_path / "out.jsonl").read_bytes()
     with pytest.raises(SystemExit):
         cli.parser().parse_args(["process", "x", "--service", "s", "--reasoning-effort", "huge"])
 
