@@ -29,7 +29,7 @@ from . import textvec as tv
 from .storage import table
 
 DEPTH, LEAST, PERCENT, TOP, SCALE = 4, 30, 80, 2000, 2_000_000
-CHUNK_WORDS = 1 << 21  # of a trie; three of their numbers fit 64 bits
+CHUNK_WORDS = 1 << 20  # of a trie; three of their numbers fit 64 bits
 RANGE_BYTES = 8 << 20  # text whose windows are about one range
 MOST_RANGES = 1 << 18  # cuts that are sent to all tasks, some 10 MB; beyond 2 TB of text, ranges grow
 SAMPLE_TEXTS, SAMPLE_PATHS = 20_000, 256  # texts that cuts come from; paths for each range
