@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import PROBLEM, RESPONSE_LINE
+from .jsonscan import json_records
 
 DEFAULT_SYSTEM_PROMPT = """You turn mathematical problems into Lean 4 code that compiles without unfinished proofs.
 Answer with one fenced block of Lean code. Begin it with `set_option warningAsError true`.
@@ -24,24 +25,21 @@ def hosted_dataset(spark: SparkSession, root: str, split: str = "train", config:
     return spark.read.parquet("/".join([root.rstrip("/"), *([config] if config else []), split]))
 
 
-def problems_json(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, problem_id, problem, solution, metadata) of a JSON array of objects, or of one object.
+def problems_json(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """(pos, problem_id, problem, solution, metadata) of a JSON array of objects, or of one object, read by many tasks; see json_records().
 
     pos counts from 1 in the order of the document. A key that is missing has its default ('' for texts, {} for metadata,
-    problem_{pos} for the id); an explicit null stays null, but for the id.
+    problem_{pos} for the id); an explicit null stays null, but for the id. A key that comes twice fails.
     """
-    doc = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
-    doc = doc.select(F.when(F.startswith(F.schema_of_variant("v"), F.lit("ARRAY")), F.col("v")).otherwise(F.parse_json(F.concat(F.lit("["), F.to_json("v"), F.lit("]")))).alias("v"))
-    rows = doc.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("pos").alias("_pos"), F.col("value").alias("_v")))
-    rows = rows.select((F.col("_pos") + 1).cast("long").alias("pos"), F.col("_v").alias("v"))
+    rows = json_records(spark, path, parts).select("pos", F.parse_json("record").alias("v"))
 
     def text(key: str, default) -> F.Column:
         got = F.variant_get("v", f"$.{key}", "variant")
         return F.when(got.isNull(), default).otherwise(F.try_variant_get("v", f"$.{key}", "string"))
 
     made = F.concat(F.lit("problem_"), F.col("pos").cast("string"))
-    meta = F.variant_get("v", "$.metadata", "variant")
-    return rows.select("pos", F.coalesce(text("problem_id", made), made).alias("problem_id"), text("problem", F.lit("")).alias("problem"), text("solution", F.lit("")).alias("solution"), F.coalesce(meta, F.parse_json(F.lit("{}"))).alias("metadata"))
+    meta = F.coalesce(F.variant_get("v", "$.metadata", "variant"), F.parse_json(F.lit("{}")))
+    return rows.select("pos", F.coalesce(text("problem_id", made), made).alias("problem_id"), text("problem", F.lit("")).alias("problem"), text("solution", F.lit("")).alias("solution"), meta.alias("metadata"))
 
 
 def problems_lines(spark: SparkSession, path: str) -> DataFrame:
