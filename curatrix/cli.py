@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from .functions.text import axiom_lines, check_program, has_placeholder
 from .operators.curate import preview
+from .operators.places import fresh, with_file_place
 from .operators.requests import EFFORT, EFFORTS
 from .plans import external, runs
 from .session import build_session
 from .sources import readers, writers
+from .sources.files import remove
 
 
 def _load(spec: str):
@@ -27,6 +29,7 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     a = sub.add_parser("process", help="generate and validate code for problems")
     a.add_argument("input_file")
+    a.add_argument("--input-format", choices=("json", "parts", "lines", "table"), default="json", help="one document, one in files, JSON lines, Parquet")
     a.add_argument("--api-key")
     a.add_argument("--model", default="default")
     a.add_argument("--system-prompt")
@@ -37,7 +40,9 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--batch", action="store_true")
     a.add_argument("--service", required=True, help="module:name of a generator, or of a transport with --batch")
     a.add_argument("--validator", default="lake env lean {file}", help="a command, or module:name")
-    a.add_argument("--run-id", help="the run's name in the dataset's folders; the time in UTC if not given")
+    a.add_argument("--run-id", help="the run's name in the dataset's folders; the time in UTC if not given. A run that is named again goes on")
+    a.add_argument("--window", type=int, default=1, help="calls that are under way in a task")
+    a.add_argument("--rate", type=float, help="calls a second of all tasks together, at most")
     a.add_argument("--export", action="store_true", help="also a .json and a .lean file for each problem; for small runs")
     a.add_argument("--manifest-in-summary", action="store_true", help="the summary holds the manifest in one row; for small runs")
     a = sub.add_parser("convert", help="rows of a table whose score is one, as JSON")
@@ -75,6 +80,11 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _shown(field: str, value) -> str:
+    """Times, which come as seconds, as ISO text."""
+    return datetime.fromtimestamp(value, UTC).isoformat() if field.endswith("_at") and isinstance(value, int | float) else str(value)
+
+
 def _service(a):
     """What --service names. A class is made with the key (given, or of the environment; none raises), the model and the effort."""
     s = _load(a.service)
@@ -99,6 +109,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             print(f"error: {e}", file=sys.stderr)
             return 1
         print(s.get("status"), runs.progress(s.get("request_counts")))
+        for field in ("id", "created_at", "completed_at", "failed_at", "output_file_id", "error_file_id", "errors"):
+            if s.get(field) is not None:
+                print(f"{field}: {_shown(field, s[field])}")
         return 0
     spark = spark or build_session()
     try:
@@ -108,15 +121,28 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         return 1
 
 
+def _problems(a, spark):
+    if a.input_format == "lines":
+        return readers.problems_lines(spark, a.input_file)
+    if a.input_format == "table":
+        place = "pos"
+        df = readers.parquet(spark, a.input_file)
+        return readers.problems_table(with_file_place(df.drop(place), place, 1), place)
+    return readers.problems_json(spark, a.input_file, parts=a.input_format == "parts")
+
+
 def _process(a, spark) -> int:
     began = datetime.now(UTC)
-    problems, prompt, service = readers.problems_json(spark, a.input_file), readers.system_prompt(spark, a.system_prompt), _service(a)
+    problems, prompt, service = _problems(a, spark), readers.system_prompt(spark, a.system_prompt), _service(a)
     check, skip, run_id = _validator(a.validator), not a.no_skip_geometry, a.run_id or began.strftime("%Y%m%d_%H%M%S")
     if a.batch:
         log = runs.run_batch(problems, prompt, service, check, a.dataset_dir, a.model, a.max_problems, skip, effort=a.reasoning_effort, run_id=run_id)
     else:
-        log = runs.run_sync(problems, prompt, external.Retry(service), check, a.dataset_dir, a.max_problems, skip, model=a.model, run_id=run_id)
+        call = external.Retry(service)
+        log = runs.run_sync(problems, prompt, call, check, a.dataset_dir, a.max_problems, skip, model=a.model, run_id=run_id, effort=a.reasoning_effort, window=a.window, rate=a.rate)
     fields = {"timestamp": run_id, "start_time": began.isoformat(), "end_time": datetime.now(UTC).isoformat(), "model": a.model, "reasoning_effort": a.reasoning_effort, "skip_complex_geometry": skip, "system_prompt_file": a.system_prompt, "input_file": a.input_file, "max_problems": a.max_problems, "batch_mode": a.batch}
+    if a.batch:
+        fields["batch_id"] = runs.batch_id(spark, a.dataset_dir, run_id)
     runs.write_summary(log, f"{a.dataset_dir}/runs/{run_id}", a.manifest_in_summary, **fields)
     writers.code_files(log, f"{a.dataset_dir}/code/run_id={run_id}")
     if a.export:
@@ -127,23 +153,24 @@ def _process(a, spark) -> int:
 def _convert(a, spark) -> int:
     if a.info:
         for r in readers.table_info(spark, a.input).orderBy("ordinal").collect():
-            print(r.n_rows, r.n_bytes, r.column_name, r.column_type)
+            print(r.n_rows, r.n_bytes, r.column_name, r.column_type, r.physical_type)
         preview(spark.read.parquet(a.input)).show()
         return 0
     df = readers.hosted_dataset(spark, a.input, a.hf_split, a.hf_config) if a.hf else readers.parquet(spark, a.input)
-    d = runs.export_scored(df.withColumn("pos", F.monotonically_increasing_id()) if "pos" not in df.columns else df, a.max_rows)
+    place = fresh(df.columns, "_place")  # the order of the input: no column of the user's is taken for it
+    d = runs.export_scored(with_file_place(df, place), a.max_rows, order=place)
     if not a.output:
-        for r in writers.json_document(d, "pos", a.pretty).orderBy("_at").select("line").toLocalIterator():
+        for r in writers.json_document(d, place, a.pretty).orderBy("_at").select("line").toLocalIterator():
             print(r.line)
         return 0
     folder = f"{a.output}.parts" if a.single_file else a.output
     if a.lines:
-        writers.json_lines(d.drop("pos"), folder, "overwrite")
+        writers.json_lines(d.drop(place), folder, "overwrite")
     else:
-        writers.write_json_document(d, folder, "pos", a.pretty)
+        writers.write_json_document(d, folder, place, a.pretty)
     if a.single_file:
         writers.merge_files(spark, folder, a.output)
-        writers.remove(spark, folder)
+        remove(spark, folder)
     return 0
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import curate, keys, outcome, requests
-from ..sources import readers, writers
+from ..sources import jsonscan, readers, writers
 from ..sources.scratch import new_path
 from ..streaming import landing
 from . import external, runs
@@ -39,12 +39,11 @@ def _documents_of_labels(spark, sf_dir) -> DataFrame:
 
 
 def problem_document(spark, sf_dir):
-    """A JSON document, written record by record, merged and scanned: positions, defaults of missing keys, nulls that stay."""
+    """A JSON document in parts, written record by record and scanned by many tasks: positions, defaults of missing keys, nulls that stay."""
     path = new_path(spark, "document")
     rows = _documents_of_labels(spark, sf_dir)
-    writers.write_lines(writers.array_lines(rows, "pos", F.col("record")), f"{path}/parts")
-    writers.merge_files(spark, f"{path}/parts", f"{path}/problems.json")
-    got = readers.problems_json(spark, f"{path}/problems.json")
+    writers.write_lines(writers.array_lines(rows, "pos", F.col("record")), path)
+    got = readers.problems_json(spark, path, parts=True)
     return got.select("pos", "problem_id", "problem", "solution", F.to_json("metadata").alias("metadata"))
 
 
@@ -108,12 +107,12 @@ def code_source(spark, sf_dir):
 
 
 def json_array_export(spark, sf_dir, pretty=False):
-    """Scored rows as one JSON array, written in parts, merged to one file, and that file read as one document."""
+    """Scored rows as one JSON array, written in parts that are read as one document."""
     path = new_path(spark, "array")
     d = runs.export_scored(_t(spark, sf_dir, "labels").withColumn("pos", F.col("doc_id")), score="quality")
-    writers.write_json_document(d, f"{path}/parts", "pos", pretty)
-    writers.merge_files(spark, f"{path}/parts", f"{path}/labels.json")
-    return spark.read.schema("doc_id long, quality int, toxic int").option("multiLine", True).option("mode", "FAILFAST").json(f"{path}/labels.json")
+    writers.write_json_document(d, path, "pos", pretty)
+    rows = jsonscan.json_records(spark, path, parts=True)
+    return rows.select(F.from_json("record", "doc_id long, quality int, toxic int", {"mode": "FAILFAST"}).alias("j")).select("j.*")
 
 
 def json_pretty_export(spark, sf_dir):
@@ -297,7 +296,7 @@ def landed_responses(spark, sf_dir):
     src, path = _response_file(spark, sf_dir), new_path(spark, "landed")
     for _ in range(2):
         landing.land(spark, src, f"{path}/out", f"{path}/checkpoint").awaitTermination()
-    d = spark.read.parquet(f"{path}/out")
+    d = landing.landed(spark, f"{path}/out")
     return d.groupBy("custom_id").agg(F.count("*").alias("n_lines"), F.count_if(F.col("response").isNotNull()).alias("n_answers"), F.max("parsability.step_count").alias("step_count"))
 
 
@@ -438,7 +437,7 @@ def oracle_sql() -> dict[str, str]:
         "summary_file": f"WITH {_LOG} SELECT 'm' AS model, NULL::BIGINT AS max_problems, false AS batch_mode, {stats}, count(*)::BIGINT AS n_files, count(*) FILTER (WHERE bucket = 'skipped')::BIGINT AS n_skipped FROM o",
         "manifest_in_order": f"WITH {_LOG} SELECT (row_number() OVER (ORDER BY pos) - 1)::INT AS place, problem_id, status, problem_id || '.json' AS file FROM o",
         "retrieved_tables": f"WITH {_R}, c AS (SELECT custom_id, content, CASE WHEN content = 'again' THEN content ELSE regexp_replace(regexp_extract(content, '(?s)```lean\\n(.*?)```', 1), '\\A\\s+|\\s+\\z', '', 'g') END AS code FROM m WHERE length(content) > 0) SELECT custom_id, length(content)::BIGINT AS n_response, length(code)::BIGINT AS n_code, length(code) % 2 = 0 AS success, content <> 'again' AS is_parsable, CASE WHEN content = 'again' THEN 0 ELSE 1 END::BIGINT AS step_count FROM c",
-        "landed_responses": f"WITH {_R} SELECT custom_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE code = 200)::BIGINT AS n_answers, max(CASE WHEN code = 200 AND n = 0 THEN 1 ELSE 0 END)::BIGINT AS step_count FROM l GROUP BY custom_id",
+        "landed_responses": f"WITH {_R} SELECT custom_id, 1::BIGINT AS n_lines, count(content)::BIGINT AS n_answers, max(CASE WHEN content <> 'again' THEN 1 ELSE 0 END)::BIGINT AS step_count FROM m GROUP BY custom_id",
         "unscored_rows": "SELECT * FROM labels",
         "skip_geometry": f"SELECT doc_id, r IS NOT NULL AS skipped, r AS skip_reason FROM (SELECT doc_id, {_GEOMETRY} AS r FROM (SELECT doc_id, lower({_START} || coalesce(text, '')) AS t FROM documents))",
         "skip_nothing": "SELECT doc_id, false AS skipped, NULL::VARCHAR AS skip_reason FROM documents",

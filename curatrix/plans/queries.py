@@ -15,7 +15,7 @@ from ..functions import text as T
 from ..operators import curate, keys, outcome, requests
 from ..sources import readers, writers
 from ..sources.scratch import new_path
-from . import external, io_queries, run_queries
+from . import external, io_queries, run_queries, scan_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 RULES = curate.SkipRules((("license", "license text"), ("password", "secret")), (("tion", 8),), "too many endings")
@@ -204,7 +204,7 @@ _OWN = (score_filter_scalar, score_filter_array, filter_then_limit, limit_then_f
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in _OWN} | io_queries.queries() | run_queries.queries()
+    return {f.__name__: f for f in _OWN} | io_queries.queries() | run_queries.queries() | scan_queries.queries()
 
 
 def _lit(s: str) -> str:
@@ -234,7 +234,7 @@ _PROMPT = "'Problem:' || chr(10) || text || chr(10) || chr(10) || "
 
 def oracle_sql() -> dict[str, str]:
     ask = _lit(T.ASK)
-    return io_queries.oracle_sql() | run_queries.oracle_sql() | {
+    return io_queries.oracle_sql() | run_queries.oracle_sql() | scan_queries.oracle_sql() | {
         "score_filter_scalar": "SELECT * FROM labels WHERE quality = 1",
         "score_filter_array": "SELECT * FROM labels WHERE doc_id % 5 = 0 OR (doc_id % 5 <> 1 AND quality = 1 AND toxic = 0)",
         "filter_then_limit": "SELECT * FROM labels WHERE quality = 1 ORDER BY doc_id LIMIT 100",

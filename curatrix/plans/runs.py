@@ -24,14 +24,14 @@ INTERVAL, MOST_WAIT = 60, 86400
 TERMINAL = ("completed", "failed", "cancelled", "expired")
 
 
-def export_scored(df: DataFrame, max_rows: int | None = None, score: str = "score") -> DataFrame:
-    """Filter by score, then limit; rows in the order of pos if there is one."""
+def export_scored(df: DataFrame, max_rows: int | None = None, score: str = "score", order: str = "pos") -> DataFrame:
+    """Filter by score, then limit; rows in the order of that column if there is one."""
     d = score_filter(df, score)
-    if max_rows is not None and "pos" not in d.columns:
+    if max_rows is not None and order not in d.columns:
         if max_rows < 0:
             raise ValueError("a limit must not be negative")
         return d.limit(max_rows)
-    return limit_after_filter(d, max_rows)
+    return limit_after_filter(d, max_rows, order)
 
 
 def prepare(problems: DataFrame, max_problems: int | None = None, skip: bool = True, rules: SkipRules = GEOMETRY) -> DataFrame:

@@ -7,7 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.places import with_file_place
 from ..schemas import PROBLEM, RESPONSE_LINE
+from .footers import column_chunks
 from .jsonscan import json_records
 
 DEFAULT_SYSTEM_PROMPT = """You turn mathematical problems into Lean 4 code that compiles without unfinished proofs.
@@ -43,8 +45,9 @@ def problems_json(spark: SparkSession, path: str, parts: bool = False) -> DataFr
 
 
 def problems_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Problems as JSON lines, which can be split among tasks; columns as they come."""
-    return spark.read.schema(PROBLEM).json(path)
+    """(pos, problem_id, problem, solution, metadata) of problems as JSON lines, which can be split among tasks: pos counts the lines from 1
+    through all files by name, other columns are as they come, null where a key is missing. An empty line is no line."""
+    return with_file_place(spark.read.schema(PROBLEM).json(path), "pos", 1).select("pos", "problem_id", "problem", "solution", "metadata")
 
 
 def problems_table(df: DataFrame, pos: str) -> DataFrame:
@@ -96,12 +99,19 @@ def code(spark: SparkSession, file: str | None = None, inline: str | None = None
 
 
 def table_info(spark: SparkSession, path: str) -> DataFrame:
-    """A row for each column: n_rows, n_columns, n_bytes, column_name, column_type (logical type). See operators.curate.preview()."""
-    df = spark.read.parquet(path)
-    files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).groupBy("f").agg(F.max("s").alias("s"), F.count("*").alias("n"))
+    """A row for each column: ordinal, column_name, column_type (logical type), physical_type (of its leaves, joined), n_rows, n_bytes, n_columns.
+
+    Counts and physical types come from the files' footers; no data is scanned. See footers.column_chunks() for row groups,
+    encodings, sizes and null counts, and operators.curate.preview().
+    """
+    schema = spark.read.parquet(path).schema
+    chunks = column_chunks(spark, path)
+    files = chunks.groupBy("file").agg(F.max("file_bytes").alias("s"), F.max("file_rows").alias("n"))
     total = files.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"), F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("n_bytes"))
-    cols = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)], "ordinal int, column_name string, column_type string")
-    return cols.crossJoin(F.broadcast(total)).withColumn("n_columns", F.lit(len(df.columns)).cast("long"))  # one row of totals
+    kinds = chunks.where("physical_type is not null").groupBy(F.substring_index("column", ".", 1).alias("_c")).agg(F.array_join(F.sort_array(F.collect_set("physical_type")), ", ").alias("physical_type"))
+    cols = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema)], "ordinal int, column_name string, column_type string")
+    d = cols.join(kinds, cols.column_name == kinds["_c"], "left").crossJoin(F.broadcast(total))  # one row of totals
+    return d.select("ordinal", "column_name", "column_type", "physical_type", "n_rows", "n_bytes", F.lit(len(schema)).cast("long").alias("n_columns"))
 
 
 def api_key(given: str | None = None, variable: str = "OPENAI_API_KEY") -> str:

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keys import last_writer_wins
-from .files import copy, hadoop, remove, write_text_files
+from ..operators.places import with_place
+from .files import copy, hadoop, write_text_files
 
 
 def json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -15,26 +16,27 @@ def json_lines(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c, t in df.dtypes if t in ("double", "float")})
+    return df.withColumns({c: F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")) for c, t in df.dtypes if t in ("double", "float")})
 
 
 def json_document(df: DataFrame, order: str, pretty: bool = False) -> DataFrame:
-    """(_at, line): the lines of one JSON array of all records by ``order``, which must not be null and stays out of the records.
+    """(_at, line): the lines of one JSON array of all records by ``order``, which stays out of the records. Nulls of it come first.
 
     No row holds more than a record: a record begins with its comma, but for the first, and the brackets are rows of their own.
     """
     d = _plain(df)
     how = {"ignoreNullFields": "false"} | ({"pretty": "true"} if pretty else {})
-    return array_lines(d, order, F.to_json(F.struct(*(c for c in d.columns if c != order)), how))
+    record = F.to_json(F.struct(*(F.col(f"`{c}`") for c in d.columns if c != order)), how)
+    return array_lines(d.select(order, record.alias("_record")), order, F.col("_record"))
 
 
 def array_lines(df: DataFrame, order: str, record: Column) -> DataFrame:
-    """(_at, line): the lines of one JSON array of records that are texts already. Values of ``order`` must differ."""
-    first = df.agg(F.min(order).alias("_first"))  # one row
-    comma = F.when(F.col(order) > F.col("_first"), F.lit(",")).otherwise(F.lit(""))
-    lines = df.join(F.broadcast(first)).select(F.struct(F.lit(1).alias("part"), F.col(order).alias("at")).alias("_at"), F.concat(comma, record).alias("line"))
-    ends = df.sparkSession.createDataFrame([(0, "["), (2, "]")], "part int, line string")
-    return lines.unionByName(ends.select(F.struct("part", F.lit(None).cast(df.schema[order].dataType).alias("at")).alias("_at"), "line"))
+    """(_at, line): the lines of one JSON array of records that are texts already, by ``order``; rows that are equal in it may change places."""
+    d = with_place(df.select(order, record.alias("_line")), order, out="_at", start=1)
+    lines = d.select("_at", F.concat(F.when(F.col("_at") > 1, F.lit(",")).otherwise(F.lit("")), "_line").alias("line"))
+    spark = df.sparkSession
+    ends = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).cast("long").alias("_at"), F.lit("[").alias("line")), F.struct(F.lit((1 << 63) - 1).alias("_at"), F.lit("]").alias("line")))).alias("e")).select("e.*")
+    return lines.unionByName(ends)
 
 
 def write_lines(lines: DataFrame, path: str) -> None:

@@ -1,23 +1,120 @@
-"""Bulk output that arrives file by file, as a stream: the form of waiting for results that needs no polling loop."""
+"""Bulk output that arrives file by file, as a stream: the form of waiting for results that needs no polling loop.
+
+The stream keeps, for each request, where the line stands that counts: the last one by file name and place in the file, whenever its
+file arrives. Lines that can't be read go to a table of their own.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import extract_code, step_check
 from ..schemas import RESPONSE_LINE
 
+_LINE = "file string, block long, place long, line string"
+_GOOD, _BAD = "answer", "broken"
+_OUT = "kind string, custom_id string, content string, line string, file string, block long, place long"
+
+
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines with their place in the range of their file that is being read; blank ones count, and go."""
+    at, n = None, 0
+    for b in batches:
+        places = []
+        for key in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+            n = n + 1 if key == at else 0
+            at = key
+            places.append(n)
+        out = pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(places, pa.int64()), b.column(0)], ["file", "block", "place", "line"])
+        yield out.filter(pc.not_equal(pc.utf8_trim_whitespace(b.column(0)), ""))
+
+
+def response_stream(spark: SparkSession, folder: str, files_at_once: int | None = None) -> DataFrame:
+    """(kind, custom_id, content, line, file, block, place) of each line of the files that come into a folder. A line that is no JSON, or lacks
+    its id or its response, is ``broken`` and has its text; others are an ``answer``, with no content where the call failed."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_at_once) if files_at_once else spark.readStream
+    raw = reader.format("text").load(folder)
+    raw = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    d = raw.mapInArrow(_placed, _LINE)
+    j = F.from_json("line", f"{RESPONSE_LINE}, _corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    d = d.withColumn("j", j)
+    bad = F.col("j").isNull() | F.col("j._corrupt").isNotNull() | F.col("j.response").isNull() | F.col("j.custom_id").isNull()
+    text = F.get(F.col("j.response.body.choices"), F.lit(0)).getField("message").getField("content")
+    return d.select(
+        F.when(bad, _BAD).otherwise(_GOOD).alias("kind"),
+        F.when(~bad, F.col("j.custom_id")).alias("custom_id"),
+        F.when(~bad & (F.col("j.response.status_code") == 200), text).alias("content"),
+        F.when(bad, F.col("line")).alias("line"),
+        "file",
+        "block",
+        "place",
+    )
+
+
+def _keep_last(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The line of a request that counts now, if it is another one than before. The state is its place. Broken lines pass."""
+    if key[0] == _BAD:
+        yield from rows
+        return
+    was = tuple(state.get) if state.exists else None
+    best = None
+    for d in rows:
+        last = d.sort_values(["file", "block", "place"]).tail(1)
+        at = tuple(last[["file", "block", "place"]].itertuples(index=False, name=None))[0]
+        if best is None or at > best[0]:
+            best = (at, last)
+    if best is not None and (was is None or best[0] > was):
+        state.update(best[0])
+        yield best[1]
+
+
+def last_lines(lines: DataFrame) -> DataFrame:
+    """response_stream() as a stream of changes: a request's line whenever a later one than all before has come, and each broken line.
+
+    State is one place for each request, which grows with the requests of the job. Broken lines have no state; they are dealt by
+    their text and place.
+    """
+    lane = F.when(F.col("kind") == _BAD, F.concat_ws(" ", "file", "block", "place")).otherwise(F.col("custom_id"))
+    grouped = lines.withColumn("lane", lane).groupBy("kind", "lane")
+    kept = grouped.applyInPandasWithState(_keep_last, f"{_OUT}, lane string", "file string, block long, place long", "update", GroupStateTimeout.NoTimeout)
+    return kept.drop("lane")
+
+
+def land(spark: SparkSession, folder: str, out: str, checkpoint: str, files_at_once: int | None = None) -> StreamingQuery:
+    """Take in what is there now, each file once over all runs with the same checkpoint, and stop. Read with landed() and broken().
+
+    Each batch writes its changes into folders by its number, so a batch that is run again after a failure replaces its own.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        try:
+            for kind in (_GOOD, _BAD):
+                batch.where(F.col("kind") == kind).drop("kind").write.mode("overwrite").parquet(f"{out}/{kind}/batch={number}")
+        finally:
+            batch.unpersist()
+
+    changes = last_lines(response_stream(spark, folder, files_at_once))
+    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
 
-def response_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """(custom_id, response, generated_code, parsability) of each line of the files that come into a folder."""
-    lines = spark.readStream.schema(RESPONSE_LINE).json(folder)
-    content = F.when(F.col("response.status_code") == 200, F.get(F.col("response.body.choices"), F.lit(0)).getField("message").getField("content"))
-    d = lines.where("custom_id is not null").select("custom_id", content.alias("response"))
-    return d.withColumn("generated_code", F.when(F.length("response") > 0, extract_code("response"))).withColumn("parsability", step_check("generated_code"))
+def landed(spark: SparkSession, out: str) -> DataFrame:
+    """(custom_id, response, generated_code, parsability): of each request the line that counts, all changes so far taken together."""
+    d = spark.read.schema(f"{_OUT.removeprefix('kind string, ')}, batch long").parquet(f"{out}/{_GOOD}")
+    last = d.groupBy("custom_id").agg(F.max_by("content", F.struct("file", "block", "place")).alias("response"))
+    code = F.when(F.length("response") > 0, extract_code("response"))
+    return last.withColumn("generated_code", code).withColumn("parsability", step_check("generated_code"))
 
 
-def land(spark: SparkSession, folder: str, out: str, checkpoint: str) -> StreamingQuery:
-    """Take in what is there now, each file once over all runs with the same checkpoint, and stop."""
-    return response_stream(spark, folder).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
+def broken(spark: SparkSession, out: str) -> DataFrame:
+    """(file, block, place, line) of the lines that can't be read."""
+    d = spark.read.schema(f"{_OUT.removeprefix('kind string, ')}, batch long").parquet(f"{out}/{_BAD}")
+    return d.select("file", "block", "place", "line")

@@ -12,7 +12,7 @@ from curatrix import cli
 from curatrix.functions import text as T
 from curatrix.operators import curate, keys, outcome, requests
 from curatrix.plans import external, runs
-from curatrix.sources import readers, writers
+from curatrix.sources import footers, readers, writers
 from curatrix.streaming import landing
 
 
@@ -92,9 +92,37 @@ def test_keys(spark):
     got = {r.pos: r.custom_id for r in keys.unique_request_id(keys.default_id(d)).collect()}
     assert got == {1: "a", 2: "b", 3: "a_1", 4: "a_2", 5: "problem_5"}
     assert sorted(r.pos for r in keys.last_writer_wins(d).collect()) == [2, 4, 5]
-    clash = keys.unique_request_id(spark.createDataFrame([(1, "a"), (2, "a"), (3, "a_1")], "pos long, problem_id string"))
-    with pytest.raises(ValueError, match="not unique"):
-        keys.assert_unique(clash)
+    clash = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a_1")], "pos long, problem_id string")
+    with pytest.raises(ValueError, match="a_1"):
+        keys.assert_unique(keys.unique_request_id(clash))
+    assert [r.custom_id for r in keys.settled_request_id(clash).orderBy("pos").collect()] == ["a", "a_2", "a_1"]
+
+
+def _settled(rows):
+    """Plain rounds: colliding rows of an id get the next numbers it has not used."""
+    given, used, seen, out, moving = {i for _, i in rows}, {}, {}, {}, []
+    for p, i in sorted(rows):
+        k = seen[i] = seen.get(i, -1) + 1
+        used[i] = max(used.get(i, 0), k)
+        out[p] = i if not k else f"{i}_{k}"
+        moving += [(p, i)] if k and out[p] in given else []
+    while moving:
+        again = []
+        for p, i in moving:
+            used[i] += 1
+            out[p] = f"{i}_{used[i]}"
+            again += [(p, i)] if out[p] in given else []
+        moving = again
+    return out
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.sampled_from(["a", "b", "a_1", "a_2", "a_3", "a_5", "a_1_1", "b_1", "a_01"]), max_size=25))
+def test_settled_ids(spark, ids):
+    rows = list(enumerate(ids, 1))
+    d = spark.createDataFrame([(p, i, "x", 1) for p, i in rows], "pos long, problem_id string, _order string, _made int")
+    got = {r.pos: r.custom_id for r in keys.settled_request_id(d).collect()}
+    assert got == _settled(rows) and len(set(got.values())) == len(rows)
 
 
 def test_unique_ids_over_blocks(spark, monkeypatch):
@@ -334,15 +362,40 @@ def test_command_line_of_a_service(spark, tmp_path, capsys, monkeypatch):
         cli.parser().parse_args(["process", "x", "--service", "s", "--reasoning-effort", "huge"])
 
 
+def _land(spark, tmp_path, n=None):
+    landing.land(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), n).awaitTermination()
+
+
 def test_landing_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for k in range(2):
         (tmp_path / "in" / f"{k}.json").write_text(_line(f"r{k}", "```lean\n-- [STEP_1: a]\n-- [END_STEP_1]\n```") + "\n")
-        landing.land(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out")).orderBy("custom_id").collect()
+        _land(spark, tmp_path)
+    got = landing.landed(spark, str(tmp_path / "out")).orderBy("custom_id").collect()
     assert [(r.custom_id, r.parsability.is_parsable) for r in got] == [("r0", True), ("r1", True)]
 
 
+def test_landing_keeps_the_last_line_by_place(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    failed = '{"custom_id": "x", "response": {"status_code": 500, "body": null}}'
+    waves = [
+        {"m.json": [_line("x", "m0"), "", "{", _line("x", "m1"), _line("y", "y")]},
+        {"a.json": [_line("x", "late but first"), _line("z", "z"), '{"custom_id": "q", "response": null}'], "p.json": [_line("x", "p0"), failed]},
+        {"n.json": [_line("x", "between"), "not json", _line("y", "y2")]},
+    ]
+    for wave in waves:
+        for name, lines in wave.items():
+            (tmp_path / "in" / name).write_text("\n".join(lines) + "\n")
+        _land(spark, tmp_path, 1)
+    got = {r.custom_id: r.response for r in landing.landed(spark, str(tmp_path / "out")).collect()}
+    all_ = readers.responses(spark, str(tmp_path / "in"))
+    assert got == {r.custom_id: r.content for r in keys.response_map(all_).collect()} == {"x": None, "y": "y2", "z": "z"}
+    bad = sorted(r.line for r in landing.broken(spark, str(tmp_path / "out")).collect())
+    assert bad == sorted(r.line for r in readers.bad_responses(spark, str(tmp_path / "in")).collect()) and len(bad) == 3
+    changes = spark.read.parquet(str(tmp_path / "out/answer")).where("custom_id = 'x'").count()
+    assert changes == 2  # neither the late file nor the one between has changed what counts
+
+
 def test_envelope(spark):
     d = requests.envelope(requests.requests(_problems(spark).where("problem_id is not null"), "S"), "m").orderBy("pos").first()
     assert (d.custom_id, d.method, d.body.model, [m.role for m in d.body.messages], d.body.messages[0].content) == ("a", "POST", "m", ["system", "user"], "S")
@@ -374,3 +427,43 @@ def test_queries_agree_with_sql(spark):
         at = [[x[0] for x in got.description].index(c) for c in cols]
         want = sorted(repr(tuple(r[i] for i in at)) for r in got.fetchall())
         assert sorted(repr(tuple(r[c] for c in cols)) for r in df.collect()) == want, name
+
+
+def test_footers_agree_with_the_other_engine(spark, tmp_path):
+    import duckdb
+
+    d = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 7 != 0, F.concat(F.lit("s"), F.col("id") % 9)).alias("s"), F.struct((F.col("id") / 2).alias("x"), F.array("id").alias("y")).alias("n"))
+    d.repartition(3).write.option("parquet.block.size", 4096).parquet(str(tmp_path / "t"))
+    (tmp_path / "t" / "_note.txt").write_text("no table")
+    got = sorted((r.file.rsplit("/", 1)[1], r.row_group, r.column.replace(".", ", "), r.physical_type, r.compression, r.n_values, r.n_nulls, r.compressed_bytes, r.plain_bytes, r.group_rows, r.file_rows) for r in footers.column_chunks(spark, str(tmp_path / "t")).collect())
+    sql = f"SELECT file_name, row_group_id, path_in_schema, type, compression, num_values, stats_null_count, total_compressed_size, total_uncompressed_size, row_group_num_rows FROM parquet_metadata('{tmp_path}/t/*.parquet')"
+    rows = duckdb.sql(sql).fetchall()
+    of_file = {f: sum({x[1]: x[9] for x in rows if x[0] == f}.values()) for f in {x[0] for x in rows}}
+    assert got == sorted((f.rsplit("/", 1)[1], *rest, of_file[f]) for f, *rest in rows) and len(got) > 12
+    info = {r.column_name: r for r in readers.table_info(spark, str(tmp_path / "t")).collect()}
+    assert (info["id"].physical_type, info["s"].physical_type, info["n"].physical_type, info["id"].n_rows) == ("INT64", "BYTE_ARRAY", "DOUBLE, INT64", 5000)
+
+
+def test_convert_keeps_a_column_named_pos(spark, tmp_path, capsys):
+    rows = [(None, "c", 1), (2, "b", 1), (2, "a", 1), (1, "x", 0)]
+    spark.createDataFrame(rows, "pos long, x string, score int").coalesce(1).write.parquet(str(tmp_path / "t"))
+    want = [{"pos": p, "x": x, "score": s} for p, x, s in rows[:3]]
+    assert cli.main(["convert", str(tmp_path / "t")], spark) == 0 and json.loads(capsys.readouterr().out) == want
+    assert cli.main(["convert", str(tmp_path / "t"), "-o", str(tmp_path / "o.json"), "--single-file", "--max-rows", "2"], spark) == 0
+    assert json.loads((tmp_path / "o.json").read_text()) == want[:2]
+
+
+def test_process_of_lines_and_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cli, "_load", lambda spec: lambda system, user: f"```lean\n{user}\n```")
+    (tmp_path / "in.jsonl").write_text('{"problem_id": "a", "problem": "one"}\n\n{"problem": "two"}\n')
+    spark.createDataFrame([("t", "one"), (None, "two")], "problem_id string, problem string").coalesce(1).write.parquet(str(tmp_path / "t"))
+    for path, kind, ids in ((tmp_path / "in.jsonl", "lines", ["a", "problem_2"]), (tmp_path / "t", "table", ["t", "problem_2"])):
+        assert cli.main(["process", str(path), "--input-format", kind, "--service", "a:b", "--validator", "cat {file}", "--dataset-dir", str(tmp_path / kind), "--run-id", "r", "--window", "4"], spark) == 0
+        assert [r.custom_id for r in runs.read_log(spark, str(tmp_path / kind), "r").orderBy("pos").collect()] == ids
+
+
+def test_status_details(capsys, monkeypatch):
+    monkeypatch.setenv("OPENAI_API_KEY", "env")
+    monkeypatch.setattr(Asked, "status", lambda self, job: {"id": job, "status": "failed", "created_at": 0, "failed_at": 86400, "errors": "why", "request_counts": {"total": 2, "completed": 1}})
+    assert cli.main(["status", "j", "--service", f"{__name__}:Asked"]) == 0
+    assert capsys.readouterr().out.splitlines() == ["failed 1/2 (50.0%)", "id: j", "created_at: 1970-01-01T00:00:00+00:00", "failed_at: 1970-01-02T00:00:00+00:00", "errors: why"]
