@@ -6,9 +6,10 @@ its bytes. The texts of a batch advance together, byte by byte. States are carri
 bytes; a longer one is cut into segments of that length, each of which both networks enter ``WARM`` bytes early, so
 that no byte has less than that before and after it but at the text's ends.
 
-The network learns by backpropagation through time from windows of ``WINDOW`` bytes that together are the whole texts of a
-bounded sample of documents: about ``PER_LANG`` of each language, ``MOST`` rows and ``MOST_BYTES`` at most, none above
-``LONGEST`` bytes, those with the smallest hash of doc_id. Only documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
+The network learns by backpropagation through time from windows of ``WINDOW`` bytes of a bounded sample of documents:
+``PER_LANG`` of each language, those with the smallest hash of doc_id, whole or, beyond ``DOC_BYTES``, by windows spread evenly over the
+whole text. Beyond ``MOST`` rows or ``MOST_BYTES`` in all, each language gives its first document before any gives its second, and so on.
+Only documents outside the held-out fold (crc32 of doc_id modulo 4 is 2) are learned from.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from . import textvec as tv
 
 HIDDEN, SEGMENT, WARM, BLOCK = 8, 4096, 64, 64
 PER_LANG, MOST, WINDOW = 120, 5_000, 96
-LONGEST, MOST_BYTES = 256 << 10, 16 << 20  # bytes of a text that is learned from, and of all of them: the driver holds these
+DOC_BYTES, MOST_BYTES = 64 << 10, 16 << 20  # that are learned from, of a text and of all: the driver holds these
 _f = np.float32
 
 
@@ -143,9 +144,15 @@ def _windows(buf: np.ndarray, off: np.ndarray, size: int) -> tuple[np.ndarray, n
     return room.reshape(-1, size), np.repeat(np.arange(len(long)), count)
 
 
-def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sample_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Windows of each text, ``most`` of them spread evenly over it if it has more."""
     for b in tv.sub_batches(batches, most=256 << 10):
         windows, doc = _windows(*tv.utf8(b.column(1)), WINDOW)
+        count = np.bincount(doc, minlength=b.num_rows)
+        if count.max(initial=0) > most:
+            first = np.cumsum(count) - count
+            at = np.concatenate([f + (np.arange(n) if n <= most else np.linspace(0, n - 1, most).astype(int)) for f, n in zip(first, count, strict=True)])
+            windows, doc = windows[at], doc[at]
         rows = pa.array(doc)
         flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(WINDOW), len(windows), [None, pa.py_buffer(windows.tobytes())])
         yield pa.RecordBatch.from_arrays([b.column(0).take(rows), b.column(2).take(rows), flat.cast(pa.binary())], ["doc_id", "lang", "piece"])
@@ -156,17 +163,23 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 
 
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Network | None:
-    """A network from docs (doc_id, text, lang), None if no row can be learned from."""
+    """A network from docs (doc_id, text, lang), None if no row can be learned from.
+
+    Every language that a row outside the held-out fold has is learned, up to MOST of them. A document that is there several times
+    counts once for each language; of different texts, the one with the smallest hash. The driver gets at most MOST_BYTES, and the
+    first document of each language, DOC_BYTES at most, in any case.
+    """
     d = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
-    share = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.lit(1 << 20)) / float(1 << 20)
-    ids = d.select("doc_id", "lang", share.alias("_s"), F.octet_length("text").cast("long").alias("_b")).where(F.col("_b") <= LONGEST)  # no text is shuffled for the choice
-    counts = ids.groupBy("lang").agg(F.count("*").alias("_n")).withColumnRenamed("lang", "_l")
-    chosen = ids.join(counts, F.col("lang") == F.col("_l")).where(F.col("_s") < per_lang / F.col("_n")).orderBy("_s", "doc_id", "lang").limit(MOST)
-    upto = F.sum("_b").over(Window.orderBy("_s", "doc_id", "lang").rowsBetween(Window.unboundedPreceding, 0))  # over MOST rows
-    chosen = chosen.withColumn("_b", upto).where(F.col("_b") <= MOST_BYTES)
-    chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l")).distinct()
-    some = d.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l"))).select("doc_id", "text", "lang")  # MOST rows at most
-    got = some.mapInArrow(_sample_windows, "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
+    ids = d.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.octet_length("text").alias("b"))).alias("_t"))  # no text is shuffled for the choice
+    share = F.xxhash64(F.col("doc_id"), F.lit("lang"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(share, "doc_id"))
+    chosen = ids.withColumn("_rank", rank).where(F.col("_rank") <= per_lang).orderBy("_rank", "lang").limit(MOST)
+    upto = F.sum(F.least(F.col("_t.b"), F.lit(DOC_BYTES)).cast("long")).over(Window.orderBy("_rank", "lang").rowsBetween(Window.unboundedPreceding, 0))  # over MOST rows
+    chosen = chosen.withColumn("_upto", upto).where((F.col("_upto") <= MOST_BYTES) | (F.col("_rank") == 1))
+    chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t.h").alias("_h"))
+    same = (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l")) & (F.xxhash64("text") == F.col("_h"))
+    some = d.join(F.broadcast(chosen), same).select("doc_id", "text", "lang").dropDuplicates(["doc_id", "lang"])  # MOST rows at most; repeated ones once
+    got = some.mapInArrow(partial(_sample_windows, most=max(1, DOC_BYTES // WINDOW)), "doc_id long, lang string, piece binary").toArrow().sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("piece", "ascending")])
     if not got.num_rows:
         return None
     langs, label = np.unique(np.asarray(got.column("lang").to_pylist(), object).astype(str), return_inverse=True)

@@ -129,11 +129,13 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, epochs: int = 25, seed: int = 11) -> Model:
     """A model from labels (doc_id, quality: null is no label). Without both kinds of label it lets everything pass.
 
-    The driver gets at most ``sample`` rows of at most 2**WORD_BITS + 2**CHAR_BITS numbers each.
+    The driver gets at most ``sample`` rows of at most 2**WORD_BITS + 2**CHAR_BITS numbers each: of documents that repeat an id, the text with
+    the smallest hash.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col("quality").cast("double")).alias("label"))
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(some), "doc_id").select("doc_id", "text", "label")
+    rows = docs.select(F.col("doc_id").cast("long"), "text").where("text is not null").join(F.broadcast(some), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"), F.first("label").alias("label"))
     got = rows.mapInArrow(_sample_features, "doc_id long, label double, ids array<int>, vals array<float>").toArrow()
     kinds = np.asarray([xxhash.xxh3_64_intdigest(x.values.to_numpy().tobytes()) for x in got.column("ids")], np.uint64)
     order = np.lexsort((kinds, got.column("doc_id").to_numpy()))

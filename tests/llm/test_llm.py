@@ -434,14 +434,46 @@ def test_language(spark, docs, empty):
     assert langid.identify(empty).count() == 0
 
 
-def test_language_sample_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(langid, "LONGEST", 400)
-    monkeypatch.setattr(langid, "MOST_BYTES", 2000)
+def _sampled(monkeypatch, d, **bounds):
+    for k, v in bounds.items():
+        monkeypatch.setattr(langid, k, v)
     seen = []
-    monkeypatch.setattr(langid, "fit", lambda pieces, label, langs: seen.append((len(pieces), langs)))
-    d = spark.createDataFrame([(i, "kato mika " * (50 if i % 10 else 30), "aa" if i % 2 else "bb") for i in range(60)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(langid, "fit", lambda pieces, label, langs: seen.append((pieces, label, langs)))
     langid.train(d)
-    assert seen and 0 < seen[0][0] <= 2000 / langid.WINDOW + 20 and seen[0][1] == ["bb"]  # only texts of 300 bytes may be learned from
+    return seen[0]
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Long texts are learned from in windows that reach to their ends; each language has its share of what fits."""
+    rows = [(i, "kato " * 20 + "mika " * (400 if i % 10 else 3) + "tomi " * 20, "aa" if i % 2 else "bb") for i in range(200)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces_, label, langs = _sampled(monkeypatch, d, DOC_BYTES=480, MOST_BYTES=4800)
+    assert langs == ["aa", "bb"] and 0 < len(label) * langid.WINDOW <= 4800 + 20 * langid.WINDOW
+    assert 0.3 < (label == 0).mean() < 0.7
+    assert any(b"kato" in p.tobytes() for p in pieces_) and any(b"tomi" in p.tobytes() for p in pieces_)
+
+
+def test_rare_languages_stay_in_the_sample(spark, monkeypatch):
+    """Three frequent languages and one of five documents, with a bound that cuts: all five are learned from."""
+    rows = [(i, f"{i} word " * 30, "abc"[i % 3]) for i in range(1500)] + [(5000 + i, f"{i} rare " * 30, "rare") for i in range(9) if zlib.crc32(str(5000 + i).encode()) % 4 != 2][:5]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    pieces_, label, langs = _sampled(monkeypatch, d, MOST_BYTES=12_000)
+    assert langs == ["a", "b", "c", "rare"] and len({p.tobytes() for p in pieces_[label == 3] if b"rare" in p.tobytes()}) >= 5
+    share = [(label == k).sum() for k in range(4)]
+    assert max(share) <= 3 * min(share)
+
+
+def test_samples_of_repeated_rows_are_bounded(spark, monkeypatch):
+    """6,000 rows of one labelled id count as one document, whatever their texts."""
+    rows = [(1, f"kato mika {i % 7} " * 9, "aa") for i in range(6000)] + [(i, f"brug {i} " * 9, "bb") for i in range(2, 40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    _, label, langs = _sampled(monkeypatch, d)
+    assert langs == ["aa", "bb"] and (label == 0).sum() <= 2
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "_platt", lambda z, y: seen.append(len(z)) or (1.0, 0.0))
+    quality.train(d, labels, sample=10, epochs=1)
+    assert seen and seen[0] <= 10
 
 
 def _a_network(langs, windows=40):
