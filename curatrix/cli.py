@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--batch", action="store_true")
     a.add_argument("--service", required=True, help="module:name of a generator, or of a transport with --batch")
     a.add_argument("--validator", default="lake env lean {file}", help="a command, or module:name")
+    a.add_argument("--verdicts", help="folder of verdicts by program: each distinct program is checked once, over all runs with the same validator")
     a.add_argument("--run-id", help="the run's name in the dataset's folders; the time in UTC if not given. A run that is named again goes on")
     a.add_argument("--window", type=int, default=1, help="calls that are under way in a task")
     a.add_argument("--rate", type=float, help="calls a second of all tasks together, at most")
@@ -136,10 +137,10 @@ def _process(a, spark) -> int:
     problems, prompt, service = _problems(a, spark), readers.system_prompt(spark, a.system_prompt), _service(a)
     check, skip, run_id = _validator(a.validator), not a.no_skip_geometry, a.run_id or began.strftime("%Y%m%d_%H%M%S")
     if a.batch:
-        log = runs.run_batch(problems, prompt, service, check, a.dataset_dir, a.model, a.max_problems, skip, effort=a.reasoning_effort, run_id=run_id)
+        log = runs.run_batch(problems, prompt, service, check, a.dataset_dir, a.model, a.max_problems, skip, effort=a.reasoning_effort, run_id=run_id, store=a.verdicts, name=a.validator)
     else:
         call = external.Retry(service)
-        log = runs.run_sync(problems, prompt, call, check, a.dataset_dir, a.max_problems, skip, model=a.model, run_id=run_id, effort=a.reasoning_effort, window=a.window, rate=a.rate)
+        log = runs.run_sync(problems, prompt, call, check, a.dataset_dir, a.max_problems, skip, model=a.model, run_id=run_id, effort=a.reasoning_effort, window=a.window, rate=a.rate, store=a.verdicts, name=a.validator)
     fields = {"timestamp": run_id, "start_time": began.isoformat(), "end_time": datetime.now(UTC).isoformat(), "model": a.model, "reasoning_effort": a.reasoning_effort, "skip_complex_geometry": skip, "system_prompt_file": a.system_prompt, "input_file": a.input_file, "max_problems": a.max_problems, "batch_mode": a.batch}
     if a.batch:
         fields["batch_id"] = runs.batch_id(spark, a.dataset_dir, run_id)

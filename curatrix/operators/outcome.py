@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import STATS
+from .places import with_place
 
 NO_RESPONSE, NO_BATCH_RESPONSE, NOT_COMPILED, NOT_PARSABLE = "No response from API", "No response from batch API", "Compilation failed", "Not parsable"
 
@@ -55,6 +56,11 @@ def manifest(classified: DataFrame, order: str = "pos") -> DataFrame:
     return classified.select(order, "problem_id", "status", F.concat("problem_id", F.lit(".json")).alias("file"))
 
 
+def manifest_in_order(classified: DataFrame, order: str = "pos") -> DataFrame:
+    """manifest() with the place of each row from 0, gapless, at any size."""
+    return with_place(manifest(classified, order), order)
+
+
 ONE_ROW = 100_000  # rows of a run whose manifest one row may hold
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import render_prompt
-from .keys import assert_unique, response_map, unique_request_id
+from .keys import response_map, settled_request_id
 
 # The request format of the bulk service.
 METHOD, URL = "POST", "/v1/chat/completions"
@@ -17,10 +17,9 @@ def messages(system: Column, user: Column) -> Column:
     return F.array(F.struct(F.lit("system").alias("role"), system.alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content")))
 
 
-def requests(problems: DataFrame, system_prompt: str, check: bool = True) -> DataFrame:
-    """problems (pos, problem_id, problem, solution) with custom_id, system_prompt and user_prompt."""
-    d = unique_request_id(problems)
-    d = assert_unique(d) if check else d
+def requests(problems: DataFrame, system_prompt: str) -> DataFrame:
+    """problems (pos, problem_id, problem, solution) with custom_id, which is unique whatever ids are given, system_prompt and user_prompt."""
+    d = settled_request_id(problems)
     return d.withColumn("system_prompt", F.lit(system_prompt)).withColumn("user_prompt", render_prompt("problem", "solution"))
 
 

@@ -40,7 +40,9 @@ class Retry:
         for k in range(self.attempts):
             try:
                 return self.inner(system, user)
-            except Exception:
+            except Exception as e:
+                if hasattr(e, "seconds"):  # the service asks for a pause: see ledger.SlowDown
+                    raise
                 if k + 1 < self.attempts:
                     self.sleep(self.pause * 2**k)
         return None

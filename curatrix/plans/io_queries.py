@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +9,10 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import curate, keys, outcome, requests
-from ..sources import jsonscan, readers, writers
+from ..sources import files, jsonscan, readers, writers
 from ..sources.scratch import new_path
 from ..streaming import landing
-from . import external, runs
+from . import external, runs, verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,12 +97,13 @@ def system_prompt(spark, sf_dir):
 
 
 def code_source(spark, sf_dir):
-    """Code of a file and the same code inline, as programs."""
+    """Code of files and the same code inline, as programs: a file for each row of labels."""
     path = new_path(spark, "code")
-    spark.createDataFrame([("theorem t : 1 = 1 := rfl\n\n",)], "value string").coalesce(1).write.text(path)
-    file = readers.code(spark, file=path).select(F.lit("file").alias("kind"), T.check_program("code", ["t"]).alias("program"))
-    inline = readers.code(spark, inline="theorem t : 1 = 1 := rfl\n\n").select(F.lit("inline").alias("kind"), T.check_program("code", ["t"]).alias("program"))
-    return file.unionByName(inline)
+    code = F.concat(F.lit("theorem t"), "doc_id", F.lit(" : 1 = 1 := rfl\n\n"))
+    rows = _t(spark, sf_dir, "labels").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("stem"), code.alias("text"))
+    files.write_text_files(rows.select("stem", F.concat("stem", F.lit(".lean")).alias("name"), "text"), path, 4)
+    program = lambda kind, d: d.select(F.lit(kind).alias("kind"), T.check_program("code", ["t"]).alias("program"))
+    return program("file", readers.code(spark, file=f"{path}/part-*")).unionByName(program("inline", rows.withColumnRenamed("text", "code")))
 
 
 def json_array_export(spark, sf_dir, pretty=False):
@@ -123,7 +123,7 @@ def request_file(spark, sf_dir):
     """Request lines as a file, read back in its order."""
     path = new_path(spark, "requests")
     d = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("source").alias("problem_id"), F.col("text").alias("problem"), F.lit("").alias("solution"))
-    writers.request_lines(requests.envelope(requests.requests(d, "Be brief.", check=False), "m", "low"), path)
+    writers.request_lines(requests.envelope(requests.requests(d, "Be brief."), "m", "low"), path)
     row = F.from_json("value", "custom_id string, method string, body struct<model: string, messages: array<struct<role: string, content: string>>, reasoning_effort: string>")
     lines = spark.read.text(path).select(row.alias("r"))
     return lines.select("r.custom_id", "r.method", "r.body.model", F.col("r.body.messages")[0]["content"].alias("system"), F.col("r.body.messages")[1]["content"].alias("user"), F.col("r.body.reasoning_effort").alias("effort"))
@@ -209,23 +209,11 @@ def bulk_run(spark, sf_dir):
 
 
 def polled_states(spark, sf_dir):
-    """What waiting for a job ends with, and the progress that is shown."""
-
-    class Fixed:
-        def __init__(self, *said):
-            self.said = list(said)
-
-        def status(self, job):
-            s = self.said.pop(0) if len(self.said) > 1 else self.said[0]
-            if s is None:
-                raise ConnectionError("no answer")
-            return {"status": s, "request_counts": {"total": 3, "completed": 1}}
-
-    rows = []
-    for name, said in (("done", ("in_progress", None, "completed")), ("failed", ("validating", "failed")), ("cancelled", ("cancelled",)), ("expired", ("expired",)), ("never", ("in_progress",))):
-        status, last = runs.poll(Fixed(*said), "job", 60, 300, sleep=lambda s: None)
-        rows.append((name, status, runs.progress(last.get("request_counts"))))
-    return spark.createDataFrame(rows, "name string, status string, progress string")
+    """What waiting for jobs ends with, from the looks at them, some of which failed, and the progress of the last look."""
+    d = _t(spark, sf_dir, "events").where("event_id is not null")
+    said = F.element_at(F.array(*map(F.lit, ("validating", "in_progress", "in_progress", "in_progress", "finalizing", "in_progress", "in_progress", "completed", "failed", "expired", "cancelled"))), (F.col("event_id") * 7 % 11 + 1).cast("int"))
+    looks = d.select(F.floor(F.col("event_id") / 9).alias("job"), (F.col("event_id") % 9).alias("look"), F.when(F.col("event_id") % 5 != 0, said).alias("status"), (F.col("event_id") % 4).alias("completed"), F.lit(4).cast("long").alias("total"))
+    return runs.settled_jobs(looks, 60, 360)
 
 
 def terminal_states(spark, sf_dir):
@@ -277,9 +265,9 @@ def summary_file(spark, sf_dir):
 
 
 def manifest_in_order(spark, sf_dir):
-    """The manifest as one row, by place."""
-    d = outcome.manifest_array(_log(spark, sf_dir))
-    return d.select(F.posexplode("problem_files").alias("place", "f")).select("place", "f.*")
+    """The manifest by place."""
+    d = outcome.manifest_in_order(_log(spark, sf_dir))
+    return d.select(F.col("place").cast("int").alias("place"), "problem_id", "status", "file")
 
 
 def retrieved_tables(spark, sf_dir):
@@ -352,15 +340,18 @@ def percentages(spark, sf_dir):
 
 
 def project_checks(spark, sf_dir):
-    """Standalone builds of small programs as projects of their own, with stand-ins for the build: what each step gave."""
-    build = ("sh", "-c", "grep -q bad Main.lean && exit 2; grep -q 'lean_exe' lakefile.lean && cat Main.lean")
-    rows = []
-    for name, code, how in (("good", "theorem t : True := trivial", {}), ("bad", "bad", {}), ("unrun", "x", {"run": True}), ("run", "def main := 1", {"run": True, "binary": "../../bin/true"}), ("library", "x", {"mathlib": True, "update": ("grep", "-c", "mathlib", "lakefile.lean")}), ("no library", "x", {"mathlib": True, "update": ("false",)})):
-        if how.get("binary"):
-            how = how | {"binary": "/bin/true"}
-        status, said, output = external.ProjectCheck(build=build, **how)(code)
-        rows.append((name, status, hashlib.md5(said.encode()).hexdigest() if name == "good" else "", output))
-    return spark.createDataFrame(rows, "name string, status int, md5 string, output string")
+    """Builds of the programs of labels as projects of their own, with a stand-in for the build; each distinct program is built once."""
+    build = external.ProjectCheck(build=("sh", "-c", "grep -q bad Main.lean && exit 2; grep -q 'lean_exe' lakefile.lean && cat Main.lean"))
+
+    def check(code: str) -> tuple[bool, str]:
+        status, said, _ = build(code)
+        return status == 0, said
+
+    d = _t(spark, sf_dir, "labels")
+    kind = F.when(F.col("toxic") == 1, F.lit("bad")).otherwise(F.concat(F.lit("theorem q"), F.coalesce("quality", F.lit(-1)), F.lit(" : True := trivial")))
+    d = d.select("doc_id", F.lit("r").alias("response"), kind.alias("generated_code"))
+    got = verdicts.validate_once(d, check, new_path(spark, "builds"), "stand-in")
+    return got.select("doc_id", F.col("compilation.success").alias("success"), F.md5("compilation.output").alias("md5"))
 
 
 _OWN = (hosted_dataset, problem_document, problem_lines, problems_with_defaults, response_lines_read, response_lines_bad, raw_output, system_prompt, code_source, json_array_export, json_pretty_export, request_file, batch_information, sync_run, sync_run_calls, bulk_run, polled_states, terminal_states, logs_by_run, code_table, exported_files, summary_file, manifest_in_order, retrieved_tables, landed_responses, unscored_rows, skip_geometry, skip_nothing, preview_rows, checked_ids, times, percentages, project_checks)
@@ -407,8 +398,6 @@ _START = "CASE doc_id % " + str(len(STARTS)) + " " + " ".join(f"WHEN {k} THEN {_
 
 
 def oracle_sql() -> dict[str, str]:
-    program = "set_option warningAsError true\ntheorem t : 1 = 1 := rfl\n#print axioms t\n"
-    good = hashlib.md5(b"theorem t : True := trivial").hexdigest()
     user = f"'Problem:' || chr(10) || text || chr(10) || chr(10) || {_lit(T.ASK)}"
     unique = "source || CASE WHEN row_number() OVER (PARTITION BY source ORDER BY doc_id) = 1 THEN '' ELSE '_' || (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::VARCHAR END"
     stats = "count(*)::BIGINT AS total, " + ", ".join(f"count(*) FILTER (WHERE bucket = '{b}')::BIGINT AS {b}" for b in ("successful", "skipped", "failed_compilation", "failed_parsable", "failed_api"))
@@ -421,7 +410,7 @@ def oracle_sql() -> dict[str, str]:
         "response_lines_bad": "SELECT unnest(CASE WHEN doc_id % 5 = 0 THEN [x, x] ELSE [x] END) AS line FROM (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN '{' || doc_id::VARCHAR ELSE '{\"custom_id\":\"' || doc_id::VARCHAR || '\",\"response\":null}' END AS x FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 13 < 2)",
         "raw_output": f"WITH {_R} SELECT custom_id, count(*)::BIGINT AS n_lines, count(*)::BIGINT AS n_distinct, max(code)::INT AS worst FROM l GROUP BY custom_id",
         "system_prompt": f"SELECT doc_id, {_lit('Be brief.' + chr(10) + '  Twice.' + chr(10))} AS given, true AS has_default FROM labels",
-        "code_source": f"SELECT * FROM (VALUES ('file', {_lit(program)}), ('inline', {_lit(program)})) t(kind, program)",
+        "code_source": f"SELECT kind, 'set_option warningAsError true' || chr(10) || 'theorem t' || doc_id::VARCHAR || ' : 1 = 1 := rfl' || chr(10) || '#print axioms t' || chr(10) AS program FROM labels, (VALUES ('file'), ('inline')) k(kind) WHERE doc_id IS NOT NULL",
         "json_array_export": "SELECT * FROM labels WHERE quality = 1",
         "json_pretty_export": "SELECT * FROM labels WHERE quality = 1",
         "request_file": f"SELECT {unique} AS custom_id, 'POST' AS method, 'm' AS model, 'Be brief.' AS system, {user} AS \"user\", 'low' AS effort FROM documents",
@@ -429,7 +418,10 @@ def oracle_sql() -> dict[str, str]:
         "sync_run": _run_sql(False),
         "sync_run_calls": f"WITH {_P}, k AS (SELECT *, length('Problem:' || chr(10) || problem || chr(10) || chr(10) || {_lit(T.ASK)}) AS n FROM p) SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_problems, count(*) FILTER (WHERE NOT contains(problem, 'construct'))::BIGINT AS n_calls, count(*) FILTER (WHERE NOT contains(problem, 'construct') AND n % 5 <> 0)::BIGINT AS n_checks FROM k",
         "bulk_run": _run_sql(True),
-        "polled_states": "SELECT * FROM (VALUES ('done', 'completed', '1/3 (33.3%)'), ('failed', 'failed', '1/3 (33.3%)'), ('cancelled', 'cancelled', '1/3 (33.3%)'), ('expired', 'expired', '1/3 (33.3%)'), ('never', 'timeout', '1/3 (33.3%)')) t(name, status, progress)",
+        "polled_states": """WITH k AS (SELECT event_id // 9 AS job, event_id % 9 AS look, CASE WHEN event_id % 5 <> 0 THEN ['validating', 'in_progress', 'in_progress', 'in_progress', 'finalizing', 'in_progress', 'in_progress', 'completed', 'failed', 'expired', 'cancelled'][(event_id * 7 % 11) + 1] END AS status, event_id % 4 AS completed FROM events WHERE event_id IS NOT NULL),
+n AS (SELECT job, row_number() OVER (PARTITION BY job ORDER BY look) AS i, status, completed FROM k),
+w AS (SELECT * FROM n WHERE i <= 6), f AS (SELECT job, min(i) FILTER (WHERE status IN ('completed', 'failed', 'cancelled', 'expired')) AS i, max(i) AS most FROM w GROUP BY job)
+SELECT f.job, coalesce(CASE WHEN f.i IS NOT NULL THEN w.status END, 'timeout') AS status, coalesce(f.i, f.most)::BIGINT AS looks, CASE WHEN f.i IS NULL THEN NULL ELSE w.completed::VARCHAR || '/4 (' || printf('%.1f', w.completed * 25.0::DOUBLE) || '%)' END AS progress FROM f LEFT JOIN w ON w.job = f.job AND w.i = f.i""",
         "terminal_states": "SELECT event_id, event_id % 6 >= 2 AS terminal FROM events",
         "logs_by_run": f"WITH {_LOG} SELECT pos, problem_id, status FROM w",
         "code_table": f"WITH {_LOG} SELECT problem_id, code FROM w WHERE code <> ''",
@@ -445,5 +437,5 @@ def oracle_sql() -> dict[str, str]:
         "checked_ids": f"SELECT doc_id AS pos, {unique} AS custom_id FROM documents",
         "times": "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS run_id, round((event_id * 1250000)::DOUBLE / 1000000, 2) AS seconds FROM events",
         "percentages": "SELECT toxic, round(count(*) FILTER (WHERE quality = 1) * 100.0::DOUBLE / count(*), 1) AS percent, 0.0::DOUBLE AS of_nothing FROM labels GROUP BY toxic",
-        "project_checks": f"SELECT * FROM (VALUES ('good', 0::INT, '{good}', ''), ('bad', 2, '', ''), ('unrun', 0, '', 'no program was built; it needs a `def main`'), ('run', 0, '', ''), ('library', 0, '', ''), ('no library', 1, '', '')) t(name, status, md5, output)",
+        "project_checks": "SELECT doc_id, coalesce(toxic, 0) <> 1 AS success, md5(CASE WHEN toxic = 1 THEN '' ELSE 'theorem q' || coalesce(quality, -1)::VARCHAR || ' : True := trivial' END) AS md5 FROM labels",
     }

@@ -6,6 +6,7 @@ with it the calls in flight and the few that were not yet written. Nothing in a
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections import deque
@@ -45,18 +46,31 @@ def answers(spark: SparkSession, path: str) -> DataFrame:
     return entries(spark, path).groupBy("digest").agg(first.alias("_a")).select("digest", "_a.*")
 
 
+class SlowDown(Exception):
+    """What a generator raises when the service asks for a pause of so many seconds: all calls of the task wait, and this one is made again."""
+
+    def __init__(self, seconds: float):
+        super().__init__(seconds)
+        self.seconds = seconds
+
+
 class _Pace:
-    """Lets calls begin at most ``rate`` times a second."""
+    """Lets calls begin at most ``rate`` times a second, and none before a pause is over."""
 
-    def __init__(self, rate: float | None, sleep: Callable[[float], None] = time.sleep):
-        self.every, self.next, self.sleep = 1 / rate if rate else 0.0, 0.0, sleep
+    def __init__(self, rate: float | None = None, sleep: Callable[[float], None] = time.sleep):
+        self.every, self.next, self.sleep, self.lock = 1 / rate if rate else 0.0, 0.0, sleep, threading.Lock()
 
     def __call__(self) -> None:
-        if self.every:
+        with self.lock:
             now = time.monotonic()
-            if self.next > now:
-                self.sleep(self.next - now)
-            self.next = max(now, self.next) + self.every
+            wait = self.next - now
+            self.next = max(now, self.next) + self.every if self.every else self.next
+        if wait > 0:
+            self.sleep(wait)
+
+    def pause(self, seconds: float) -> None:
+        with self.lock:
+            self.next = max(self.next, time.monotonic() + seconds)
 
 
 def in_order(rows: Iterator, call: Callable, window: int, pace: Callable[[], None] = lambda: None) -> Iterator[tuple]:
@@ -93,9 +107,20 @@ def in_order(rows: Iterator, call: Callable, window: int, pace: Callable[[], Non
             raise failed
 
 
-def _asked(row: tuple, call: Generator) -> tuple:
-    began, t = datetime.now(UTC), time.monotonic()
-    return call(row[1], row[2]), round(time.monotonic() - t, 2), began
+PAUSES = 20  # that one call may be asked for
+
+
+def _asked(row: tuple, call: Callable[..., str | None], pace: _Pace) -> tuple:
+    for k in range(PAUSES + 1):
+        began, t = datetime.now(UTC), time.monotonic()
+        try:
+            return call(*row[1:]), round(time.monotonic() - t, 2), began
+        except SlowDown as e:
+            if k == PAUSES:
+                raise
+            pace.pause(e.seconds)
+            pace()
+    raise AssertionError
 
 
 def _known(folder: str) -> set[str]:
@@ -106,7 +131,8 @@ def _known(folder: str) -> set[str]:
     return {d for f in files for d in pq.read_table(store.open_input_file(f), columns=["digest"]).column(0).to_pylist()}
 
 
-def _ask(batches: Iterator[pa.RecordBatch], call: Generator, folder: str, started: str, window: int, rate: float | None, flush: int) -> Iterator[pa.RecordBatch]:
+def _ask(batches: Iterator[pa.RecordBatch], call: Callable[..., str | None], folder: str, started: str, window: int, rate: float | None, flush: int) -> Iterator[pa.RecordBatch]:
+    """Call with each row's columns after the first, which is its digest."""
     own = f"{folder}/{started}/{TaskContext.get().partitionId():06d}"  # of all attempts at this task
     known, (store, at) = _known(own), opened(own)
     store.create_dir(at, recursive=True)
@@ -120,12 +146,13 @@ def _ask(batches: Iterator[pa.RecordBatch], call: Generator, folder: str, starte
 
     def rows() -> Iterator[tuple]:
         for b in batches:
-            for r in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_digest", "system_prompt", "user_prompt")), strict=True):
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if r[0] not in known:
                     yield r
 
     try:
-        for r, (text, took, began) in in_order(rows(), partial(_asked, call=call), window, _Pace(rate)):
+        pace = _Pace(rate)
+        for r, (text, took, began) in in_order(rows(), partial(_asked, call=call, pace=pace), window, pace):
             n += 1
             if text is not None:  # a call without an answer is made again when the run is
                 since = since if held else time.monotonic()
@@ -137,6 +164,17 @@ def _ask(batches: Iterator[pa.RecordBatch], call: Generator, folder: str, starte
     yield pa.RecordBatch.from_arrays([pa.array([n])], ["calls"])
 
 
+def fill(todo: DataFrame, call: Callable[..., str | None], path: str, window: int = 1, rate: float | None = None, flush: int = FLUSH_ROWS) -> None:
+    """Call with the columns of todo (digest, what is called with ...) for each row that the ledger lacks, and add what comes back."""
+    spark = todo.sparkSession
+    key = todo.columns[0]
+    have = answers(spark, path).select(F.col("digest").alias("_have"))
+    todo = todo.join(have, todo[key] == have["_have"], "left_anti")
+    share = rate / spark.sparkContext.defaultParallelism if rate else None
+    job = partial(_ask, call=call, folder=path, started=uuid.uuid4().hex, window=window, rate=share, flush=flush)
+    todo.mapInArrow(job, "calls long").write.format("noop").mode("overwrite").save()
+
+
 def ask(reqs: DataFrame, call: Generator, path: str, model: str | None = None, effort: str | None = None, window: int = 1, rate: float | None = None, flush: int = FLUSH_ROWS) -> DataFrame:
     """reqs (custom_id, system_prompt, user_prompt, ...) with response, call_seconds and start_time, from the ledger at ``path`` once all
     requests that it lacks were asked for.
@@ -144,13 +182,9 @@ def ask(reqs: DataFrame, call: Generator, path: str, model: str | None = None, e
     Each request that has no answer in the ledger is one call, unless its task dies between the call and the next file; a task that is
     run again reads what its earlier attempts have written first. Where two attempts answer the same request, the first one written
     counts. Calls that gave None have nulls. ``window`` calls are under way in a task; all tasks together begin at most ``rate`` a
-    second: each of the cluster's slots has an equal share. reqs is evaluated twice and should be a written table.
+    second: each of the cluster's slots has an equal share. A generator that raises SlowDown holds up its task's calls. reqs is evaluated twice and should be a written table.
     """
-    spark = reqs.sparkSession
     d = reqs.drop("response", "call_seconds", "start_time").withColumn("_digest", digest(model, effort))
-    have = answers(spark, path)
-    todo = d.join(have, d["_digest"] == have.digest, "left_anti").select("_digest", "system_prompt", "user_prompt")
-    share = rate / spark.sparkContext.defaultParallelism if rate else None
-    todo.mapInArrow(partial(_ask, call=call, folder=path, started=uuid.uuid4().hex, window=window, rate=share, flush=flush), "calls long").write.format("noop").mode("overwrite").save()
-    have = answers(spark, path)
+    fill(d.select("_digest", "system_prompt", "user_prompt"), call, path, window, rate, flush)
+    have = answers(reqs.sparkSession, path)
     return d.join(have, d["_digest"] == have.digest, "left").drop("_digest", "digest")

@@ -114,7 +114,7 @@ def last_writer_wins(spark, sf_dir):
 
 
 def request_envelope(spark, sf_dir):
-    e = requests.envelope(requests.requests(problems(spark, sf_dir), "Be brief.", check=False), "default")
+    e = requests.envelope(requests.requests(problems(spark, sf_dir), "Be brief."), "default")
     m = F.col("body.messages")
     return e.select("custom_id", "method", "url", F.col("body.model").alias("model"), F.get(m, F.lit(0))["content"].alias("system"), F.get(m, F.lit(1))["content"].alias("user"), F.col("body.reasoning_effort").alias("effort"))
 
@@ -190,7 +190,7 @@ def _stub_generate(system: str, user: str) -> str | None:
 
 
 def external_generate(spark, sf_dir):
-    d = requests.requests(problems(spark, sf_dir), "Be brief.", check=False)
+    d = requests.requests(problems(spark, sf_dir), "Be brief.")
     return external.generate(d, external.Retry(_stub_generate)).select("pos", "response")
 
 

@@ -6,18 +6,19 @@ import time
 from collections.abc import Callable
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import extract_code, step_check
 from ..operators.curate import GEOMETRY, SkipRules, limit_after_filter, limit_before_filter, score_filter, skip_classify
-from ..operators.keys import assert_unique, default_id
+from ..operators.keys import default_id
 from ..operators.outcome import classify, manifest, manifest_array, run_stats, validation_record
 from ..operators.requests import EFFORT, envelope, join_responses, requests
 from ..schemas import BATCH_INFO, RESPONSE_LINE
 from ..sources import files, readers, writers
 from . import ledger
 from .external import Generator, Validator, validate
+from .verdicts import validate_once
 
 # Seconds between looks at a job, and seconds to wait for it.
 INTERVAL, MOST_WAIT = 60, 86400
@@ -39,14 +40,16 @@ def prepare(problems: DataFrame, max_problems: int | None = None, skip: bool = T
     return skip_classify(default_id(limit_before_filter(problems, max_problems)), "problem", rules, skip)
 
 
-def finish(answered: DataFrame, skipped: DataFrame, check: Validator, batch: bool, model: str | None = None) -> DataFrame:
-    """Code, validation and outcome of answered rows, with the skipped ones; one wide log.
+def finish(answered: DataFrame, skipped: DataFrame, check: Validator, batch: bool, model: str | None = None, store: str | None = None, name: str = "check") -> DataFrame:
+    """Code, validation and outcome of answered rows, with the skipped ones; one wide log. With a ``store`` each distinct program is checked once
+    by the validator of that name, see verdicts.validate_once().
 
     A run of calls has, for each row, start_time, end_time, total_duration_seconds (of its call and its check) and
     api_call{duration_seconds, model}; a bulk run has the timestamp at which the row was dealt with.
     """
     d = answered.withColumn("generated_code", F.when(F.length("response") > 0, extract_code("response")))
-    d = validate(d, check).withColumn("parsability", step_check("generated_code"))
+    d = validate_once(d, check, store, name) if store else validate(d, check)
+    d = d.withColumn("parsability", step_check("generated_code"))
     both = classify(d.unionByName(skipped, allowMissingColumns=True), batch).withColumn("batch_mode", F.lit(batch))
     now = F.current_timestamp()
     if batch:
@@ -72,18 +75,20 @@ def run_sync(
     effort: str | None = None,
     window: int = 1,
     rate: float | None = None,
+    store: str | None = None,
+    name: str = "check",
 ) -> DataFrame:
     """The log of a run that calls the generator once for each row that is not skipped.
 
     Requests are written to ``out``/requests/run_id=…, answers go to the ledger ``out``/ledger/run_id=… as they come, the log to
     ``out``/log/run_id=…. A run that is started again with the same run_id asks for what its ledger lacks and for nothing else;
-    see ledger.ask() for ``window`` and ``rate``.
+    see ledger.ask() for ``window`` and ``rate``, finish() for ``store`` and ``name``.
     """
     spark = problems.sparkSession
     d = prepare(problems, max_problems, skip, rules)
-    reqs = _written(requests(d.where("not skipped"), system_prompt, check=False), f"{out}/requests/run_id={run_id}")
-    answered = ledger.ask(assert_unique(reqs), call, f"{out}/ledger/run_id={run_id}", model, effort, window, rate)
-    writers.problem_logs(finish(answered, d.where("skipped"), check, False, model), f"{out}/log", run_id)
+    reqs = _written(requests(d.where("not skipped"), system_prompt), f"{out}/requests/run_id={run_id}")
+    answered = ledger.ask(reqs, call, f"{out}/ledger/run_id={run_id}", model, effort, window, rate)
+    writers.problem_logs(finish(answered, d.where("skipped"), check, False, model, store, name), f"{out}/log", run_id)
     return read_log(spark, out, run_id)
 
 
@@ -121,6 +126,22 @@ def poll(transport: Transport, job: str, interval: float = INTERVAL, most: float
     return "timeout", last
 
 
+def settled_jobs(looks: DataFrame, interval: float = INTERVAL, most: float = MOST_WAIT) -> DataFrame:
+    """(job, status, looks, progress) of many jobs from the looks at them (job, look, status, completed, total), as poll() ends for each.
+
+    A look with a null status is one that failed. The first final status counts, if waiting has not taken ``most`` seconds by then,
+    else it is ``timeout``, without progress. looks is the number that were made, ordered by ``look``.
+    """
+    n = F.row_number().over(Window.partitionBy("job").orderBy("look"))
+    seen = looks.withColumn("_n", n).where(F.col("_n") <= -(-most // interval))
+    final = F.when(is_terminal("status"), F.struct("_n", "status", "completed", "total"))
+    d = seen.groupBy("job").agg(F.min(final).alias("_f"), F.max("_n").alias("_all"))
+    percent = F.when(F.col("_f.total") > 0, F.col("_f.completed") * 100.0 / F.col("_f.total")).otherwise(F.lit(0.0))
+    shown = F.format_string("%d/%d (%.1f%%)", F.col("_f.completed").cast("long"), F.col("_f.total").cast("long"), percent)
+    made = F.coalesce("_f._n", "_all").cast("long")
+    return d.select("job", F.coalesce("_f.status", F.lit("timeout")).alias("status"), made.alias("looks"), F.when(F.col("_f").isNotNull(), shown).alias("progress"))
+
+
 def is_terminal(status: Column | str) -> Column:
     """Whether a job's status is final."""
     return F.coalesce((F.col(status) if isinstance(status, str) else status).isin(*TERMINAL), F.lit(False))
@@ -144,6 +165,8 @@ def run_batch(
     rules: SkipRules = GEOMETRY,
     effort: str = EFFORT,
     run_id: str = "run",
+    store: str | None = None,
+    name: str = "check",
     **waiting,
 ) -> DataFrame:
     """The log of a bulk run under ``out``: request lines, then, once the job is completed, a copy of its raw output, then outcomes, each
@@ -156,7 +179,7 @@ def run_batch(
     d = prepare(problems, max_problems, skip, rules)
     of = lambda name: f"{out}/{name}/run_id={run_id}"
     if not files.exists(spark, f"{of('batch_info')}/_SUCCESS"):
-        reqs = assert_unique(_written(requests(d.where("not skipped"), system_prompt, check=False), of("requests")))
+        reqs = _written(requests(d.where("not skipped"), system_prompt), of("requests"))
         if not reqs.isEmpty():
             writers.request_lines(envelope(reqs, model, effort), of("batch_input"))
             job = transport.submit(of("batch_input"))
@@ -172,7 +195,7 @@ def run_batch(
                 raise RuntimeError(f"job {job}: {status} {last.get('errors') or ''}")
             writers.keep_raw(spark, transport.results(job), of("batch_output"))
         lines = readers.responses(spark, of("batch_output"))
-    writers.problem_logs(finish(join_responses(reqs, lines), d.where("skipped"), check, True), f"{out}/log", run_id)
+    writers.problem_logs(finish(join_responses(reqs, lines), d.where("skipped"), check, True, None, store, name), f"{out}/log", run_id)
     return read_log(spark, out, run_id)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import keys, places
+from ..operators import keys, places, steps
 from ..sources import footers, jsonscan, readers, writers
 from ..sources.scratch import new_path
 from ..streaming import landing
@@ -113,7 +113,19 @@ def settled_ids(spark, sf_dir):
     return d.select("pos", "problem_id", "custom_id")
 
 
-_OWN = (split_document, problem_lines_in_order, global_places, export_keeps_columns, parquet_footers, landed_in_waves, landed_broken, settled_ids)
+def step_structure(spark, sf_dir):
+    """The steps of documents whose words are partly markers: nested, crossing, without an end or a start."""
+    marked = F.transform(
+        F.split(F.coalesce("text", F.lit("")), " "),
+        lambda w, i: F.when((F.col("doc_id") + i * 5) % 13 == 0, F.format_string("-- [STEP_%d: %s]\n", (i / 3).cast("int") % 4, w))
+        .when((F.col("doc_id") + i * 7) % 11 == 0, F.format_string("-- [END_STEP_%d]\n", (i / 2).cast("int") % 4))
+        .otherwise(w),
+    )
+    d = _t(spark, sf_dir, "documents").select("doc_id", F.array_join(marked, " ").alias("code"))
+    return steps.step_structure(d, "code", ("doc_id",))
+
+
+_OWN = (step_structure, split_document, problem_lines_in_order, global_places, export_keeps_columns, parquet_footers, landed_in_waves, landed_broken, settled_ids)
 
 
 def queries() -> dict[str, Query]:

@@ -1,5 +1,6 @@
 """Runs that go on where they stopped, files that tasks write, and calls that are under way together."""
 
+import re
 import threading
 import time
 from datetime import UTC, datetime, timedelta
@@ -8,9 +9,12 @@ from types import SimpleNamespace
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from curatrix.plans import ledger, runs
+from curatrix.operators import steps
+from curatrix.plans import external, ledger, runs, verdicts
 from curatrix.sources import files, writers
 
 
@@ -57,6 +61,26 @@ def test_pace():
     assert len(waits) == 4 and all(0 < w <= 0.041 for w in waits)
 
 
+def test_a_service_that_asks_for_a_pause_is_given_one():
+    begun, refused = [], []
+
+    def call(x):
+        begun.append(time.monotonic())
+        if x == 5 and not refused:
+            refused.append(time.monotonic())
+            raise ledger.SlowDown(0.4)
+        time.sleep(0.01)
+        return x
+
+    pace = ledger._Pace(200.0)
+    got = list(ledger.in_order([(None, x) for x in range(30)], lambda r: ledger._asked(r, call, pace), 4, pace))
+    assert [r[0] for _, r in got] == list(range(30))
+    late = [t for t in begun if refused[0] < t < refused[0] + 0.35]
+    assert len(late) <= 4  # those that had begun or were let through before
+    with pytest.raises(ledger.SlowDown):
+        external.Retry(lambda s, u: (_ for _ in ()).throw(ledger.SlowDown(1)), sleep=lambda s: None)("s", "u")
+
+
 def test_a_task_that_is_run_again_reads_its_own_answers(monkeypatch, tmp_path):
     monkeypatch.setattr(ledger.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 7))
     batch = pa.RecordBatch.from_pydict({"_digest": [f"d{i}" for i in range(10)], "system_prompt": ["s"] * 10, "user_prompt": [str(i) for i in range(10)]})
@@ -176,3 +200,78 @@ def test_a_bulk_run_submits_once(spark, tmp_path):
         with pytest.raises(RuntimeError, match="job-1: expired"):
             runs.run_batch(d, "S", Lost(), lambda c: (True, ""), str(tmp_path / "b"), "m", interval=0.0, most=1.0, sleep=lambda s: None)
     assert Lost.jobs == 1 and runs.batch_id(spark, str(tmp_path / "b"), "run") == "job-1" and runs.batch_id(spark, str(tmp_path / "b"), "x") is None
+
+
+def test_each_program_is_checked_once(spark, tmp_path):
+    checks = spark.sparkContext.accumulator(0)
+
+    def check(code):
+        checks.add(1)
+        return len(code) > 1, f"said {code}"
+
+    rows = [(i, "r" if i % 5 else None, ["", "a", "bb", "ccc", None][i % 4 if i % 7 else 4], 0) for i in range(300)]
+    d = spark.createDataFrame(rows, "pos long, response string, generated_code string, compilation int").repartition(4)
+    for n in (4, 4):
+        got = verdicts.validate_once(d, check, str(tmp_path / "s"), "v1").collect()
+        assert checks.value == n and len(got) == 300
+    for r in got:
+        code = rows[r.pos][2] or ""
+        assert (r.compilation is None) == (rows[r.pos][1] is None) and (r.compilation is None or (r.compilation.success, r.compilation.output) == (len(code) > 1, f"said {code}"))
+    verdicts.validate_once(d, check, str(tmp_path / "s"), "v2").collect()
+    assert checks.value == 8  # another validator's verdicts are its own
+    assert verdicts.validate_once(d.limit(0), check, str(tmp_path / "s"), "v1").count() == 0
+
+
+def _matched_slowly(code):
+    """Steps by a search through all markers for each end."""
+    markers = [(m.start(), m.end(), m[1], m[2]) for m in re.finditer(r"--\s*\[(?:STEP_(\d+):|END_STEP_(\d+)\])", code)]
+    closer = {}
+    for k, (_, _, _, end) in enumerate(markers):
+        if end is not None:
+            free = [j for j in range(k) if markers[j][2] == end and j not in closer]
+            if free:
+                closer[free[-1]] = k
+    out, closed = [], set(closer.values())
+    for k, (a, b, start, end) in enumerate(markers):
+        if start is not None:
+            over = lambda j, at: j not in closer or closer[j] > at
+            depth = sum(markers[j][2] is not None and over(j, k) for j in range(k))
+            at = closer.get(k)
+            inner = at is not None and any(markers[j][2] is not None and over(j, at) for j in range(k + 1, at))
+            out.append((start, a, None if at is None else markers[at][1], depth, "no end" if at is None else "crossing" if inner else "closed"))
+        elif k not in closed:
+            out.append((end, None, b, None, "no start"))
+    return out
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["-- [STEP_1: a]", "--[STEP_2:", "-- [STEP_3: x", "-- [END_STEP_1]", "--\n[END_STEP_2]", "-- [END_STEP_3]", "word", "[STEP_1:", "-- [STEP_x:", "-- [STEP_٣:", "-- [END_STEP_٣]"]), max_size=30))
+def test_steps_are_matched(parts):
+    code = " ".join(parts)
+    assert steps.matched(code) == _matched_slowly(code)
+
+
+def test_step_structure(spark):
+    d = spark.createDataFrame([("a", "-- [STEP_1: x]\n-- [STEP_2: y]\n-- [END_STEP_1]\n-- [END_STEP_2]\n-- [END_STEP_9]", 1), ("b", None, 2), ("c", "", 3)], "problem_id string, generated_code string, other int")
+    got = [tuple(r) for r in steps.step_structure(d).orderBy("problem_id", "place").collect()]
+    assert got == [("a", 0, "1", 0, 45, 0, "crossing"), ("a", 1, "2", 15, 61, 1, "closed"), ("a", 2, "9", None, 77, None, "no start")]
+
+
+def test_jobs_settle_as_they_are_polled(spark):
+    said = {1: ["in_progress", None, "completed"], 2: ["validating", "failed", "completed"], 3: ["cancelled"], 4: ["in_progress"] * 9 + ["completed"], 5: [None], 6: ["in_progress"] * 4 + ["expired"]}
+    looks = spark.createDataFrame([(j, k, s, 1, 3) for j, x in said.items() for k, s in enumerate(x)], "job int, look int, status string, completed long, total long")
+    got = {r.job: (r.status, r.progress) for r in runs.settled_jobs(looks, 60, 300).collect()}
+
+    class Fixed:
+        def __init__(self, x):
+            self.x = list(x)
+
+        def status(self, job):
+            s = self.x.pop(0) if self.x else "in_progress"
+            if s is None:
+                raise ConnectionError("no answer")
+            return {"status": s, "request_counts": {"total": 3, "completed": 1}}
+
+    for j, x in said.items():
+        status, last = runs.poll(Fixed(x), "j", 60, 300, sleep=lambda s: None)
+        assert got[j] == (status, runs.progress(last["request_counts"]) if status != "timeout" else None)
