@@ -419,3 +419,22 @@ def _first_of(d: DataFrame, top: int) -> DataFrame:
         groups = min(groups - 1, -(-groups * top // TOP_GROUP))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")
     return d.withColumn("rank", rank).where(F.col("rank") <= top)
+
+
+_FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLE_SQL = rf"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_FOLD}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 5) AS r(k))),
+f AS (SELECT lang, phrase, k, count(*)::BIGINT AS a FROM g GROUP BY lang, phrase, k HAVING count(*) >= {LEAST}),
+c AS (SELECT lang, phrase, k, a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+s AS (SELECT c.*, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score FROM c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+o AS (SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most FROM (
+  SELECT lang, a, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM (SELECT lang, a, string_split(phrase, ' ') AS w, unnest(range(2, k)) AS m FROM f WHERE k > 2)) GROUP BY ALL),
+z AS (SELECT b.* FROM b LEFT JOIN o ON o.lang = b.lang AND o.phrase = b.phrase WHERE coalesce(o.most, 0)::HUGEINT * 100 < {PERCENT} * b.a::HUGEINT)
+SELECT z.lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z) z
+JOIN n ON n.lang = z.lang WHERE rank <= {TOP}
+"""

@@ -83,6 +83,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for the operators that it can express. Quality and language are learned; checksums (the other
+    """SQL for the operators that it can express. Quality and language are learned; neighbours are found by walks, whose recall is measured, and
+    eigenvectors are not in SQL; checksums (the other
     engine has no crc32) and tokenizers are not in SQL; those are tested against brute force."""
-    return {"op2_minhash_near_dedup": neardup.ORACLE_SQL, "op3_mix_sources": mixing.ORACLE_SQL, "op4_line_dedup": linededup.ORACLE_SQL, "op7_substring_dedup": substring.ORACLE_SQL}
+    return {"op2_minhash_near_dedup": neardup.ORACLE_SQL, "op3_mix_sources": mixing.ORACLE_SQL, "op4_line_dedup": linededup.ORACLE_SQL, "op7_substring_dedup": substring.ORACLE_SQL, "op13_collocations": phrases.ORACLE_SQL}
