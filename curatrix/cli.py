@@ -147,6 +147,7 @@ def _process(a, spark) -> int:
     runs.write_summary(log, f"{a.dataset_dir}/runs/{run_id}", a.manifest_in_summary, **fields)
     writers.code_files(log, f"{a.dataset_dir}/code/run_id={run_id}")
     if a.export:
+        remove(spark, f"{a.dataset_dir}/files/{run_id}")  # of the same run, when it goes on
         writers.export_files(log, f"{a.dataset_dir}/files/{run_id}")
     return 0
 

@@ -26,7 +26,11 @@ from ..sources.files import add_table, make_folder, opened
 from .external import Generator
 
 LEDGER = "digest string, response string, call_seconds double, start_time timestamp, written_at timestamp, started string"
-_SCHEMA = pa.schema([("digest", pa.string()), ("response", pa.string()), ("call_seconds", pa.float64()), ("start_time", pa.timestamp("us", "UTC")), ("written_at", pa.timestamp("us", "UTC")), ("started", pa.string())])
+_TIME = pa.timestamp("us", "UTC")
+_SCHEMA = pa.schema(
+    [("digest", pa.string()), ("response", pa.string()), ("call_seconds", pa.float64())]
+    + [("start_time", _TIME), ("written_at", _TIME), ("started", pa.string())]
+)
 FLUSH_ROWS, FLUSH_SECONDS = 500, 30.0  # answers of a file, and the time that the first of them waits for it
 
 

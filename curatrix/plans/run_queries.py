@@ -126,15 +126,20 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     ids = "'p' || (doc_id % 700)::VARCHAR"
-    custom = f"{ids} || CASE WHEN row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) = 1 THEN '' ELSE '_' || (row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) - 1)::VARCHAR END"
+    repeat = "row_number() OVER (PARTITION BY doc_id % 700 ORDER BY doc_id) - 1"
+    custom = f"{ids} || CASE WHEN {repeat} = 0 THEN '' ELSE '_' || ({repeat})::VARCHAR END"
     ok = "problem IS NOT NULL AND NOT contains(problem, 'construct')"
     user = f"'Problem:' || chr(10) || problem || chr(10) || chr(10) || {io_queries._lit(io_queries.T.ASK)}"
     mark = "CASE WHEN length(u) % 3 <> 0 THEN '-- [STEP_1: x]' || chr(10) || '-- [END_STEP_1]' || chr(10) ELSE '' END"
     code = f"CASE WHEN length(u) % 5 <> 0 AND {ok} THEN regexp_replace({mark} || CASE WHEN length(u) % 2 = 0 THEN u ELSE right(u, 1) END, '\\A\\s+|\\s+\\z', '', 'g') END"
     programs = f"SELECT pos, problem, {code} AS code FROM (SELECT *, {user} AS u FROM p)"
     return {
-        "verdicts_by_content": f"WITH {io_queries._P}, c AS ({programs}), o AS ({{}}) SELECT bucket, status, count(*)::BIGINT AS n, count(DISTINCT code)::BIGINT AS n_programs, (SELECT count(DISTINCT code) FROM c)::BIGINT AS n_checks, 0::BIGINT AS n_again FROM o JOIN c USING (pos) GROUP BY bucket, status".format(io_queries._run_sql(False)),
-        "resumed_run": "SELECT count(*)::BIGINT AS n_asked, 0::BIGINT AS n_asked_twice, count(*)::BIGINT AS n_logged, count(*)::BIGINT AS n_answered, true AS died, true AS first_has_some, true AS second_asked_the_rest, true AS second_asked_some FROM labels",
-        "repeated_run": f"SELECT doc_id AS pos, {custom} AS custom_id, CASE WHEN doc_id % 10 <> 3 THEN 'answer ' || doc_id::VARCHAR END AS response, (SELECT count(*) FROM labels)::BIGINT AS n_first, (SELECT count(*) FROM labels WHERE doc_id % 10 = 3)::BIGINT AS n_again FROM labels",
+        "verdicts_by_content": f"""WITH {io_queries._P}, c AS ({programs}), o AS ({io_queries._run_sql(False)})
+          SELECT bucket, status, count(*)::BIGINT AS n, count(DISTINCT code)::BIGINT AS n_programs, (SELECT count(DISTINCT code) FROM c)::BIGINT AS n_checks,
+          0::BIGINT AS n_again FROM o JOIN c USING (pos) GROUP BY bucket, status""",
+        "resumed_run": """SELECT count(*)::BIGINT AS n_asked, 0::BIGINT AS n_asked_twice, count(*)::BIGINT AS n_logged, count(*)::BIGINT AS n_answered,
+          true AS died, true AS first_has_some, true AS second_asked_the_rest, true AS second_asked_some FROM labels""",
+        "repeated_run": f"""SELECT doc_id AS pos, {custom} AS custom_id, CASE WHEN doc_id % 10 <> 3 THEN 'answer ' || doc_id::VARCHAR END AS response,
+          (SELECT count(*) FROM labels)::BIGINT AS n_first, (SELECT count(*) FROM labels WHERE doc_id % 10 = 3)::BIGINT AS n_again FROM labels""",
         "resumed_bulk_run": f"SELECT status, bucket, count(*)::BIGINT AS n, 1::BIGINT AS n_jobs FROM ({io_queries._run_sql(True)}) GROUP BY status, bucket",
     }

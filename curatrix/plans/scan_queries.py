@@ -148,14 +148,19 @@ def oracle_sql() -> dict[str, str]:
     odd = "'\"}], \\ {' || coalesce(text, '') || '\\\"[{'"
     return {
         "split_document": f"SELECT row_number() OVER (ORDER BY doc_id) AS pos, md5({odd}) AS md5, lang, ']}}' AS mark FROM documents WHERE doc_id IS NOT NULL",
-        "problem_lines_in_order": f"SELECT pos, CASE WHEN doc_id % 3 <> 0 THEN 'd' || doc_id::VARCHAR ELSE 'problem_' || pos::VARCHAR END AS problem_id, {io_queries._FIELDS}, false AS skipped FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS pos FROM labels)",
+        "problem_lines_in_order": f"""SELECT pos, CASE WHEN doc_id % 3 <> 0 THEN 'd' || doc_id::VARCHAR ELSE 'problem_' || pos::VARCHAR END AS problem_id,
+          {io_queries._FIELDS}, false AS skipped FROM (SELECT *, row_number() OVER (ORDER BY doc_id) AS pos FROM labels)""",
         "global_places": "SELECT doc_id, source, lang, row_number() OVER (ORDER BY source NULLS FIRST, lang NULLS FIRST, doc_id NULLS FIRST) AS place FROM documents",
         "export_keeps_columns": "SELECT row_number() OVER (ORDER BY doc_id) AS place, doc_id, quality, toxic, CASE WHEN doc_id % 3 <> 0 THEN doc_id % 2 END AS pos, 0 AS code FROM labels",
         "parquet_footers": " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", '{kind}' AS physical_type, 3::BIGINT AS n_files, 3::BIGINT AS n_row_groups, count(*)::BIGINT AS n_values, (count(*) - count({c}))::BIGINT AS n_nulls, 'ZSTD' AS compression, true AS has_sizes FROM labels"
+            f"SELECT '{c}' AS \"column\", '{kind}' AS physical_type, 3::BIGINT AS n_files, 3::BIGINT AS n_row_groups, count(*)::BIGINT AS n_values, "
+            f"(count(*) - count({c}))::BIGINT AS n_nulls, 'ZSTD' AS compression, true AS has_sizes FROM labels"
             for c, kind in (("doc_id", "INT64"), ("quality", "INT32"), ("toxic", "INT32"))
         ),
-        "landed_in_waves": f"WITH {io_queries._R}, x AS (SELECT * FROM l WHERE doc_id % 13 > 1), y AS (SELECT custom_id, CASE WHEN code = 200 THEN content END AS content FROM x QUALIFY row_number() OVER (PARTITION BY custom_id ORDER BY n DESC) = 1) SELECT custom_id, md5(content) AS md5, CASE WHEN content IS NULL OR content = 'again' THEN 0 ELSE 1 END::BIGINT AS step_count FROM y",
-        "landed_broken": f"SELECT unnest(CASE WHEN doc_id % 13 = 1 AND doc_id % 4 = 1 THEN list_concat(k, k) ELSE k END) AS line FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN [{bad}, {bad}] ELSE [{bad}] END AS k FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 13 < 2)",
+        "landed_in_waves": f"""WITH {io_queries._R}, x AS (SELECT * FROM l WHERE doc_id % 13 > 1),
+          y AS (SELECT custom_id, CASE WHEN code = 200 THEN content END AS content FROM x QUALIFY row_number() OVER (PARTITION BY custom_id ORDER BY n DESC) = 1)
+          SELECT custom_id, md5(content) AS md5, CASE WHEN content IS NULL OR content = 'again' THEN 0 ELSE 1 END::BIGINT AS step_count FROM y""",
+        "landed_broken": f"""SELECT unnest(CASE WHEN doc_id % 13 = 1 AND doc_id % 4 = 1 THEN list_concat(k, k) ELSE k END) AS line
+          FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN [{bad}, {bad}] ELSE [{bad}] END AS k FROM documents WHERE doc_id % 7 <> 0 AND doc_id % 13 < 2)""",
         "settled_ids": _settled_sql(),
     }

@@ -180,9 +180,9 @@ def write_text_files(df: DataFrame, path: str, folders: int, stem: str = "stem")
     """
     spark = df.sparkSession
     spark.dataSource.register(TextFiles)
-    if exists(spark, f"{path}/_SUCCESS"):
+    p, store = hadoop(spark, make_folder(spark, path))
+    if any(x.getPath().getName().startswith(("part-", "_SUCCESS")) for x in store.listStatus(p)):
         raise FileExistsError(f"{path} has files of an earlier write")
-    make_folder(spark, path)
     part = F.pmod(F.crc32(F.encode(stem, "utf-8")), F.lit(folders))
     rows = df.select(F.concat(F.lit("part-"), F.lpad(part.cast("string"), 5, "0")).alias("folder"), "name", "text")
     rows.repartition(folders, "folder").write.format("curatrix_files").mode("append").option("path", path).save()

@@ -63,7 +63,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int]
                 lo += take
 
 
-_SUMMARY = "file string, start long, size long, bytes long, rows long, turns int, first string, depth array<long>, ends array<array<struct<depth: long, n: long>>>, last array<long>"
+_SUMMARY = (
+    "file string, start long, size long, bytes long, rows long, turns int, first string, depth array<long>, "
+    "ends array<array<struct<depth: long, n: long>>>, last array<long>"
+)
+_LONGS = pa.list_(pa.int64())
+_SUMMED = pa.schema(
+    [("file", pa.string()), *((c, pa.int64()) for c in ("start", "size", "bytes", "rows")), ("turns", pa.int32()), ("first", pa.string()), ("depth", _LONGS)]
+    + [("ends", pa.list_(pa.list_(pa.struct([("depth", pa.int64()), ("n", pa.int64())])))), ("last", _LONGS)]
+)
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,8 +104,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if now:
         done.append(row(now))
     if done:
-        kinds = {"file": pa.string(), "start": pa.int64(), "size": pa.int64(), "bytes": pa.int64(), "rows": pa.int64(), "turns": pa.int32(), "first": pa.string(), "depth": pa.list_(pa.int64()), "ends": pa.list_(pa.list_(pa.struct([("depth", pa.int64()), ("n", pa.int64())]))), "last": pa.list_(pa.int64())}
-        yield pa.RecordBatch.from_pylist(done, pa.schema(list(kinds.items())))
+        yield pa.RecordBatch.from_pylist(done, _SUMMED)
 
 
 @dataclass

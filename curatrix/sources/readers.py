@@ -41,7 +41,13 @@ def problems_json(spark: SparkSession, path: str, parts: bool = False) -> DataFr
 
     made = F.concat(F.lit("problem_"), F.col("pos").cast("string"))
     meta = F.coalesce(F.variant_get("v", "$.metadata", "variant"), F.parse_json(F.lit("{}")))
-    return rows.select("pos", F.coalesce(text("problem_id", made), made).alias("problem_id"), text("problem", F.lit("")).alias("problem"), text("solution", F.lit("")).alias("solution"), meta.alias("metadata"))
+    return rows.select(
+        "pos",
+        F.coalesce(text("problem_id", made), made).alias("problem_id"),
+        text("problem", F.lit("")).alias("problem"),
+        text("solution", F.lit("")).alias("solution"),
+        meta.alias("metadata"),
+    )
 
 
 def problems_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +61,13 @@ def problems_table(df: DataFrame, pos: str) -> DataFrame:
     its default, an explicit null stays null but for the id. pos counts rows in the order of the column that is named."""
     has = lambda c, default: F.col(c) if c in df.columns else default
     made = F.concat(F.lit("problem_"), F.col(pos).cast("string"))
-    return df.select(F.col(pos).cast("long").alias("pos"), F.coalesce(has("problem_id", made).cast("string"), made).alias("problem_id"), has("problem", F.lit("")).alias("problem"), has("solution", F.lit("")).alias("solution"), has("metadata", F.parse_json(F.lit("{}"))).alias("metadata"))
+    return df.select(
+        F.col(pos).cast("long").alias("pos"),
+        F.coalesce(has("problem_id", made).cast("string"), made).alias("problem_id"),
+        has("problem", F.lit("")).alias("problem"),
+        has("solution", F.lit("")).alias("solution"),
+        has("metadata", F.parse_json(F.lit("{}"))).alias("metadata"),
+    )
 
 
 def responses(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
@@ -77,11 +89,18 @@ def bad_responses(spark: SparkSession, path: str) -> DataFrame:
 
 def _response_lines(spark: SparkSession, path: str) -> DataFrame:
     kind = f"{RESPONSE_LINE}, _corrupt string"
-    raw = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i")).where(F.trim("value") != "")
+    place = (F.col("_metadata.file_path").alias("_f"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"))
+    raw = spark.read.text(path).select("value", *place).where(F.trim("value") != "")
     got = F.from_json("value", kind, {"columnNameOfCorruptRecord": "_corrupt"})
     d = raw.withColumn("_j", got)
     bad = F.col("_j").isNull() | F.col("_j._corrupt").isNotNull() | F.col("_j.response").isNull() | F.col("_j.custom_id").isNull()
-    return d.select(F.struct("_f", "_b", "_i").alias("line_no"), F.col("_j.custom_id").alias("custom_id"), F.struct("_j.response.status_code", "_j.response.body").alias("response"), bad.alias("_bad"), F.col("value").alias("_raw"))
+    return d.select(
+        F.struct("_f", "_b", "_i").alias("line_no"),
+        F.col("_j.custom_id").alias("custom_id"),
+        F.struct("_j.response.status_code", "_j.response.body").alias("response"),
+        bad.alias("_bad"),
+        F.col("value").alias("_raw"),
+    )
 
 
 def system_prompt(spark: SparkSession, path: str | None = None) -> str:
@@ -108,7 +127,8 @@ def table_info(spark: SparkSession, path: str) -> DataFrame:
     chunks = column_chunks(spark, path)
     files = chunks.groupBy("file").agg(F.max("file_bytes").alias("s"), F.max("file_rows").alias("n"))
     total = files.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_rows"), F.coalesce(F.sum("s"), F.lit(0)).cast("long").alias("n_bytes"))
-    kinds = chunks.where("physical_type is not null").groupBy(F.substring_index("column", ".", 1).alias("_c")).agg(F.array_join(F.sort_array(F.collect_set("physical_type")), ", ").alias("physical_type"))
+    leaves = F.array_join(F.sort_array(F.collect_set("physical_type")), ", ")
+    kinds = chunks.where("physical_type is not null").groupBy(F.substring_index("column", ".", 1).alias("_c")).agg(leaves.alias("physical_type"))
     cols = spark.createDataFrame([(i, f.name, f.dataType.simpleString()) for i, f in enumerate(schema)], "ordinal int, column_name string, column_type string")
     d = cols.join(kinds, cols.column_name == kinds["_c"], "left").crossJoin(F.broadcast(total))  # one row of totals
     return d.select("ordinal", "column_name", "column_type", "physical_type", "n_rows", "n_bytes", F.lit(len(schema)).cast("long").alias("n_columns"))

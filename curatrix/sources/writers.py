@@ -35,7 +35,8 @@ def array_lines(df: DataFrame, order: str, record: Column) -> DataFrame:
     d = with_place(df.select(order, record.alias("_line")), order, out="_at", start=1)
     lines = d.select("_at", F.concat(F.when(F.col("_at") > 1, F.lit(",")).otherwise(F.lit("")), "_line").alias("line"))
     spark = df.sparkSession
-    ends = spark.range(1).select(F.explode(F.array(F.struct(F.lit(0).cast("long").alias("_at"), F.lit("[").alias("line")), F.struct(F.lit((1 << 63) - 1).alias("_at"), F.lit("]").alias("line")))).alias("e")).select("e.*")
+    bracket = lambda at, line: F.struct(F.lit(at).cast("long").alias("_at"), F.lit(line).alias("line"))
+    ends = spark.range(1).select(F.explode(F.array(bracket(0, "["), bracket((1 << 63) - 1, "]"))).alias("e")).select("e.*")
     return lines.unionByName(ends)
 
 
