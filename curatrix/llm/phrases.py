@@ -283,8 +283,11 @@ def _merge(pieces: list[tuple], bounds: tuple, least: int) -> pa.RecordBatch:
             merged[own] = np.where(keep[back], new[back], -1)
             parent = np.repeat(merged, fan[k])
             alive = parent >= 0
-    null = lambda n: pa.nulls(n, pa.int64())
-    batches = [pa.RecordBatch.from_arrays([a.cast(pa.binary()).cast(pa.string()), b.cast(pa.binary()).cast(pa.string()), pa.array(c), pa.array(d), *(pa.array(e[i][0], mask=e[i][1]) if i < len(e) else null(len(c)) for i in range(DEPTH - 1)), pa.array(o)], schema=_NODES) for a, b, c, d, e, o in out]
+    text = lambda a: a.cast(pa.binary()).cast(pa.string())
+    batches = []
+    for lang, phrase, at_depth, a, above, o in out:
+        lefts = [pa.array(above[i][0], mask=above[i][1]) if i < len(above) else pa.nulls(len(a), pa.int64()) for i in range(DEPTH - 1)]
+        batches.append(pa.RecordBatch.from_arrays([text(lang), text(phrase), pa.array(at_depth), pa.array(a), *lefts, pa.array(o)], schema=_NODES))
     return pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
@@ -394,7 +397,8 @@ def collocations(docs: DataFrame, least: int = LEAST, percent: int = PERCENT, to
     scored = []
     exact = lambda c: F.col(c).cast("decimal(20,0)")
     for k, d in enumerate(done, 2):
-        cuts = [F.struct(F.expr(f"(cast(a as decimal(20,0)) * {SCALE}) div (cast(l{i} as decimal(20,0)) + cast(r{i} as decimal(20,0)))").alias("score"), F.lit(i).alias("k"), F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in range(1, k)]
+        score = lambda i: F.expr(f"(cast(a as decimal(20,0)) * {SCALE}) div (cast(l{i} as decimal(20,0)) + cast(r{i} as decimal(20,0)))")
+        cuts = [F.struct(score(i).alias("score"), F.lit(i).alias("k"), F.col(f"l{i}").alias("l"), F.col(f"r{i}").alias("r")) for i in range(1, k)]
         d = d.withColumn("_cut", F.array_min(F.array(*cuts)))
         if k < DEPTH:  # a phrase around it that is longer by more has one between them that comes as often
             around = level[k + 1]

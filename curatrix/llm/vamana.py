@@ -211,7 +211,8 @@ def _build(key: tuple, nodes: pa.Table, dim: int, longest: float) -> pa.Table:
     for k, lo in enumerate(range(0, len(v), per)):
         own = ids.slice(lo, per)
         head = np.asarray([len(entries), graph.shape[1], *entries], np.int32).tobytes() if k == 0 else b""
-        rows.append((key[0].as_py(), 0, k, np.asarray(own.flatten(), np.int64).tobytes(), np.asarray(pc.list_value_length(own), np.int32).tobytes(), v[lo : lo + per].tobytes(), head + graph[lo : lo + per].tobytes()))
+        flat, n_ids = np.asarray(own.flatten(), np.int64), np.asarray(pc.list_value_length(own), np.int32)
+        rows.append((key[0].as_py(), 0, k, flat.tobytes(), n_ids.tobytes(), v[lo : lo + per].tobytes(), head + graph[lo : lo + per].tobytes()))
     schema = pa.schema([("shard", pa.int32()), ("kind", pa.int32()), ("piece", pa.int32()), ("ids", pa.binary()), ("n_ids", pa.binary()), ("vectors", pa.binary()), ("graph", pa.binary())])
     return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 

@@ -113,7 +113,10 @@ def _project(batches: Iterator[pa.RecordBatch], dim: int, sent) -> Iterator[pa.R
         row, component = np.repeat(np.arange(len(x)), k), np.tile(np.arange(1, k + 1, dtype=np.int32), len(x))
         far = [str(y) if len(str(y)) <= 38 else None for y in _deviation(x, n, sums)]
         share = np.tile(explained, len(x))
-        cols = [b.column(0).take(pa.array(row)), pa.array(component), pa.array(np.full(len(row), n)), pa.array(far, pa.string()).take(pa.array(row)), pa.array(w, mask=np.isnan(w)), pa.array(share, mask=np.isnan(share)), pa.array(np.full(len(row), error), mask=np.full(len(row), np.isnan(error)))]
+        rows = pa.array(row)
+        same = [pa.array(np.full(len(row), n)), pa.array(far, pa.string()).take(rows)]
+        fitted = [pa.array(x, mask=np.isnan(x)) for x in (w, share, np.full(len(row), error))]
+        cols = [b.column(0).take(rows), pa.array(component), *same, *fitted]
         yield pa.RecordBatch.from_arrays(cols, ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
 
