@@ -21,6 +21,7 @@ from ..schemas import RESPONSE_LINE
 
 _LINE = "file string, block long, place long, line string"
 _GOOD, _BAD = "answer", "broken"
+LANES = 4096  # groups of broken lines
 _OUT = "kind string, custom_id string, content string, line string, file string, block long, place long"
 
 
@@ -67,10 +68,10 @@ def _keep_last(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> I
     was = tuple(state.get) if state.exists else None
     best = None
     for d in rows:
-        last = d.sort_values(["file", "block", "place"]).tail(1)
-        at = tuple(last[["file", "block", "place"]].itertuples(index=False, name=None))[0]
-        if best is None or at > best[0]:
-            best = (at, last)
+        places = list(zip(d["file"], d["block"], d["place"], strict=True))
+        k = max(range(len(places)), key=places.__getitem__)
+        if best is None or places[k] > best[0]:
+            best = ((places[k][0], int(places[k][1]), int(places[k][2])), d.iloc[[k]])
     if best is not None and (was is None or best[0] > was):
         state.update(best[0])
         yield best[1]
@@ -79,10 +80,10 @@ def _keep_last(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> I
 def last_lines(lines: DataFrame) -> DataFrame:
     """response_stream() as a stream of changes: a request's line whenever a later one than all before has come, and each broken line.
 
-    State is one place for each request, which grows with the requests of the job. Broken lines have no state; they are dealt by
-    their text and place.
+    State is one place for each request, which grows with the requests of the job. Broken lines have no state; they are dealt to LANES
+    groups by their place.
     """
-    lane = F.when(F.col("kind") == _BAD, F.concat_ws(" ", "file", "block", "place")).otherwise(F.col("custom_id"))
+    lane = F.when(F.col("kind") == _BAD, F.pmod(F.xxhash64("file", "block", "place"), F.lit(LANES)).cast("string")).otherwise(F.col("custom_id"))
     grouped = lines.withColumn("lane", lane).groupBy("kind", "lane")
     kept = grouped.applyInPandasWithState(_keep_last, f"{_OUT}, lane string", "file string, block long, place long", "update", GroupStateTimeout.NoTimeout)
     return kept.drop("lane")
