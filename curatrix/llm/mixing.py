@@ -97,7 +97,11 @@ def offset_of(source: F.Column, seed: int) -> F.Column:
 
 
 def mixed(docs: DataFrame, seed: int = 1) -> DataFrame:
-    """The mix itself: docs' columns, each row as many times as it is taken."""
+    """The mix itself: docs' columns, whatever their names, each row as many times as it is taken.
+
+    A null or wordless text may be taken and adds no words; a null source is one of its own; repeated rows are taken each in
+    their turn, see mix(). Empty in, empty out.
+    """
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     m = mix(docs.select("doc_id", "text", "source", row), seed, ("row",), True).where("copies > 0")
     times = m.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))

@@ -351,7 +351,10 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]
 
 
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """docs without the rows that near_duplicates() does not keep; all their columns, unchanged."""
+    """docs without the rows that near_duplicates() does not keep; all their columns, unchanged.
+
+    Rows with a null doc_id and wordless or null texts stay. All rows of a repeated doc_id stay or go together. Empty in, empty out.
+    """
     gone = near_duplicates(docs, **how).where("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
 

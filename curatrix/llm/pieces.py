@@ -274,7 +274,11 @@ def _decode(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """encoded (piece_ids, ...) with decoded, the text again (U+2581, which the format uses for spaces, comes back as a space)."""
+    """encoded (piece_ids, ...) with decoded, the text again (U+2581, which the format uses for spaces, comes back as a space).
+
+    No ids are an empty text, null ids a null one. Other columns stay, but for one that is named decoded; repeated rows are
+    decoded each; empty in, empty out.
+    """
     d = encoded.drop("decoded")
     return d.mapInArrow(partial(_decode, path=path), StructType([*d.schema.fields, StructField("decoded", StringType())]))
 

@@ -228,6 +228,10 @@ def _only_kept(batches: Iterator[pa.RecordBatch], model, column: str) -> Iterato
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> DataFrame:
-    """The rows of docs that quality_rules() keeps, with all their columns, in one pass without a join."""
+    """The rows of docs that quality_rules() keeps, with all their columns, in one pass without a join.
+
+    A null, empty or wordless text fails the base rules and goes; repeated rows are judged alike; a null doc_id does not matter;
+    empty in, empty out.
+    """
     m = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels))
     return docs.mapInArrow(partial(_only_kept, model=m, column="text"), docs.schema)
