@@ -17,28 +17,30 @@ PERCENT, MATCHES = 80, 32  # similarity in percent; signature coordinates that h
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Null, empty and wordless texts go; rows of a repeated doc_id are judged each."""
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that line dedup drops; n_chars follows. A document that loses all its lines stays, empty."""
+    """Documents without the lines that line dedup drops; n_chars follows. A document that loses all its lines stays, empty, as does
+    one whose text is null. Rows of a repeated doc_id lose the same lines; rows without an id count for nothing and keep theirs."""
     d = linededup.line_dedup(docs.select("doc_id", "text", "lang", "source"))
     return d.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.length("kept_text").cast("long").alias("n_chars"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id."""
+    """One document of each group of near duplicates: the one with the smallest doc_id, with all its rows. Wordless texts and rows without
+    an id stay."""
     return neardup.drop_near_duplicates(docs, percent=PERCENT, matches=MATCHES).select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents as many times as they are taken."""
+    """The mix: documents as many times as they are taken. A null source is one of its own; wordless texts add no words."""
     return mixing.mixed(docs).select(*COLUMNS)
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of the mix as ids of pieces."""
+    """The rows of the mix as ids of pieces; a null or empty text has none."""
     d = pieces.encode(docs, vocabulary("piece_bpe_32k.model"), keep_text=False)
     return d.select("doc_id", "lang", "source", "n_chars", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids")
 
