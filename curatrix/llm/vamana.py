@@ -29,6 +29,7 @@ STEP = 4  # nodes of a beam that are expanded at once
 SHARD_ROOT = 32  # a shard has about SHARD_ROOT * sqrt(rows) nodes: building is linear, walks are rows / EVERY * shards
 SEEN_BYTES, PRODUCTS = 32 << 20, 4 << 20  # bytes of marks, numbers of a batch of distance tables
 PIECE_BYTES, QUERY_ROWS = 4 << 20, 256
+SPREAD = 8  # partitions for each shard, so that few hold two: a shard is all that a task should build or search
 _NONE = -1
 
 
@@ -273,7 +274,8 @@ def _query_blocks(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[pa.Re
 def index(nodes: DataFrame, dim: int, longest: float, shards: int) -> DataFrame:
     """The index of (v binary, ids array<long>) as a table of pieces by shard: nodes are dealt by a hash of their vectors."""
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
-    made = dealt.select("shard", "v", "ids").groupBy("shard").applyInArrow(lambda key, rows: _build(key, rows, dim, longest), _PIECES)
+    dealt = dealt.select("shard", "v", "ids").repartition(SPREAD * shards, "shard")
+    made = dealt.groupBy("shard").applyInArrow(lambda key, rows: _build(key, rows, dim, longest), _PIECES)
     return table(made, "graphs")
 
 
@@ -304,8 +306,7 @@ def nearest(df: DataFrame, k: int = NEAREST, every: int = EVERY, beam: int = BEA
     blocks = queries.mapInArrow(partial(_query_blocks, dim=dim), "ids binary, vectors binary")
     none = lambda c: F.lit(None).cast("binary").alias(c)
     asked = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), F.lit(0).alias("piece"), "ids", none("n_ids"), "vectors", none("graph"))
-    n = max(shards, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    both = graphs.unionByName(asked).repartition(n, "shard").sortWithinPartitions("shard", "kind", "piece")
+    both = graphs.unionByName(asked).repartition(SPREAD * shards, "shard").sortWithinPartitions("shard", "kind", "piece")
     found = both.mapInArrow(partial(_search, dim=dim, longest=longest, beam=max(beam, k + 1), nearest=k), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
