@@ -172,8 +172,10 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Network | None:
     d = docs.select(F.col("doc_id").cast("long"), "text", "lang").where(~held_out() & F.col("lang").isNotNull() & (F.length("text") > 0))
     ids = d.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("h"), F.octet_length("text").alias("b"))).alias("_t"))  # no text is shuffled for the choice
     share = F.xxhash64(F.col("doc_id"), F.lit("lang"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(share, "doc_id"))
-    chosen = ids.withColumn("_rank", rank).where(F.col("_rank") <= per_lang).orderBy("_rank", "lang").limit(MOST)
+    first = lambda *by: F.row_number().over(Window.partitionBy("lang", *by).orderBy("_s", "doc_id"))
+    chosen = ids.withColumn("_s", share).withColumn("_salt", F.pmod(F.shiftright("_s", 8), F.lit(64)))
+    chosen = chosen.withColumn("_rank", first("_salt")).where(F.col("_rank") <= per_lang)  # so a frequent language is not ranked in one task
+    chosen = chosen.withColumn("_rank", first()).where(F.col("_rank") <= per_lang).orderBy("_rank", "lang").limit(MOST)
     upto = F.sum(F.least(F.col("_t.b"), F.lit(DOC_BYTES)).cast("long")).over(Window.orderBy("_rank", "lang").rowsBetween(Window.unboundedPreceding, 0))  # over MOST rows
     chosen = chosen.withColumn("_upto", upto).where((F.col("_upto") <= MOST_BYTES) | (F.col("_rank") == 1))
     chosen = chosen.select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("_t.h").alias("_h"))
