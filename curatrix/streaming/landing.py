@@ -1,27 +1,24 @@
 """Bulk output that arrives file by file, as a stream: the form of waiting for results that needs no polling loop.
 
-The stream keeps, for each request, where the line stands that counts: the last one by file name and place in the file, whenever its
-file arrives. Lines that can't be read go to a table of their own.
+Of each request the line counts that is the last one by file name and place in the file, whenever its file arrives. Where it stands is
+kept in the table of what has landed. Lines that can't be read go to a table of their own.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import extract_code, step_check
 from ..schemas import RESPONSE_LINE
 
 _LINE = "file string, block long, place long, line string"
 _GOOD, _BAD = "answer", "broken"
-LANES = 4096  # groups of broken lines
 _OUT = "kind string, custom_id string, content string, line string, file string, block long, place long"
 
 
@@ -60,56 +57,45 @@ def response_stream(spark: SparkSession, folder: str, files_at_once: int | None
     )
 
 
-def _keep_last(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The line of a request that counts now, if it is another one than before. The state is its place. Broken lines pass."""
-    if key[0] == _BAD:
-        yield from rows
-        return
-    was = tuple(state.get) if state.exists else None
-    best = None
-    for d in rows:
-        places = list(zip(d["file"], d["block"], d["place"], strict=True))
-        k = max(range(len(places)), key=places.__getitem__)
-        if best is None or places[k] > best[0]:
-            best = ((places[k][0], int(places[k][1]), int(places[k][2])), d.iloc[[k]])
-    if best is not None and (was is None or best[0] > was):
-        state.update(best[0])
-        yield best[1]
-
-
-def last_lines(lines: DataFrame) -> DataFrame:
-    """response_stream() as a stream of changes: a request's line whenever a later one than all before has come, and each broken line.
-
-    State is one place for each request, which grows with the requests of the job. Broken lines have no state; they are dealt to LANES
-    groups by their place.
-    """
-    lane = F.when(F.col("kind") == _BAD, F.pmod(F.xxhash64("file", "block", "place"), F.lit(LANES)).cast("string")).otherwise(F.col("custom_id"))
-    grouped = lines.withColumn("lane", lane).groupBy("kind", "lane")
-    kept = grouped.applyInPandasWithState(_keep_last, f"{_OUT}, lane string", "file string, block long, place long", "update", GroupStateTimeout.NoTimeout)
-    return kept.drop("lane")
+def last_lines(answers: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Of each request the last one of these lines, if none of ``before`` (custom_id, file, block, place) stands at its place or after it."""
+    place = F.struct("file", "block", "place")
+    last = answers.groupBy("custom_id").agg(F.max_by(F.struct("content", "line", "file", "block", "place"), place).alias("_last")).select("custom_id", "_last.*")
+    if before is None:
+        return last
+    known = before.select(F.col("custom_id").alias("_of"), place.alias("_at"))
+    return last.join(known, (last["custom_id"] == known["_of"]) & (known["_at"] >= F.struct(*(last[c] for c in ("file", "block", "place")))), "left_anti")
 
 
 def land(spark: SparkSession, folder: str, out: str, checkpoint: str, files_at_once: int | None = None) -> StreamingQuery:
     """Take in what is there now, each file once over all runs with the same checkpoint, and stop. Read with landed() and broken().
 
-    Each batch writes its changes into folders by its number, so a batch that is run again after a failure replaces its own.
+    Each batch writes its changes into folders by its number, so a batch that is run again after a failure replaces its own: a request's
+    line whenever a later one than all before has come, and each broken line. What earlier batches have written is the state: their
+    ids and places are read again and joined, without the contents, so that nothing is held in memory from batch to batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            for kind in (_GOOD, _BAD):
-                batch.where(F.col("kind") == kind).drop("kind").write.mode("overwrite").parquet(f"{out}/{kind}/batch={number}")
+            batch.where(F.col("kind") == _BAD).drop("kind").write.mode("overwrite").parquet(f"{out}/{_BAD}/batch={number}")
+            before = _changes(batch.sparkSession, out, _GOOD).where(F.col("batch") < number) if number else None
+            last = last_lines(batch.where(F.col("kind") == _GOOD), before)
+            last.write.mode("overwrite").parquet(f"{out}/{_GOOD}/batch={number}")
         finally:
             batch.unpersist()
 
-    changes = last_lines(response_stream(spark, folder, files_at_once))
-    return changes.writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+    lines = response_stream(spark, folder, files_at_once)
+    return lines.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
+
+
+def _changes(spark: SparkSession, out: str, kind: str) -> DataFrame:
+    return spark.read.schema(f"{_OUT.removeprefix('kind string, ')}, batch long").parquet(f"{out}/{kind}")
 
 
 def landed(spark: SparkSession, out: str) -> DataFrame:
     """(custom_id, response, generated_code, parsability): of each request the line that counts, all changes so far taken together."""
-    d = spark.read.schema(f"{_OUT.removeprefix('kind string, ')}, batch long").parquet(f"{out}/{_GOOD}")
+    d = _changes(spark, out, _GOOD)
     last = d.groupBy("custom_id").agg(F.max_by("content", F.struct("file", "block", "place")).alias("response"))
     code = F.when(F.length("response") > 0, extract_code("response"))
     return last.withColumn("generated_code", code).withColumn("parsability", step_check("generated_code"))
@@ -117,5 +103,4 @@ def landed(spark: SparkSession, out: str) -> DataFrame:
 
 def broken(spark: SparkSession, out: str) -> DataFrame:
     """(file, block, place, line) of the lines that can't be read."""
-    d = spark.read.schema(f"{_OUT.removeprefix('kind string, ')}, batch long").parquet(f"{out}/{_BAD}")
-    return d.select("file", "block", "place", "line")
+    return _changes(spark, out, _BAD).select("file", "block", "place", "line")

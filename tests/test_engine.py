@@ -396,6 +396,31 @@ def test_landing_keeps_the_last_line_by_place(spark, tmp_path):
     assert changes == 2  # neither the late file nor the one between has changed what counts
 
 
+def test_landing_holds_nothing_from_batch_to_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, lines in (("b", [_line("x", "1"), "{"]), ("c", [_line("x", "2"), _line("y", "3"), "{"]), ("a", [_line("x", "0")])):
+        (tmp_path / "in" / f"{name}.json").write_text("\n".join(lines) + "\n")
+        q = landing.land(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"))
+        q.awaitTermination()
+        assert all(not p["stateOperators"] for p in q.recentProgress)
+    read = lambda: (sorted((r.custom_id, r.batch, r.content) for r in spark.read.parquet(str(tmp_path / "out/answer")).collect()), landing.broken(spark, str(tmp_path / "out")).count())
+    want = ([("x", 0, "1"), ("x", 1, "2"), ("y", 1, "3")], 2)
+    assert read() == want
+    for k in (1, 2):  # as if the driver was lost between the output and the end of these batches
+        for f in (tmp_path / "ck/commits").glob(f"*{k}*"):
+            f.unlink()
+    _land(spark, tmp_path)
+    assert read() == want
+
+
+def test_last_lines_after_what_stands(spark):
+    kind = "custom_id string, content string, line string, file string, block long, place long"
+    d = spark.createDataFrame([("x", "a", None, "f", 0, 3), ("x", None, None, "f", 64, 0), ("y", "b", None, "f", 0, 1), ("z", "c", None, "f", 0, 2)], kind)
+    before = spark.createDataFrame([("x", "f", 0, 9), ("y", "f", 0, 1), ("z", "e", 7, 7), ("q", "z", 0, 0)], "custom_id string, file string, block long, place long")
+    assert {(r.custom_id, r.content, r.block) for r in landing.last_lines(d).collect()} == {("x", None, 64), ("y", "b", 0), ("z", "c", 0)}
+    assert {(r.custom_id, r.block, r.place) for r in landing.last_lines(d, before).collect()} == {("x", 64, 0), ("z", 0, 2)}
+
+
 def test_envelope(spark):
     d = requests.envelope(requests.requests(_problems(spark).where("problem_id is not null"), "S"), "m").orderBy("pos").first()
     assert (d.custom_id, d.method, d.body.model, [m.role for m in d.body.messages], d.body.messages[0].content) == ("a", "POST", "m", ["system", "user"], "S")
