@@ -106,6 +106,17 @@ class ProjectCheck:
             return ran.returncode, built.stdout, ran.stdout
 
 
+ROWS = 64  # that are Python values at a time, and go back together
+
+
+def few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of up to ROWS rows, copied, so that no batch of the engine's, which may be thousands of long texts, is held while the next one is read."""
+    for b in batches:
+        for k in range(0, b.num_rows, ROWS):
+            yield b.take(pa.array(range(k, min(k + ROWS, b.num_rows)), pa.int64()))
+        del b
+
+
 def _column(b: pa.RecordBatch, name: str) -> list:
     return b.column(b.schema.get_field_index(name)).to_pylist()
 
@@ -114,7 +125,7 @@ _ANSWER = StructType().add("response", "string").add("call_seconds", "double").a
 
 
 def _generate(batches: Iterator[pa.RecordBatch], call: Generator) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in few(batches):
         out, took, began = [], [], []
         for s, u in zip(_column(b, "system_prompt"), _column(b, "user_prompt"), strict=True):
             began.append(datetime.now(UTC))
@@ -134,7 +145,7 @@ def generate(requests: DataFrame, call: Generator) -> DataFrame:
 
 def _validate(batches: Iterator[pa.RecordBatch], check: Validator) -> Iterator[pa.RecordBatch]:
     kind = pa.struct([("success", pa.bool_()), ("duration_seconds", pa.float64()), ("output", pa.string())])
-    for b in batches:
+    for b in few(batches):
         out = []
         for response, code in zip(_column(b, "response"), _column(b, "generated_code"), strict=True):
             if not response:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.files import add_table, make_folder, opened
-from .external import Generator
+from .external import Generator, few
 
 LEDGER = "digest string, response string, call_seconds double, start_time timestamp, written_at timestamp, started string"
 _TIME = pa.timestamp("us", "UTC")
@@ -149,7 +149,7 @@ def _ask(batches: Iterator[pa.RecordBatch], call: Callable[..., str | None], fol
             held.clear()
 
     def rows() -> Iterator[tuple]:
-        for b in batches:
+        for b in few(batches):
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if r[0] not in known:
                     yield r

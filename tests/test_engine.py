@@ -3,6 +3,7 @@
 import json
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -362,6 +363,28 @@ def test_command_line_of_a_service(spark, tmp_path, capsys, monkeypatch):
         cli.parser().parse_args(["process", "x", "--service", "s", "--reasoning-effort", "huge"])
 
 
+def test_calls_hold_few_rows_at_a_time():
+    base, seen = pa.total_allocated_bytes(), []
+
+    def batches(*names):
+        for k in range(3):
+            seen.append(pa.total_allocated_bytes() - base)
+            texts = [None if i % 7 == 0 else "" if i % 7 == 1 else f"{k} {i} " + "x" * (8000 + i) for i in range(1000)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(k * 1000, k * 1000 + 1000)), pa.array(texts), pa.array(texts)], ["id", *names])
+
+    for job, names, column in ((external._validate, ("response", "generated_code"), "compilation"), (external._generate, ("system_prompt", "user_prompt"), "response")):
+        call = (lambda code: (len(code) % 2 == 0, code[:9])) if column == "compilation" else lambda s, u: u and u[:9]
+        ids, got, most = [], [], 0
+        for out in job(batches(*names), call):
+            most = max(most, out.num_rows)
+            ids += out.column(0).to_pylist()
+            got += out.column(out.schema.get_field_index(column)).to_pylist()
+        assert ids == list(range(3000)) and most <= external.ROWS
+        assert got[0] is None and got[1] == (None if column == "compilation" else "")
+        assert [(x["output"], x["success"]) if column == "compilation" else x for x in (got[2], got[2999])] == ([("0 2 xxxxx", True), ("2 999 xxx", False)] if column == "compilation" else ["0 2 xxxxx", "2 999 xxx"])
+    assert max(seen) < 4e6  # each batch has 14 MB, none of which is held while the next one is read
+
+
 def _land(spark, tmp_path, n=None):
     landing.land(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), n).awaitTermination()
 
