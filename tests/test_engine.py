@@ -382,7 +382,7 @@ def test_calls_hold_few_rows_at_a_time():
         assert ids == list(range(3000)) and most <= external.ROWS
         assert got[0] is None and got[1] == (None if column == "compilation" else "")
         assert [(x["output"], x["success"]) if column == "compilation" else x for x in (got[2], got[2999])] == ([("0 2 xxxxx", True), ("2 999 xxx", False)] if column == "compilation" else ["0 2 xxxxx", "2 999 xxx"])
-    assert max(seen) < 4e6  # each batch has 14 MB, none of which is held while the next one is read
+    assert max(seen) < 4e6  # each batch has 12 MB, none of which is held while the next one is read
 
 
 def _land(spark, tmp_path, n=None):
