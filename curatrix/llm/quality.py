@@ -25,7 +25,7 @@ WORD_BITS, CHAR_BITS = 15, 14
 THRESHOLD = 0.5
 RATE = 0.1
 UNIT = 1 << 20  # weights are whole multiples of 1 / UNIT
-BATCH_BYTES = 512 << 10  # text that is scored at once: its features take about 150 times as much
+BATCH_BYTES = 128 << 10  # text that is scored at once: its features take about 150 times as much
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _U = np.uint64

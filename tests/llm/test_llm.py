@@ -766,3 +766,21 @@ def test_pipeline_of_nothing(spark, empty, tmp_path):
     empty.select(*corpus_pipeline.COLUMNS).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_sends_texts_in_small_batches(spark, docs, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    had = spark.conf.getAll.get(key)
+    spark.conf.unset(key)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    long = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("word "), 20_000).alias("text"))  # 30 MB
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    most = lambda: max(r.n for r in long.mapInArrow(sizes, "n long").collect())
+    try:
+        corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+        assert most() < 5e6
+        spark.conf.set(key, "16m")  # a session's own size stays
+        corpus_pipeline.sentencepiece(spark, docs, str(tmp_path))
+        assert 15e6 < most() < 20e6
+    finally:
+        spark.conf.unset(key) if had is None else spark.conf.set(key, had)
