@@ -58,10 +58,17 @@ def problems_with_defaults(spark, sf_dir):
     return readers.problems_table(d, "doc_id").select("pos", "problem_id", "problem", "solution", F.to_json("metadata").alias("metadata"))
 
 
+def tasks_of(df: DataFrame, least: int) -> int:
+    """How many tasks read df, which grows with its files; ``least`` at least."""
+    return max(least, df.rdd.getNumPartitions())
+
+
 def _response_file(spark, sf_dir, broken: bool = False) -> str:
     """Bulk output of documents: lines in the order of doc_id, one for most, a second one for some, some failed; or some that can't be read."""
     path = new_path(spark, "responses")
-    d = _t(spark, sf_dir, "documents").where("doc_id % 7 <> 0").select("doc_id", "text")
+    d = _t(spark, sf_dir, "documents")
+    n_files = tasks_of(d, 8)
+    d = d.where("doc_id % 7 <> 0").select("doc_id", "text")
     d = d.withColumn("n", F.explode(F.when(F.col("doc_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     code = F.when((F.col("doc_id") + F.col("n")) % 11 == 0, 500).otherwise(200)
     content = F.when(F.col("n") == 1, F.lit("again")).otherwise(F.concat(F.lit("```lean\n-- [STEP_1: x]\n"), "text", F.lit("\n-- [END_STEP_1]\n```")))
@@ -69,7 +76,7 @@ def _response_file(spark, sf_dir, broken: bool = False) -> str:
     line = F.to_json(F.struct(F.col("doc_id").cast("string").alias("custom_id"), F.struct(code.alias("status_code"), body.alias("body")).alias("response")))
     if broken:
         line = F.when(F.col("doc_id") % 13 == 0, F.concat(F.lit("{"), F.col("doc_id"))).when(F.col("doc_id") % 13 == 1, F.concat(F.lit('{"custom_id":"'), "doc_id", F.lit('","response":null}'))).otherwise(line)
-    d.repartitionByRange(8, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(line.alias("value")).write.text(path)
+    d.repartitionByRange(n_files, "doc_id", "n").sortWithinPartitions("doc_id", "n").select(line.alias("value")).write.text(path)
     return path
 
 

@@ -73,16 +73,16 @@ def parquet_footers(spark, sf_dir):
 def _waves(spark, sf_dir) -> tuple[str, str]:
     """Bulk output that lands in two waves: the second has a file that stands before all others by its name, and broken lines."""
     src, out = new_path(spark, "waves"), new_path(spark, "landed")
-    path = io_queries._response_file(spark, sf_dir, broken=True)
-    lines = places.with_file_place(spark.read.text(path))
-    key = F.get_json_object("value", "$.custom_id").cast("long")
-    late = lines.where(F.coalesce(key % 4 == 1, F.lit(False)))
-    first = lines.where(F.coalesce(key % 4 != 1, F.lit(True)))
+    read = spark.read.text(io_queries._response_file(spark, sf_dir, broken=True))
+    n = io_queries.tasks_of(read, 3)
+    lines = places.with_file_place(read.withColumn("key", F.get_json_object("value", "$.custom_id").cast("long")))
+    late = lines.where(F.coalesce(F.col("key") % 4 == 1, F.lit(False)))
+    first = lines.where(F.coalesce(F.col("key") % 4 != 1, F.lit(True)))
     stale = late.withColumn("value", F.regexp_replace("value", '"status_code":\\d+', '"status_code":404'))
     for wave, rows in (("b", first), ("c", late), ("a", stale)):  # what is stale comes last and stands first
-        rows.repartitionByRange(3, "place").sortWithinPartitions("place").select("value").write.text(f"{src}/{wave}")
-        if wave != "c":
-            landing.land(spark, f"{src}/*", f"{out}/out", f"{out}/checkpoint", 2).awaitTermination()
+        rows.repartitionByRange(n, "place").sortWithinPartitions("place").select("value").write.text(f"{src}/{wave}")
+        if wave != "c":  # two batches and three, however many files there are
+            landing.land(spark, f"{src}/*", f"{out}/out", f"{out}/checkpoint", -(-2 * n // 3)).awaitTermination()
     return src, f"{out}/out"
 
 

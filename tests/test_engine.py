@@ -436,6 +436,26 @@ def test_landing_holds_nothing_from_batch_to_batch(spark, tmp_path):
     assert read() == want
 
 
+def test_waves_have_as_many_files_as_tasks_read(spark, tmp_path):
+    from pathlib import Path
+
+    from curatrix.plans import scan_queries
+
+    key = "spark.sql.files.maxPartitionBytes"
+    had = spark.conf.get(key)
+    spark.range(400).select(F.col("id").alias("doc_id"), F.repeat(F.lit("long text "), 200).alias("text")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set(key, "100k")
+    try:
+        src, out = scan_queries._waves(spark, str(tmp_path))
+        got = landing.landed(spark, out).select("custom_id", F.length("response").alias("n")).collect()
+    finally:
+        spark.conf.set(key, had)
+    assert len([*Path(src.removeprefix("file://"), "b").glob("part-*")]) > 6
+    assert {int(r.custom_id) for r in got} == {i for i in range(400) if i % 7 and i % 13 > 1} and len(got) == len({r.custom_id for r in got})
+    n = {int(r.custom_id): r.n for r in got}
+    assert n[5] == len("again") and n[6] > 2000 and n[22] is None  # the last of two lines, the only one, a failed one
+
+
 def test_last_lines_after_what_stands(spark):
     kind = "custom_id string, content string, line string, file string, block long, place long"
     d = spark.createDataFrame([("x", "a", None, "f", 0, 3), ("x", None, None, "f", 64, 0), ("y", "b", None, "f", 0, 1), ("z", "c", None, "f", 0, 2)], kind)
